@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.vectors import l2_normalize
 from ..session import broadcast_limit
@@ -142,7 +143,7 @@ def assign_lists(v: DataFrame, centroids: DataFrame, *, vec_col: str = "embeddin
     ids, C = _centroid_matrix(centroids)
     d = C.shape[1]
     bc = spark.sparkContext.broadcast((ids, C))
-    schema = v.schema.add("list_id", "int").add("list_score", "double")
+    schema = T.StructType(list(v.schema.fields)).add("list_id", T.IntegerType()).add("list_score", T.DoubleType())
 
     def run(batches):
         lid, Cm = bc.value
@@ -165,7 +166,7 @@ def pq_encode(v: DataFrame, codebook: DataFrame, *, vec_col: str = "embedding")
     CB = _codebook_tensor(codebook)
     M, K, sub = CB.shape
     bc = spark.sparkContext.broadcast(CB)
-    schema = v.schema.add("codes", "array<tinyint>")
+    schema = T.StructType(list(v.schema.fields)).add("codes", T.ArrayType(T.ByteType()))
 
     def run(batches):
         cb = bc.value

@@ -230,8 +230,8 @@ def q_embed_hashed(spark, sf_dir):
 
 def q_l2_normalize(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings")
-    scaled = e.select("vec_id", F.transform("embedding", lambda x: x * (F.col("label") + 2)).alias("v"))
-    n = scaled.select("vec_id", _r6(l2_norm("v")).alias("norm_before"), l2_normalize("v").alias("u"))
+    scaled = e.select("vec_id", F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 2)).alias("v"))
+    n = scaled.select("vec_id", _r6(l2_norm("v")).alias("norm_before"), l2_normalize("v", out_type="double").alias("u"))
     return n.select("vec_id", "norm_before", F.posexplode("u").alias("dim_no", "value")) \
         .select("vec_id", "norm_before", F.col("dim_no").cast("long").alias("dim_no"), _r6("value").alias("value"))
 
@@ -255,7 +255,8 @@ def q_active_chunks(spark, sf_dir):
 def q_ivf_assign(spark, sf_dir):
     v = vec_nodes(spark, sf_dir)
     cents = ann.label_centroids(v)
-    return ann.assign_lists(v, cents).select(F.col("node_id").alias("vec_id"), "list_id",
+    unit = v.select("node_id", l2_normalize("embedding", strict=False).alias("embedding"))
+    return ann.assign_lists(unit, cents).select(F.col("node_id").alias("vec_id"), "list_id",
                                              _r6("list_score").alias("score"))
 
 

@@ -315,9 +315,9 @@ def sql_embed_hashed() -> str:
 
 def sql_l2_normalize() -> str:
     return """
-WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: (x * (label + 2))::FLOAT) AS v FROM embeddings),
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * (label + 2)) AS v FROM embeddings),
 n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x::DOUBLE * x::DOUBLE))) AS norm FROM s)
-SELECT vec_id, round(norm, 6) AS norm_before, (i - 1)::BIGINT AS dim_no, round((v[i]::DOUBLE / norm)::FLOAT, 6) AS value
+SELECT vec_id, round(norm, 6) AS norm_before, (i - 1)::BIGINT AS dim_no, round(v[i] / norm, 6) AS value
 FROM (SELECT *, unnest(generate_series(1, len(v))) AS i FROM n)"""
 
 
@@ -364,10 +364,11 @@ probes AS (SELECT query_id, list_id FROM (
 def sql_ivf_probe() -> str:
     return "WITH " + _probe_ctes() + f"""
 SELECT query_id, node_id, rank, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank FROM (
   SELECT p.query_id, a.vec_id AS node_id, {dot('q.embedding', 'nv.embedding')} AS score
   FROM probes p JOIN asg a ON a.list_id = p.list_id JOIN embeddings q ON q.vec_id = p.query_id
-  JOIN nv ON nv.vec_id = a.vec_id WHERE a.vec_id <> p.query_id)
-QUALIFY (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank) <= {VEC_K}"""
+  JOIN nv ON nv.vec_id = a.vec_id WHERE a.vec_id <> p.query_id))
+WHERE rank <= {VEC_K}"""
 
 
 def codebook_ctes() -> str:
@@ -401,8 +402,9 @@ cand AS (SELECT p.query_id, a.vec_id AS node_id FROM probes p JOIN asg a ON a.li
 sc AS (SELECT cand.query_id, cand.node_id, sum(lut.s) AS score
        FROM cand JOIN codes ON codes.vec_id = cand.node_id
        JOIN lut ON lut.query_id = cand.query_id AND lut.m = codes.m AND lut.code = codes.code GROUP BY ALL)
-SELECT query_id, node_id, rank, round(score, 6) AS score FROM sc
-QUALIFY (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank) <= {VEC_K}"""
+SELECT query_id, node_id, rank, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank FROM sc)
+WHERE rank <= {VEC_K}"""
 
 
 def _user_turns_sql() -> str:
