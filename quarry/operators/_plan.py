@@ -56,3 +56,16 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(path)
     _SHIPPED.add(key)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a source with fewer partitions than the cluster has cores.
+
+    A single-row-group file is read as one task; CPU-heavy text work after
+    it (regex, shingles, MinHash, chunking) would then run on one core. On
+    a real corpus (many files / row groups) this is a no-op.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

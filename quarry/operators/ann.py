@@ -67,7 +67,7 @@ def train_ivf(v: DataFrame, nlist: int | None = None, *, vec_col: str = "embeddi
     """Cosine k-means on a bounded sample (Spark ML). ``nlist`` defaults to
     ``4 * sqrt(n)``. Returns ``list_id, centroid`` (unit vectors)."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
     n = v.count()
     if nlist is None:
         nlist = max(1, int(4 * math.sqrt(n)))
@@ -77,7 +77,6 @@ def train_ivf(v: DataFrame, nlist: int | None = None, *, vec_col: str = "embeddi
     spark = v.sparkSession
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     c = spark.createDataFrame(rows, "list_id int, centroid array<double>")
-    del vector_to_array
     return c.select("list_id", l2_normalize(F.transform("centroid", lambda x: x.cast("float")), strict=False)
                     .alias("centroid"))
 

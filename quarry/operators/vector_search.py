@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_limit
+from ._plan import cut_lineage
 
 
 def _vec_matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -156,6 +157,8 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 50, *,
     if gk is not None:
         q = q.withColumn("_g", gk)
         c = c.withColumn("_g", gk)
+    # the query side is read twice (count, then collect): materialise it once
+    q = cut_lineage(q.select(query_id, query_vec, *(["_g"] if gk is not None else [])))
     parts = []
     for batch in _query_batches(q, query_id, dim, broadcast_limit(spark)):
         payload = _collect_batch(batch, query_id, query_vec, dim, "_g" if gk is not None else None)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import fingerprint, tokens
 from ..functions.vectors import l2_normalize, l2_norm
 from ..operators import ann, bm25, cache, corpus, dedup, embed, filters, fusion, rerank, vector_search
-from ..operators._plan import ship_package
+from ..operators._plan import ship_package, spread
 from . import retrieval
 
 # Fixed parameters of the registered queries (test-scale choices).
@@ -27,7 +27,7 @@ TTL = cache.TTL_SECONDS
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _r6(c) -> F.Column:
