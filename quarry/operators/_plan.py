@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 import tempfile
 import zipfile
 
@@ -25,9 +26,27 @@ def sized_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the table.
+
+    Survives executor loss (unlike ``localCheckpoint``), is columnar and
+    compressed (unlike an RDD checkpoint of serialised rows) and gives the
+    optimizer real file statistics for the next stage.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/quarry-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def gen_rows(arr, value: str, pos: str | None = None) -> list:
+    """Columns exploding ``arr`` into rows without Catalyst's inferred
+    ``size(arr) > 0`` filter, which would evaluate an expensive array
+    expression (a UDF, a regex) a second time below the next exchange.
+    Use with ``.where(F.col(pos or value + "_pos").isNotNull())``."""
+    p = pos or value + "_pos"
+    return [F.posexplode_outer(arr).alias(p, value)]
 
 
 _SHIPPED: set[int] = set()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokens as token_col
+from ._plan import gen_rows
 
 # Chunker settings of the reference.
 CHUNK_SIZE = 100
@@ -165,8 +166,9 @@ def chunk(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVE
     if overlap >= size:
         raise ValueError("overlap must be smaller than the chunk size")
     meta = [c for c in documents.columns if c != text_col]
-    exploded = documents.select(*meta, F.posexplode(_chunk_udf(mode, size, overlap)(F.col(text_col)))
-                                .alias("chunk_no", "text"))
+    exploded = (documents.select(*meta, *gen_rows(_chunk_udf(mode, size, overlap)(F.col(text_col)),
+                                                  "text", "chunk_no"))
+                .where(F.col("chunk_no").isNotNull()))
     return with_chunk_id(exploded, id_col)
 
 

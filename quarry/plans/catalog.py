@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import fingerprint, tokens
 from ..functions.vectors import l2_normalize, l2_norm
 from ..operators import ann, bm25, cache, corpus, dedup, embed, filters, fusion, rerank, vector_search
-from ..operators._plan import ship_package, spread
+from ..operators._plan import gen_rows, ship_package, spread
 from . import retrieval
 
 # Fixed parameters of the registered queries (test-scale choices).
@@ -129,9 +129,9 @@ def _signatures(spark, sf_dir):
 
 
 def q_minhash_signature(spark, sf_dir):
-    return _signatures(spark, sf_dir).select(
-        F.col("node_id").alias("doc_id"),
-        F.posexplode("signature").alias("perm_no", "minhash")).withColumn("perm_no", F.col("perm_no").cast("long"))
+    return (_signatures(spark, sf_dir).select(F.col("node_id").alias("doc_id"),
+                                              *gen_rows(F.col("signature"), "minhash", "perm_no"))
+            .where(F.col("perm_no").isNotNull()).withColumn("perm_no", F.col("perm_no").cast("long")))
 
 
 def q_lsh_candidates(spark, sf_dir):
