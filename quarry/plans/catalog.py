@@ -374,6 +374,35 @@ def q_judge_pairs(spark, sf_dir):
     return j.select("conv_id", "turn", F.col("verdict.match").alias("match"), F.col("verdict.reason").alias("reason"))
 
 
+def _prepared_events(df):
+    from ..streaming.cache_stream import prepare_requests
+    return prepare_requests(df.withColumnRenamed("event_id", "request_id"), query_col="props",
+                            tenant_col="event_type")
+
+
+def q_cache_stream(spark, sf_dir):
+    """A7 + G9: the events file read as a stream, two-layer cache per context."""
+    from ..sources.store import request_stream
+    from ..streaming.cache_stream import run_stream_to_table, two_layer_cache
+    ship_package(spark)
+    out = run_stream_to_table(two_layer_cache(_prepared_events(request_stream(spark, sf_dir))))
+    return out.select(F.col("request_id").alias("event_id"), "outcome")
+
+
+def q_cache_replay(spark, sf_dir):
+    """G9 as a batch replay over the same log (must equal the stream)."""
+    from ..streaming.cache_stream import two_layer_cache
+    out = two_layer_cache(_prepared_events(load(spark, sf_dir, "events")))
+    return out.select(F.col("request_id").alias("event_id"), "outcome")
+
+
+def q_cache_fill(spark, sf_dir):
+    """The answers written on misses (placeholder answer, both layers)."""
+    from ..streaming.cache_stream import fill_misses, two_layer_cache
+    out = fill_misses(two_layer_cache(_prepared_events(load(spark, sf_dir, "events"))))
+    return out.select(F.col("request_id").alias("event_id"), "response")
+
+
 # ------------------------------------------------------------------ H
 def q_rerank_top5(spark, sf_dir):
     c = fused(spark, sf_dir).join(doc_nodes(spark, sf_dir).select("node_id", "text"), "node_id")
@@ -428,4 +457,7 @@ QUERIES = {
     "cache_outcomes": q_cache_outcomes,
     "semantic_cache_lookup": q_semantic_cache_lookup,
     "judge_pairs": q_judge_pairs,
+    "cache_stream": q_cache_stream,
+    "cache_replay": q_cache_replay,
+    "cache_fill": q_cache_fill,
 }

@@ -480,6 +480,19 @@ SELECT date_trunc('day', r.ts) AS window_start, r.event_type AS tenant_id, w.out
 FROM walk w JOIN r USING (event_id) GROUP BY ALL"""
 
 
+def sql_cache_two_layer() -> str:
+    # On these tables the semantic layer never answers (the judge needs equal
+    # term sets, which here means an equal exact key), so the two-layer
+    # outcome is the exact-layer replay.
+    return ("WITH RECURSIVE " + _replay_ctes()
+            + "\nSELECT event_id, CASE WHEN outcome = 'hit' THEN 'exact_hit' ELSE 'miss' END AS outcome FROM walk")
+
+
+def sql_cache_fill() -> str:
+    return ("WITH RECURSIVE " + _replay_ctes()
+            + "\nSELECT event_id, 'This is a fake response.' AS response FROM walk WHERE outcome = 'miss'")
+
+
 def sql_semantic_cache_lookup() -> str:
     return f"""
 WITH best AS (SELECT q.vec_id, c.vec_id AS cached_id, {dot('q.embedding', 'c.embedding')} AS sim
@@ -547,6 +560,9 @@ ORACLE = {
     "cache_outcomes": sql_cache_outcomes,
     "semantic_cache_lookup": sql_semantic_cache_lookup,
     "judge_pairs": sql_judge_pairs,
+    "cache_stream": sql_cache_two_layer,
+    "cache_replay": sql_cache_two_layer,
+    "cache_fill": sql_cache_fill,
 }
 
 
