@@ -1,0 +1,134 @@
+"""Vector / IVF / PQ search, BM25, fusion, filters, rerank."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.operators import ann, bm25, filters, fusion, rerank
+from quarry.operators.vector_search import vector_topk
+from tests.conftest import SF_SMALL
+
+
+def vecs(spark, n=300, d=16, seed=0):
+    rng = np.random.default_rng(seed)
+    X = rng.normal(size=(n, d))
+    X /= np.linalg.norm(X, axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in X[i]], int(i % 5)) for i in range(n)]
+    return spark.createDataFrame(rows, "node_id long, embedding array<float>, label int"), X
+
+
+def test_vector_topk_matches_numpy(spark):
+    df, X = vecs(spark)
+    got = vector_topk(df.withColumnRenamed("node_id", "query_id"), df, 5, exclude_self=True)
+    got = {(r["query_id"], r["rank"]): r["node_id"] for r in got.collect()}
+    S = X.astype(np.float32).astype(np.float64) @ X.astype(np.float32).astype(np.float64).T
+    np.fill_diagonal(S, -np.inf)
+    for q in range(0, 300, 37):
+        want = np.argsort(-S[q], kind="stable")[:5]
+        assert [got[(q, r)] for r in range(1, 6)] == list(want)
+
+
+def test_vector_topk_small_broadcast_limit_batches(spark):
+    df, _ = vecs(spark, n=120)
+    q = df.withColumnRenamed("node_id", "query_id")
+    full = {tuple(r) for r in vector_topk(q, df, 3).select("query_id", "node_id", "rank").collect()}
+    spark.conf.set("quarry.broadcast.maxBytes", str(4096))
+    try:
+        batched = {tuple(r) for r in vector_topk(q, df, 3).select("query_id", "node_id", "rank").collect()}
+    finally:
+        spark.conf.unset("quarry.broadcast.maxBytes")
+    assert full == batched
+
+
+def test_ivf_full_probe_recall_is_one_and_guards(spark):
+    df, _ = vecs(spark)
+    cents = ann.label_centroids(df)
+    index = ann.build_index(df, cents, with_pq=False)
+    q = df.withColumnRenamed("node_id", "query_id")
+    exact = {tuple(r) for r in vector_topk(q, df, 10, exclude_self=True).select("query_id", "node_id").collect()}
+    full = {tuple(r) for r in ann.ivf_topk(q, index, 10, nprobe=5, exclude_self=True)
+            .select("query_id", "node_id").collect()}
+    assert full == exact
+    part = {tuple(r) for r in ann.ivf_topk(q, index, 10, nprobe=2, exclude_self=True)
+            .select("query_id", "node_id").collect()}
+    assert 0.3 < len(part & exact) / len(exact) <= 1.0
+    with pytest.raises(ValueError, match="cannot be greater"):
+        ann.ivf_topk(q, index, 10, nprobe=6)
+
+
+def test_pq_guard_and_training(spark):
+    df, _ = vecs(spark, d=16)
+    with pytest.raises(ValueError, match="divisible"):
+        ann.label_split_codebook(df, 3)
+    cb = ann.train_pq(df, m=8)
+    assert cb.count() == 16
+    assert ann.train_ivf(df, nlist=4).count() == 4
+
+
+def test_index_write_read_manifest(spark, tmp_path):
+    from quarry.sources.store import read_index_optional
+    df, _ = vecs(spark, n=50)
+    cents = ann.label_centroids(df)
+    idx = ann.build_index(df, cents, ann.label_split_codebook(df, 8))
+    ann.write_index(idx, str(tmp_path / "ix"))
+    back = ann.read_index(spark, str(tmp_path / "ix"))
+    assert back.entries.count() == 50 and back.codebook is not None
+    assert read_index_optional(spark, str(tmp_path / "none")) is None
+    # two manifest records -> error
+    spark.createDataFrame([("ivf", True), ("ivf", True)], "index_type string, has_pq boolean") \
+        .write.mode("overwrite").parquet(str(tmp_path / "ix" / "manifest"))
+    with pytest.raises(ValueError, match="exactly one"):
+        ann.read_index(spark, str(tmp_path / "ix"))
+
+
+def test_bm25_hand_computed(spark):
+    docs = spark.createDataFrame([(1, "apple banana apple"), (2, "banana cherry"), (3, "date")],
+                                 "node_id long, text string")
+    idx = bm25.bm25_index(docs)
+    q = spark.createDataFrame([(10, "Apple banana")], "query_id long, text string")
+    got = {r["node_id"]: r["score"] for r in bm25.bm25_topk(q, idx, 5).collect()}
+    N, avgdl = 3, 6 / 3
+
+    def term(tf, df, dl):
+        idf = np.log(1 + (N - df + 0.5) / (df + 0.5))
+        return idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))
+    assert got[1] == pytest.approx(term(2, 1, 3) + term(1, 2, 3))
+    assert got[2] == pytest.approx(term(1, 2, 2))
+    assert 3 not in got
+
+
+def test_relative_fusion_hand_computed(spark):
+    a = spark.createDataFrame([(1, 10, 0.9), (1, 11, 0.5), (1, 12, 0.1)], "query_id long, node_id long, score double")
+    b = spark.createDataFrame([(1, 11, 7.0), (1, 13, 7.0)], "query_id long, node_id long, score double")
+    got = {r["node_id"]: r["score"] for r in fusion.fuse({"vector": a, "bm25": b}).collect()}
+    assert got[10] == pytest.approx(0.75)
+    assert got[11] == pytest.approx(0.75 * 0.5 + 0.25)   # max == min > 0 -> 1.0
+    assert got[12] == pytest.approx(0.0)
+    assert got[13] == pytest.approx(0.25)
+    rrf = {r["node_id"]: r["score"] for r in fusion.fuse({"vector": a, "bm25": b}, mode="rrf").collect()}
+    assert rrf[11] == pytest.approx(0.5 / 62 + 0.5 / 61)
+
+
+def test_metadata_filter_and_cutoff(spark):
+    c = spark.createDataFrame([(1, 1, "p", "c", 0.6), (1, 2, None, "c", 0.7), (2, 3, "q", "d", 0.59)],
+                              "query_id long, node_id long, product string, category string, score double")
+    q = spark.createDataFrame([(1, "p", None), (2, None, None)], "query_id long, product string, category string")
+    assert sorted(r["node_id"] for r in filters.metadata_filter(c, q).collect()) == [1, 3]
+    assert sorted(r["node_id"] for r in filters.score_cutoff(c).collect()) == [1, 2]
+
+
+def test_rerank_term_overlap(spark):
+    c = spark.createDataFrame([(1, 1, 1, "alpha beta"), (1, 2, 2, "alpha"), (1, 3, 3, "gamma")],
+                              "query_id long, node_id long, rank long, text string")
+    c = c.withColumn("query_text", F.lit("Alpha beta"))
+    got = [r["node_id"] for r in rerank.rerank(c, top_n=2).orderBy("rank").collect()]
+    assert got == [1, 2]
+
+
+def test_hybrid_retrieval_shape(spark):
+    from quarry.plans.catalog import q_hybrid_retrieval
+    rows = q_hybrid_retrieval(spark, SF_SMALL).collect()
+    per_q = {}
+    for r in rows:
+        per_q.setdefault(r["query_id"], []).append(r["rank"])
+    assert all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 5 for v in per_q.values())
