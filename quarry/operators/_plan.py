@@ -37,7 +37,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/quarry-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer inference
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def gen_rows(arr, value: str, pos: str | None = None) -> list:
