@@ -305,7 +305,11 @@ def hashed_ctes(src: str, dim: int = 64, prefix: str = "he") -> str:
                  sum(CASE WHEN ('0x' || substr(h, 9, 1))::INT % 2 = 0 THEN 1 ELSE -1 END) AS v
           FROM {p}_t GROUP BY ALL),
 {p}_n AS (SELECT id, sqrt(sum(v * v)) AS norm FROM {p}_b GROUP BY id),
-{p} AS (SELECT id, b, v::FLOAT / norm AS val FROM {p}_b JOIN {p}_n USING (id) WHERE norm > 0)"""
+{p} AS (SELECT id, b, (v / norm)::FLOAT AS val FROM {p}_b JOIN {p}_n USING (id) WHERE norm > 0),
+{p}_ids AS (SELECT DISTINCT id FROM {p}),
+{p}_dense AS (SELECT i.id, list(coalesce(h.val, 0.0::FLOAT) ORDER BY g.j) AS v
+              FROM {p}_ids i CROSS JOIN (SELECT unnest(generate_series(0, {dim - 1})) AS j) g
+              LEFT JOIN {p} h ON h.id = i.id AND h.b = g.j GROUP BY i.id)"""
 
 
 def sql_embed_hashed() -> str:
@@ -523,6 +527,79 @@ SELECT query_id, node_id, rank2 AS rank, round(s, 6) AS score FROM (
   FROM sc) WHERE rank2 <= 5"""
 
 
+def sql_hybrid_retrieval() -> str:
+    """H5 end to end: PRF variants, hashed-vector and BM25 top-50 per variant,
+    relative fusion over 3 variants, filter, cutoff, per-query exact / near /
+    semantic dedup (greedy walks over (query, node) keys), re-rank top 5."""
+    key = "query_id * 1048576 + node_id"
+    bt = terms("text")
+    return "WITH RECURSIVE " + bm25_ctes(10) + f""",
+fb AS (SELECT bm.query_id, tf.term, sum(tf.tf * idf.idf) AS w
+       FROM bm JOIN tf ON tf.node_id = bm.node_id JOIN idf ON idf.term = tf.term GROUP BY ALL),
+ex AS (SELECT * FROM fb WHERE NOT EXISTS (SELECT 1 FROM qt WHERE qt.query_id = fb.query_id AND qt.term = fb.term)),
+rk AS (SELECT query_id, term, row_number() OVER (PARTITION BY query_id ORDER BY round(w, 9) DESC, term) AS v
+       FROM ex QUALIFY v <= 2),
+variants AS (SELECT query_id, 0 AS variant_no, text FROM bq
+             UNION ALL SELECT rk.query_id, rk.v, bq.text || ' ' || rk.term FROM rk JOIN bq USING (query_id)),
+vqt AS (SELECT DISTINCT query_id, variant_no, unnest(list_distinct({terms('text')})) AS term FROM variants),
+vbm AS (SELECT query_id, variant_no, node_id, score FROM (
+          SELECT vqt.query_id, vqt.variant_no, tf.node_id,
+                 sum(idf.idf * tf.tf * 2.5 / (tf.tf + 1.5 * (0.25 + 0.75 * tf.dl / (SELECT avgdl FROM stats)))) AS score
+          FROM vqt JOIN tf USING (term) JOIN idf USING (term) GROUP BY ALL)
+        WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY query_id, variant_no ORDER BY round(score, 9) DESC, node_id) <= 50),
+{hashed_ctes("SELECT doc_id AS id, text FROM documents", 64, "hd")},
+{hashed_ctes("SELECT query_id * 1024 + variant_no AS id, text FROM variants", 64, "hq")},
+vec AS (SELECT qv // 1024 AS query_id, qv % 1024 AS variant_no, node_id, score FROM (
+          SELECT q.id AS qv, d.id AS node_id, {dot('q.v', 'd.v')} AS score FROM hq_dense q, hd_dense d)
+        QUALIFY row_number() OVER (PARTITION BY qv ORDER BY round(score, 9) DESC, node_id) <= 50),
+lists AS (SELECT query_id, variant_no, node_id, score, 'v' AS r, 0.75 AS w FROM vec
+          UNION ALL SELECT query_id, variant_no, node_id, score, 'b' AS r, 0.25 AS w FROM vbm),
+scaled AS (SELECT *, min(score) OVER (PARTITION BY query_id, variant_no, r) AS lo,
+                     max(score) OVER (PARTITION BY query_id, variant_no, r) AS hi FROM lists),
+fsum AS (SELECT query_id, node_id,
+                sum(CASE WHEN hi = lo THEN (CASE WHEN hi > 0 THEN 1.0 ELSE 0.0 END)
+                         ELSE (score - lo) / (hi - lo) END * w / 3) AS score
+         FROM scaled GROUP BY ALL),
+fused AS (SELECT query_id, node_id, score,
+                 row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank
+          FROM fsum QUALIFY rank <= 50),
+{_bench_filters()},
+flt AS (SELECT f.query_id, f.node_id, f.rank, f.score, d.text
+        FROM fused f JOIN documents d ON d.doc_id = f.node_id LEFT JOIN qf ON qf.query_id = f.query_id
+        WHERE (qf.product IS NULL OR coalesce(d.source = qf.product, false))
+          AND (qf.category IS NULL OR coalesce(d.lang = qf.category, false)) AND f.score >= 0.6),
+ex1 AS (SELECT * FROM (SELECT *, sha256({norm_dedup('text')}) AS fp FROM flt)
+        QUALIFY row_number() OVER (PARTITION BY query_id, fp ORDER BY round(score, 9) DESC, node_id) = 1),
+{minhash_ctes("SELECT DISTINCT node_id AS id, text FROM ex1")},
+nb AS (SELECT e.query_id, e.node_id AS id, g.s, unnest(generate_series(0, {BANDS - 1})) AS band
+       FROM ex1 e JOIN sigl g ON g.id = e.node_id),
+ncand AS (SELECT DISTINCT x.query_id, x.id AS a, y.id AS b, x.s AS sa, y.s AS sb
+          FROM nb x JOIN nb y ON x.query_id = y.query_id AND x.band = y.band
+            AND x.s[x.band * {ROWS} + 1 : x.band * {ROWS} + {ROWS}] = y.s[y.band * {ROWS} + 1 : y.band * {ROWS} + {ROWS}]
+          WHERE x.id < y.id),
+nedge AS (SELECT query_id * 1048576 + a AS a, query_id * 1048576 + b AS b FROM ncand
+          WHERE list_sum(list_transform(generate_series(1, {NUM_PERM}), lambda i: (sa[i] = sb[i])::INT)) / {NUM_PERM}.0 >= 0.9),
+nrank AS (SELECT {key} AS id, row_number() OVER (ORDER BY query_id, round(score, 9) DESC, node_id) AS pos FROM ex1)"""\
+        + greedy_ctes("nd", "SELECT a, b FROM nedge", "SELECT id, pos FROM nrank") + f""",
+n2 AS (SELECT * FROM ex1 WHERE {key} NOT IN (SELECT id FROM nd_dropped)),
+spairs AS (SELECT x.query_id * 1048576 + x.node_id AS a, y.query_id * 1048576 + y.node_id AS b
+           FROM n2 x JOIN n2 y ON x.query_id = y.query_id AND x.node_id < y.node_id
+           JOIN hd_dense dx ON dx.id = x.node_id JOIN hd_dense dy ON dy.id = y.node_id
+           WHERE {dot('dx.v', 'dy.v')} >= 0.9),
+srank AS (SELECT {key} AS id, row_number() OVER (ORDER BY query_id, round(score, 9) DESC, node_id) AS pos FROM n2)"""\
+        + greedy_ctes("sd", "SELECT a, b FROM spairs", "SELECT id, pos FROM srank") + f""",
+n3 AS (SELECT * FROM n2 WHERE {key} NOT IN (SELECT id FROM sd_dropped)),
+rr AS (SELECT n3.query_id, n3.node_id, n3.rank,
+              CASE WHEN len(list_distinct({terms('b.text')})) > 0
+                   THEN len(list_intersect(list_distinct({terms('b.text')}), {terms('n3.text')}))::DOUBLE
+                        / len(list_distinct({terms('b.text')})) ELSE 0.0 END AS s
+       FROM n3 JOIN benchmark b ON b.item_id = n3.query_id)
+SELECT query_id, node_id, rank2 AS rank, round(s, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, rank, node_id) AS rank2 FROM rr)
+WHERE rank2 <= 5"""
+
+
 ORACLE = {
     "vector_topk": _vector_topk_fixed,
     "bm25_topk": sql_bm25_topk,
@@ -541,6 +618,7 @@ ORACLE = {
     "semantic_dedup": sql_semantic_dedup,
     "dedup_chain": sql_dedup_chain,
     "rerank_top5": sql_rerank_top5,
+    "hybrid_retrieval": sql_hybrid_retrieval,
     "tokenize": sql_tokenize,
     "chunk_windows": sql_chunk_windows,
     "flatten_articles": sql_flatten_articles,
