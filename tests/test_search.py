@@ -132,3 +132,21 @@ def test_hybrid_retrieval_shape(spark):
     for r in rows:
         per_q.setdefault(r["query_id"], []).append(r["rank"])
     assert all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 5 for v in per_q.values())
+
+
+def test_bm25_document_partitioned_equals_join(spark):
+    from quarry.plans.catalog import doc_nodes, load
+    docs = doc_nodes(spark, SF_SMALL)
+    idx = bm25.bm25_index(docs)
+    q = load(spark, SF_SMALL, "benchmark").select(F.col("item_id").alias("query_id"), "text") \
+        .withColumn("variant_no", F.lit(1))
+    cols = ["query_id", "variant_no", "node_id", "rank"]
+    a = {tuple(r) for r in bm25.bm25_topk(q, idx, 7, id_cols=("query_id", "variant_no")).select(*cols).collect()}
+    b = {tuple(r) for r in bm25.bm25_topk_join(q, idx, 7, id_cols=("query_id", "variant_no")).select(*cols).collect()}
+    assert a == b and len(a) > 0
+    spark.conf.set("quarry.broadcast.maxBytes", "2048")
+    try:
+        c = {tuple(r) for r in bm25.bm25_topk(q, idx, 7, id_cols=("query_id", "variant_no")).select(*cols).collect()}
+    finally:
+        spark.conf.unset("quarry.broadcast.maxBytes")
+    assert c == a
