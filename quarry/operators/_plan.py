@@ -36,11 +36,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/quarry-tables/{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
     # the schema is known: reading it back needs no footer inference
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote with ``cut_lineage``.
+
+    Call it once the results that read them have been consumed (they are
+    lazy). Uses the Hadoop file system of each path, so it works on the
+    shared checkpoint storage of a cluster. Returns the number removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
+
+
 def gen_rows(arr, value: str, pos: str | None = None) -> list:
     """Columns exploding ``arr`` into rows without Catalyst's inferred
     ``size(arr) > 0`` filter, which would evaluate an expensive array
