@@ -54,15 +54,49 @@ def _query_batches(queries: DataFrame, id_col: str, dim: int, limit: int,
 
 
 def _collect_batch(batch: DataFrame, id_col: str, vec_col: str, dim: int,
-                   group_col: str | None):
+                   group_col: str | None, n_filters: int = 0):
     cols = [F.col(id_col).cast("long").alias("qid"), F.col(vec_col).alias("qv")]
     if group_col:
         cols.append(F.col(group_col).alias("qg"))
+    cols += [F.col(f"_qf{i}") for i in range(n_filters)] + [F.col(f"_qn{i}") for i in range(n_filters)]
     tbl = batch.select(*cols).toArrow()
     qid = tbl.column("qid").to_numpy()
     qv = _vec_matrix(tbl.column("qv"), dim) if tbl.num_rows else np.zeros((0, dim))
     qg = tbl.column("qg").to_numpy() if group_col else None
-    return qid, qv, qg
+    if n_filters:
+        qf = np.stack([tbl.column(f"_qf{i}").to_numpy() for i in range(n_filters)], axis=1)
+        qn = np.stack([tbl.column(f"_qn{i}").to_numpy(zero_copy_only=False) for i in range(n_filters)], axis=1)
+        return qid, qv, qg, (qf, qn)
+    return qid, qv, qg, None
+
+
+def filter_codes(df: DataFrame, cols: list[str], side: str) -> DataFrame:
+    """Hash codes for metadata filters: query side ``_qf{i}`` / ``_qn{i}``
+    (null filter = wildcard), corpus side ``_cf{i}`` / ``_cv{i}`` (null
+    metadata never matches a non-null filter)."""
+    out = df
+    for i, c in enumerate(cols):
+        code = F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.xxhash64(F.col(c)))
+        if side == "q":
+            out = out.withColumn(f"_qf{i}", code).withColumn(f"_qn{i}", F.col(c).isNull())
+        else:
+            out = out.withColumn(f"_cf{i}", code).withColumn(f"_cv{i}", F.col(c).isNotNull())
+    return out
+
+
+def filter_mask(qfilt, cf: np.ndarray, cv: np.ndarray) -> np.ndarray:
+    """(queries x rows) bool: every non-null query filter equals the row's value."""
+    qf, qn = qfilt
+    ok = np.ones((qf.shape[0], cf.shape[0]), dtype=bool)
+    for i in range(qf.shape[1]):
+        ok &= qn[:, i][:, None] | (cv[None, :, i] & (qf[:, i][:, None] == cf[None, :, i]))
+    return ok
+
+
+def corpus_filter_arrays(rb, n_filters: int):
+    cf = np.stack([rb.column(f"_cf{i}").to_numpy(zero_copy_only=False) for i in range(n_filters)], axis=1)
+    cv = np.stack([rb.column(f"_cv{i}").to_numpy(zero_copy_only=False) for i in range(n_filters)], axis=1)
+    return cf, cv
 
 
 def _group_key(cols: list[str] | None):
@@ -93,11 +127,11 @@ def _topk_rows(S: np.ndarray, ids: np.ndarray, k: int):
 
 
 def _knn_scan(corpus: DataFrame, bq, k: int, dim: int, node_col: str, vec_col: str,
-              grouped: bool, exclude_self: bool) -> DataFrame:
+              grouped: bool, exclude_self: bool, n_filters: int = 0) -> DataFrame:
     neg = -np.inf
 
     def scan(batches):
-        qid, qv, qg = bq.value
+        qid, qv, qg, qfilt = bq.value
         nq = len(qid)
         best_s = np.full((nq, 0), neg)
         best_i = np.zeros((nq, 0), dtype=np.int64)
@@ -112,6 +146,8 @@ def _knn_scan(corpus: DataFrame, bq, k: int, dim: int, node_col: str, vec_col: s
                 S[qg[:, None] != g[None, :]] = neg
             if exclude_self:
                 S[qid[:, None] == ids[None, :]] = neg
+            if qfilt is not None:
+                S[~filter_mask(qfilt, *corpus_filter_arrays(rb, n_filters))] = neg
             ts, ti = _topk_rows(S, ids, k)
             S2 = np.concatenate([best_s, ts], axis=1)
             I2 = np.concatenate([best_i, ti], axis=1)
@@ -128,6 +164,7 @@ def _knn_scan(corpus: DataFrame, bq, k: int, dim: int, node_col: str, vec_col: s
     cols = [F.col(node_col).cast("long").alias("nid"), F.col(vec_col).alias("nv")]
     if grouped:
         cols.append(F.col("_g").alias("ng"))
+    cols += [F.col(f"_cf{i}") for i in range(n_filters)] + [F.col(f"_cv{i}") for i in range(n_filters)]
     src = corpus.where(F.size(vec_col) == dim).select(*cols)
     return src.mapInArrow(scan, "query_id long, node_id long, score double")
 
@@ -141,12 +178,14 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 50, *,
                 query_id: str = "query_id", query_vec: str = "embedding",
                 node_id: str = "node_id", node_vec: str = "embedding",
                 group_cols: list[str] | None = None, exclude_self: bool = False,
-                dim: int | None = None) -> DataFrame:
+                dim: int | None = None, filters: dict[str, str] | None = None) -> DataFrame:
     """C6 (and C7 with ``group_cols``): exact inner-product top-k per query.
 
     Returns ``query_id, node_id, score, rank`` (rank from 1, ties by node_id).
     With ``group_cols`` a query only sees corpus rows with equal group values
-    (the semantic-cache context: filters hash, version, tenant).
+    (the semantic-cache context: filters hash, version, tenant). ``filters``
+    maps corpus metadata columns to query filter columns (pre-filtering: a
+    null filter matches everything, null metadata fails a non-null filter).
     """
     spark = queries.sparkSession
     if dim is None:
@@ -157,13 +196,18 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 50, *,
     if gk is not None:
         q = q.withColumn("_g", gk)
         c = c.withColumn("_g", gk)
+    nf = len(filters or {})
+    if nf:
+        q = filter_codes(q, list(filters.values()), "q")
+        c = filter_codes(c, list(filters.keys()), "c")
+    extra = [f"_qf{i}" for i in range(nf)] + [f"_qn{i}" for i in range(nf)]
     # the query side is read twice (count, then collect): materialise it once
-    q = cut_lineage(q.select(query_id, query_vec, *(["_g"] if gk is not None else [])))
+    q = cut_lineage(q.select(query_id, query_vec, *(["_g"] if gk is not None else []), *extra))
     parts = []
-    for batch in _query_batches(q, query_id, dim, broadcast_limit(spark)):
-        payload = _collect_batch(batch, query_id, query_vec, dim, "_g" if gk is not None else None)
+    for batch in _query_batches(q, query_id, dim, broadcast_limit(spark), extra_bytes=16 + 9 * nf):
+        payload = _collect_batch(batch, query_id, query_vec, dim, "_g" if gk is not None else None, nf)
         bq = spark.sparkContext.broadcast(payload)
-        parts.append(_knn_scan(c, bq, k, dim, node_id, node_vec, gk is not None, exclude_self))
+        parts.append(_knn_scan(c, bq, k, dim, node_id, node_vec, gk is not None, exclude_self, nf))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -196,7 +240,7 @@ def similar_pairs(df: DataFrame, threshold: float, *, id_col: str = "node_id",
             _collect_batch(batch, id_col, vec_col, dim, "_g" if grouped else None))
 
         def scan(batches, bq=bq):
-            qid, qv, qg = bq.value
+            qid, qv, qg, _ = bq.value
             for rb in batches:
                 if rb.num_rows == 0 or len(qid) == 0:
                     continue

@@ -416,6 +416,12 @@ def q_hybrid_retrieval(spark, sf_dir):
     return r.select("query_id", "node_id", "rank", _r6("rerank_score").alias("score"))
 
 
+def q_hybrid_retrieval_pre(spark, sf_dir):
+    """H5 with filter_mode="pre": metadata filters applied before the top-k."""
+    r = retrieval.retrieve_hashed(spark, sf_dir, filter_mode="pre")
+    return r.select("query_id", "node_id", "rank", _r6("rerank_score").alias("score"))
+
+
 QUERIES = {
     "vector_topk": q_vector_topk,
     "bm25_topk": q_bm25_topk,
@@ -435,6 +441,7 @@ QUERIES = {
     "dedup_chain": q_dedup_chain,
     "rerank_top5": q_rerank_top5,
     "hybrid_retrieval": q_hybrid_retrieval,
+    "hybrid_retrieval_pre": q_hybrid_retrieval_pre,
     "tokenize": q_tokenize,
     "chunk_windows": q_chunk_windows,
     "chunk_sentences": q_chunk_sentences,

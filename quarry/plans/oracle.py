@@ -527,13 +527,24 @@ SELECT query_id, node_id, rank2 AS rank, round(s, 6) AS score FROM (
   FROM sc) WHERE rank2 <= 5"""
 
 
-def sql_hybrid_retrieval() -> str:
+def sql_hybrid_retrieval(pre: bool = False) -> str:
     """H5 end to end: PRF variants, hashed-vector and BM25 top-50 per variant,
     relative fusion over 3 variants, filter, cutoff, per-query exact / near /
     semantic dedup (greedy walks over (query, node) keys), re-rank top 5."""
     key = "query_id * 1048576 + node_id"
-    bt = terms("text")
+
+    def _match(qid: str, nid: str) -> str:
+        return (f"EXISTS (SELECT 1 FROM documents pd LEFT JOIN qf pq ON pq.query_id = {qid} "
+                f"WHERE pd.doc_id = {nid} AND (pq.product IS NULL OR coalesce(pd.source = pq.product, false)) "
+                f"AND (pq.category IS NULL OR coalesce(pd.lang = pq.category, false)))")
+
+    def _pre_join(q: str, t: str) -> str:
+        return f" WHERE {_match(q + '.query_id', t + '.node_id')}" if pre else ""
+
+    def _pre_where(qid: str, nid: str) -> str:
+        return f"WHERE {_match(qid, nid)}" if pre else ""
     return "WITH RECURSIVE " + bm25_ctes(10) + f""",
+{_bench_filters()},
 fb AS (SELECT bm.query_id, tf.term, sum(tf.tf * idf.idf) AS w
        FROM bm JOIN tf ON tf.node_id = bm.node_id JOIN idf ON idf.term = tf.term GROUP BY ALL),
 ex AS (SELECT * FROM fb WHERE NOT EXISTS (SELECT 1 FROM qt WHERE qt.query_id = fb.query_id AND qt.term = fb.term)),
@@ -545,13 +556,14 @@ vqt AS (SELECT DISTINCT query_id, variant_no, unnest(list_distinct({terms('text'
 vbm AS (SELECT query_id, variant_no, node_id, score FROM (
           SELECT vqt.query_id, vqt.variant_no, tf.node_id,
                  sum(idf.idf * tf.tf * 2.5 / (tf.tf + 1.5 * (0.25 + 0.75 * tf.dl / (SELECT avgdl FROM stats)))) AS score
-          FROM vqt JOIN tf USING (term) JOIN idf USING (term) GROUP BY ALL)
+          FROM vqt JOIN tf USING (term) JOIN idf USING (term){_pre_join('vqt', 'tf')} GROUP BY ALL)
         WHERE score > 0
         QUALIFY row_number() OVER (PARTITION BY query_id, variant_no ORDER BY round(score, 9) DESC, node_id) <= 50),
 {hashed_ctes("SELECT doc_id AS id, text FROM documents", 64, "hd")},
 {hashed_ctes("SELECT query_id * 1024 + variant_no AS id, text FROM variants", 64, "hq")},
 vec AS (SELECT qv // 1024 AS query_id, qv % 1024 AS variant_no, node_id, score FROM (
-          SELECT q.id AS qv, d.id AS node_id, {dot('q.v', 'd.v')} AS score FROM hq_dense q, hd_dense d)
+          SELECT q.id AS qv, d.id AS node_id, {dot('q.v', 'd.v')} AS score FROM hq_dense q, hd_dense d
+          {_pre_where('q.id // 1024', 'd.id')})
         QUALIFY row_number() OVER (PARTITION BY qv ORDER BY round(score, 9) DESC, node_id) <= 50),
 lists AS (SELECT query_id, variant_no, node_id, score, 'v' AS r, 0.75 AS w FROM vec
           UNION ALL SELECT query_id, variant_no, node_id, score, 'b' AS r, 0.25 AS w FROM vbm),
@@ -564,7 +576,6 @@ fsum AS (SELECT query_id, node_id,
 fused AS (SELECT query_id, node_id, score,
                  row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank
           FROM fsum QUALIFY rank <= 50),
-{_bench_filters()},
 flt AS (SELECT f.query_id, f.node_id, f.rank, f.score, d.text
         FROM fused f JOIN documents d ON d.doc_id = f.node_id LEFT JOIN qf ON qf.query_id = f.query_id
         WHERE (qf.product IS NULL OR coalesce(d.source = qf.product, false))
@@ -619,6 +630,7 @@ ORACLE = {
     "dedup_chain": sql_dedup_chain,
     "rerank_top5": sql_rerank_top5,
     "hybrid_retrieval": sql_hybrid_retrieval,
+    "hybrid_retrieval_pre": lambda: sql_hybrid_retrieval(pre=True),
     "tokenize": sql_tokenize,
     "chunk_windows": sql_chunk_windows,
     "flatten_articles": sql_flatten_articles,
