@@ -147,14 +147,6 @@ def greedy_ctes(prefix: str, edges: str, rank: str) -> str:
 # ------------------------------------------------------------------ queries
 def sql_vector_topk() -> str:
     return f"""
-SELECT query_id, node_id, rank, round(score, 6) AS score FROM (
-  SELECT q.vec_id AS query_id, c.vec_id AS node_id, {dot('q.embedding', 'c.embedding')} AS score
-  FROM embeddings q, embeddings c WHERE q.vec_id <> c.vec_id)
-QUALIFY (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank) <= {VEC_K}"""
-
-
-def _vector_topk_fixed() -> str:
-    return f"""
 SELECT query_id, node_id, rank, round(score, 6) AS score FROM (
   SELECT query_id, node_id, score,
          row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, node_id) AS rank
@@ -612,7 +604,7 @@ WHERE rank2 <= 5"""
 
 
 ORACLE = {
-    "vector_topk": _vector_topk_fixed,
+    "vector_topk": sql_vector_topk,
     "bm25_topk": sql_bm25_topk,
     "fusion_relative": lambda: sql_fusion("relative"),
     "fusion_rrf": lambda: sql_fusion("rrf"),
