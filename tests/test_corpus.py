@@ -145,3 +145,13 @@ def test_hashed_embedding_unit_length(spark):
     rows = embed.hashed_embedding(df, "text", 16).collect()
     assert [r[0] for r in rows] == [1]
     assert abs(sum(x * x for x in rows[0][1]) - 1.0) < 1e-5
+
+
+def test_hashed_embedding_row_local_equals_sql_form(spark):
+    from tests.conftest import SF_SMALL
+    from quarry.plans.catalog import doc_nodes
+    d = doc_nodes(spark, SF_SMALL).select("node_id", "text")
+    a = {r[0]: r[1] for r in embed.hashed_embedding(d, "text", 64).collect()}
+    b = {r[0]: r[1] for r in embed.hashed_embedding_sql(d, "text", 64).collect()}
+    assert a.keys() == b.keys() and len(a) > 100
+    assert all(max(abs(x - y) for x, y in zip(a[k], b[k])) < 1e-7 for k in a)
