@@ -315,3 +315,56 @@ def read_index(spark, path: str) -> IvfIndex:
     has_pq = man.first()["has_pq"]
     return IvfIndex(spark.read.parquet(f"{path}/centroids"), spark.read.parquet(f"{path}/entries"),
                     spark.read.parquet(f"{path}/codebook") if has_pq else None)
+
+
+def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE) -> DataFrame:
+    """C8 blocked by the IVF lists: every pair ``(a < b)`` of indexed vectors
+    with inner product >= threshold such that one of them probes the other's
+    list. Each vector is scored only against the lists it probes, so compute
+    is about ``n^2 * nprobe / nlist`` instead of ``n^2``; with ``nprobe`` equal
+    to the number of lists the result is the exact self-join. The query side
+    (all entries, in size-checked batches) is broadcast; the entries are
+    scanned list by list as in ``ivf_topk``. Returns ``id_a, id_b, similarity``."""
+    spark = index.entries.sparkSession
+    lid, C = _centroid_matrix(index.centroids)
+    if nprobe > len(lid):
+        raise ValueError(f"NPROBE ({nprobe}) cannot be greater than NLIST ({len(lid)}).")
+    d = C.shape[1]
+    q = index.entries.select(F.col("node_id").alias("query_id"), "embedding")
+    parts = []
+    for batch in _query_batches(q, "query_id", d, broadcast_limit(spark), extra_bytes=8 * nprobe):
+        tbl = batch.select(F.col("query_id").cast("long").alias("qid"), F.col("embedding").alias("qv")).toArrow()
+        qid = tbl.column("qid").to_numpy()
+        qv = _vec_matrix(tbl.column("qv"), d) if tbl.num_rows else np.zeros((0, d))
+        probe = np.argsort(-(qv @ C.T), axis=1, kind="stable")[:, :nprobe]
+        by_list = {int(lid[p]): np.nonzero((probe == p).any(axis=1))[0] for p in range(len(lid))}
+        by_list = {k: v for k, v in by_list.items() if len(v)}
+        bc = spark.sparkContext.broadcast((qid, qv, by_list))
+
+        def scan(batches, bc=bc):
+            qid, qv, by_list = bc.value
+            for rb in batches:
+                if rb.num_rows == 0:
+                    continue
+                lists = rb.column("list_id").to_numpy(zero_copy_only=False)
+                ids = rb.column("node_id").to_numpy(zero_copy_only=False).astype(np.int64)
+                X = _vec_matrix(rb.column("embedding"), d)
+                for l in np.unique(lists):
+                    rows = by_list.get(int(l))
+                    if rows is None:
+                        continue
+                    sel = np.nonzero(lists == l)[0]
+                    S = qv[rows] @ X[sel].T
+                    r, c = np.nonzero((S >= threshold) & (qid[rows][:, None] != ids[sel][None, :]))
+                    if len(r):
+                        a, b = qid[rows][r], ids[sel][c]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(S[r, c])],
+                            names=["id_a", "id_b", "similarity"])
+        parts.append(index.entries.select("node_id", "list_id", "embedding")
+                     .mapInArrow(scan, "id_a long, id_b long, similarity double"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    # a pair can be found from both ends: keep one row per pair
+    return out.groupBy("id_a", "id_b").agg(F.max("similarity").alias("similarity"))

@@ -150,3 +150,19 @@ def test_bm25_document_partitioned_equals_join(spark):
     finally:
         spark.conf.unset("quarry.broadcast.maxBytes")
     assert c == a
+
+
+def test_ivf_pairs_full_probe_is_exact_and_partial_is_subset(spark):
+    from quarry.operators.vector_search import similar_pairs
+    from quarry.operators import dedup
+    df, _ = vecs(spark, n=200, d=8, seed=3)
+    exact = {(r[0], r[1]) for r in similar_pairs(df, 0.7).collect()}
+    idx = ann.build_index(df, ann.label_centroids(df), with_pq=False)
+    full = {(r[0], r[1]) for r in ann.ivf_pairs(idx, 0.7, nprobe=5).collect()}
+    part = {(r[0], r[1]) for r in ann.ivf_pairs(idx, 0.7, nprobe=2).collect()}
+    assert full == exact and len(exact) > 10
+    assert part <= exact and len(part) >= 0.5 * len(exact)
+    a = {r[0] for r in dedup.semantic_dedup(df, threshold=0.7, score_col=None).collect()}
+    b = {r[0] for r in dedup.semantic_dedup(df, threshold=0.7, score_col=None,
+                                            centroids=ann.label_centroids(df), nprobe=5).collect()}
+    assert a == b
