@@ -243,7 +243,9 @@ def q_validate_embeddings(spark, sf_dir):
     both = e.select("node_id", "embedding").unionByName(
         doc_nodes(spark, sf_dir).select((F.col("node_id") + 1000000).alias("node_id"))
         .join(h.select((F.col("node_id") + 1000000).alias("node_id"), "embedding"), "node_id", "left"))
-    return embed.validate_embeddings(both, 64, raise_on_error=False)
+    r = embed.validate_embeddings(both, 64, raise_on_error=False)
+    # report row: -1 stands for "no bad row" (keeps the column non-null)
+    return r.withColumn("first_bad_id", F.coalesce(F.col("first_bad_id"), F.lit(-1).cast("long")))
 
 
 def q_active_chunks(spark, sf_dir):

@@ -324,7 +324,7 @@ allv AS (SELECT vec_id AS node_id, len(embedding) AS d FROM embeddings
          UNION ALL SELECT doc_id + 1000000, CASE WHEN doc_id IN (SELECT doc_id FROM h) THEN 64 END FROM documents)
 SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE d IS NULL)::BIGINT AS n_null,
        count(*) FILTER (WHERE d IS NOT NULL AND d <> 64)::BIGINT AS n_wrong_dim,
-       min(CASE WHEN d IS NULL OR d <> 64 THEN node_id END) AS first_bad_id
+       coalesce(min(CASE WHEN d IS NULL OR d <> 64 THEN node_id END), -1)::BIGINT AS first_bad_id
 FROM allv"""
 
 
