@@ -155,3 +155,11 @@ def test_hashed_embedding_row_local_equals_sql_form(spark):
     b = {r[0]: r[1] for r in embed.hashed_embedding_sql(d, "text", 64).collect()}
     assert a.keys() == b.keys() and len(a) > 100
     assert all(max(abs(x - y) for x, y in zip(a[k], b[k])) < 1e-7 for k in a)
+
+
+def test_hashed_embedding_keep_columns(spark):
+    df = spark.createDataFrame([(1, "a b c", "x"), (2, "!!!", "y"), (3, "c b a", "z")], "node_id long, text string, m string")
+    rows = {r["node_id"]: r for r in embed.hashed_embedding(df, "text", 16, keep_columns=True).collect()}
+    plain = {r[0]: r[1] for r in embed.hashed_embedding(df, "text", 16).collect()}
+    assert rows[2]["embedding"] is None and rows[2]["m"] == "y"
+    assert rows[1]["embedding"] == plain[1] and rows[3]["embedding"] == plain[3]
