@@ -74,10 +74,11 @@ def index_items(items: DataFrame, radius: int) -> DataFrame:
 
     def masks(width: int) -> list[int]:
         return [sum(1 << b for b in bits) for k in range(near + 1) for bits in combinations(range(width), k)]
-    probes = F.concat(*[
-        F.transform(F.array(*[F.lit(m).cast("long") for m in masks(w)]),
-                    lambda m, v=v, i=i: F.struct(F.lit(i).alias("block"), v.bitwiseXOR(m).alias("value")))
-        for i, (w, v) in enumerate(zip(BLOCKS, _blocks(F.col("fp"))))])
+
+    def keys(block: int, value: Column) -> Column:
+        near_masks = F.array(*[F.lit(m).cast("long") for m in masks(BLOCKS[block])])
+        return F.transform(near_masks, lambda m: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(m).alias("value")))
+    probes = F.concat(*[keys(i, v) for i, v in enumerate(_blocks(F.col("fp")))])
     return (items.select("n", "item", F.col("fp").alias("item_fp"), F.explode(probes).alias("p"))
             .select("n", "item", "item_fp", "p.block", "p.value"))
 
@@ -123,7 +124,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     looked = win_fp.select("*", F.explode(F.array(*[
         F.struct(F.lit(i).alias("block"), v.alias("value")) for i, v in enumerate(_blocks(F.col("fp")))])).alias("p"))
     looked = looked.select("win", "k", "id", "n", "start", "fp", "weight", "p.block", "p.value")
-    index = index_items(item_fp.withColumnRenamed("item_key", "ik").withColumn("item", F.col("ik")), radius)
+    index = index_items(item_fp.select("n", "fp", F.col("item_key").alias("item")), radius)
     pairs = (looked.join(sized_broadcast(index, 40), ["n", "block", "value"])
              .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
              .where(F.col("distance") <= radius)
