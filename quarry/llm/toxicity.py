@@ -31,24 +31,28 @@ MAX_FEATURES = 1 << 16
 #: Code points of a text that are hashed at a time.
 STRETCH = 1 << 20
 SMOOTHING = 1.0
+#: Ranges (as a power of two) in the look-up table of feature hashes.
+RANGE_BITS = 20
 
 
 def gram_hashes(text: str) -> Iterator[np.ndarray]:
-    """Hashes (uint64) of the n-grams of a text, in stretches, repeats included."""
+    """Hashes (uint64) of the n-grams of a text, in stretches, repeats included.
+
+    A gram's hash goes on from that of its first characters."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
     one, two = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
     longest = max(SIZES)
-    for at in range(0, max(len(codes), 1), STRETCH):
+    for at in range(0, len(codes), STRETCH):
         part = codes[at:at + STRETCH + longest - 1].astype(np.uint64)
-        for n in SIZES:
-            m = min(STRETCH, len(part) - n + 1)
+        h = np.zeros(min(STRETCH, len(part)), np.uint64)
+        for j in range(longest):
+            m = min(STRETCH, len(part) - j)
             if m <= 0:
-                continue
-            h = np.full(m, n, np.uint64)
-            for j in range(n):
-                h = (h ^ part[j:j + m]) * one
-            h ^= h >> np.uint64(32)
-            yield h * two
+                break
+            h = (h[:m] ^ part[j:j + m]) * one
+            h ^= h >> np.uint64(31)
+            if j + 1 in SIZES:
+                yield h * two
 
 
 def gram_set(text: str) -> np.ndarray:
@@ -65,18 +69,31 @@ class ToxicityModel:
     intercept: float
 
     def __post_init__(self):
-        # most n-grams are no feature: one bit per hash range says so at once
-        self.shift = np.uint64(64 - 22)
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[self.hashes >> self.shift] = True
+        # the first feature of each range of hashes, so that a look-up is one step or two
+        self.shift = np.uint64(64 - RANGE_BITS)
+        ranges = (self.hashes >> self.shift).astype(np.int64)
+        self.first = np.full(1 << RANGE_BITS, -1, np.int32)
+        self.first[ranges[::-1]] = np.arange(len(ranges) - 1, -1, -1, dtype=np.int32)
+        self.most = int(np.bincount(ranges).max()) if len(ranges) else 0
+        self.found = np.zeros(len(self.hashes) + self.most, bool)
+        self.padded = np.concatenate((self.hashes, np.zeros(self.most, np.uint64)))
 
     def score(self, text: str) -> float:
-        seen: list[np.ndarray] = []
-        for h in gram_hashes(text) if len(self.hashes) else ():
-            h = h[self.maybe[h >> self.shift]]
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            seen.append(np.unique(at[self.hashes[at] == h]))
-        total = self.intercept + (float(self.weights[np.unique(np.concatenate(seen))].sum()) if seen else 0.0)
+        self.found[:] = False
+        for h in gram_hashes(text) if self.most else ():
+            at = self.first[h >> self.shift]
+            some = np.flatnonzero(at >= 0)
+            at, h = at[some], h[some]
+            for _ in range(self.most):
+                same = self.padded[at] == h
+                self.found[at[same]] = True
+                rest = np.flatnonzero(~same & (self.padded[at] < h))
+                if not len(rest):
+                    break
+                at, h = at[rest] + 1, h[rest]
+                inside = at < len(self.hashes)
+                at, h = at[inside], h[inside]
+        total = self.intercept + float(self.weights[self.found[:len(self.weights)]].sum())
         return 1 / (1 + math.exp(-total)) if total > -700 else 0.0
 
 
@@ -133,8 +150,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         at = np.minimum(np.searchsorted(hs, g), len(hs) - 1)
         at = np.unique(at[hs[at] == g])
         return Vectors.sparse(len(hs), at.astype(np.int32), rs[at])
+    rows = cut_lineage(rows.select("y", features("text").alias("x")))
     fitted = LogisticRegression(featuresCol="x", labelCol="y", maxIter=25, regParam=regularisation,
-                                standardization=False).fit(rows.select("y", features("text").alias("x")))
+                                standardization=False).fit(rows)
     return ToxicityModel(hashes, fitted.coefficients.toArray() * ratios, float(fitted.intercept))
 
 
