@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, id_key
+from .common import NO_ID, cut_lineage, id_key
 
 
 def _digest(c: Column) -> Column:
@@ -103,8 +103,8 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     equal in id and text are one document here and each get its result; rows that share an
     id only are ordered by a hash of the text. A single document is its own next.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), id_key(F.col(id_col)).alias("k"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # the id travels as its key alone, so that both uses of this table share one shuffle
+    base = docs.select(id_key(F.col(id_col)).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumn("t", F.xxhash64("text"))
     ids = cut_lineage(base.select("k", "t", F.char_length("text").cast("long").alias("n")))
     around = cut_lineage(neighbours(ids))
@@ -115,18 +115,18 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
              .dropDuplicates(["k", "t"]))
     full = full.join(gifts.hint("merge"), ["k", "t"])
     n = F.char_length("text")
-    full = full.select("doc_id", "k", "t", "next_k", "next_t", "text", n.cast("long").alias("n_chars"),
+    full = full.select("k", "t", "next_k", "next_t", "text", n.cast("long").alias("n_chars"),
                        F.expr("concat(substring(text, 1, cast(char_length(text) - char_length(text) div 2 as int)), gift)")
                        .alias("edited"))
     full = with_tree(with_tree(full, "text", "a_"), "edited", "b_")
     full = full.withColumn("own", nodes("a_"))
     made = cut_lineage(full.select(
-        "doc_id", "k", "t", "next_k", "next_t", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "k", "t", "next_k", "next_t", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         F.col("a_root").alias("fingerprint"), F.col("b_root").alias("edited_fingerprint"),
         likeness(F.col("own"), nodes("b_")).alias("near_edited"),
         first_change("a_", "b_").cast("long").alias("first_change"), "own"))
     nxt = (made.select(F.col("k").alias("next_k"), F.col("t").alias("next_t"), F.col("own").alias("theirs"))
            .dropDuplicates(["next_k", "next_t"]))
     return made.join(nxt, ["next_k", "next_t"]).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+        F.when(F.col("k") != NO_ID, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
         likeness(F.col("own"), F.col("theirs")).alias("near_next"), "first_change")

@@ -99,8 +99,8 @@ FROM hashed JOIN kept USING (conv_id) GROUP BY conv_id, i // 256, n_turns
 """
 
 _TREE = """
-  list_transform(string_split({t}, chr(10)), p -> list_transform(
-    string_split(regexp_replace(p, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)), s -> sha256(s)[:32]))"""
+  list_transform(string_split({t}, chr(10)), lambda p: list_transform(
+    string_split(regexp_replace(p, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)), lambda s: sha256(s)[:32]))"""
 
 _MERKLE = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -114,13 +114,13 @@ edits AS (
 nested AS (SELECT *, {_TREE.format(t="text")} AS a, {_TREE.format(t="edited")} AS b FROM edits),
 leaves AS (
   SELECT *, flatten(a) AS asent, flatten(b) AS bsent,
-    list_transform(a, q -> sha256(array_to_string(q, ''))[:32]) AS apar,
-    list_transform(b, q -> sha256(array_to_string(q, ''))[:32]) AS bpar FROM nested),
+    list_transform(a, lambda q: sha256(array_to_string(q, ''))[:32]) AS apar,
+    list_transform(b, lambda q: sha256(array_to_string(q, ''))[:32]) AS bpar FROM nested),
 cut AS (
   SELECT *, list_transform(list_filter(string_split(array_to_string(list_transform(apar,
-      d -> CASE WHEN d[1] IN ('0', '1') THEN d || '/' ELSE d END), ''), '/'), r -> r <> ''), r -> sha256(r)[:32]) AS asec,
+      lambda d: CASE WHEN d[1] IN ('0', '1') THEN d || '/' ELSE d END), ''), '/'), lambda r: r <> ''), lambda r: sha256(r)[:32]) AS asec,
     list_transform(list_filter(string_split(array_to_string(list_transform(bpar,
-      d -> CASE WHEN d[1] IN ('0', '1') THEN d || '/' ELSE d END), ''), '/'), r -> r <> ''), r -> sha256(r)[:32]) AS bsec
+      lambda d: CASE WHEN d[1] IN ('0', '1') THEN d || '/' ELSE d END), ''), '/'), lambda r: r <> ''), lambda r: sha256(r)[:32]) AS bsec
   FROM leaves),
 roots AS (
   SELECT *, sha256(array_to_string(asec, '')) AS aroot, sha256(array_to_string(bsec, '')) AS broot FROM cut),
@@ -132,7 +132,7 @@ SELECT s.doc_id, length(s.text) AS n_chars, sha256(s.edited) AS edited_sha256,
   len(list_intersect(s.anodes, s.bnodes)) / (len(s.anodes) + len(s.bnodes) - len(list_intersect(s.anodes, s.bnodes)))::DOUBLE AS near_edited,
   len(list_intersect(s.anodes, n.anodes)) / (len(s.anodes) + len(n.anodes) - len(list_intersect(s.anodes, n.anodes)))::DOUBLE AS near_next,
   CASE WHEN s.aroot <> s.broot THEN list_position(list_transform(
-    range(greatest(len(s.apar), len(s.bpar))), j -> s.apar[j + 1] IS DISTINCT FROM s.bpar[j + 1]), true) - 1 END::BIGINT AS first_change
+    range(greatest(len(s.apar), len(s.bpar))), lambda j: s.apar[j + 1] IS DISTINCT FROM s.bpar[j + 1]), true) - 1 END::BIGINT AS first_change
 FROM sets s JOIN sets n ON n.doc_id = s.next_id
 """
 
