@@ -1,16 +1,19 @@
 """Token counts under a unigram segmentation, by dynamic programming over a trie.
 
-Texts are cut at blanks into pre-tokens. The distinct pre-tokens of an Arrow batch go
+Texts are cut at blanks into pre-tokens. The distinct pre-tokens of some hundred texts go
 into a trie; walking it depth first keeps the forward scores of the current path, so a prefix
 shared by many pre-tokens is scored once, and a terminal stores its token
-count. Terminal counts are remembered from batch to batch within a bound.
+count. Terminal counts are remembered from group to group, and by a Python worker from
+task to task, within a bound.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +25,9 @@ SPACE = "▁"
 BYTE = "<0x{:02X}>"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Pre-tokens remembered per task before the memory is emptied.
-REMEMBER = 400_000
+REMEMBER = 1_000_000
+#: Texts whose new pre-tokens go into one trie.
+GROUP = 500
 #: Code points by which a byte piece is worse than the rarest piece.
 BYTE_PENALTY = 10.0
 
@@ -36,67 +41,74 @@ def load_pieces(path: str = VOCABULARY) -> dict[str, float]:
 
 
 class TrieCounter:
-    """Token counts of pre-tokens. Best total score wins; of equal scores fewer tokens, then the
-    longer last piece. A character in no piece costs its UTF-8 bytes, one token each."""
+    """Token counts of pre-tokens. Best total score wins, of equal scores fewer tokens. Scores
+    are logarithms of probabilities, 0 or less. A character in no piece costs its UTF-8 bytes, one token each."""
 
     def __init__(self, pieces: Mapping[str, float]):
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+        # every ending of a piece: its score if it is a piece too, else 1 (scores are 0 or less)
+        self.endings = {p[i:]: 1.0 for p in pieces for i in range(1, len(p))} | dict(pieces)
         self.byte = min(pieces.values(), default=0.0) - BYTE_PENALTY
         self.known: dict[str, int] = {}
 
-    def _forward(self, path: list[str], best: list[float], count: list[int], end: int) -> None:
-        """Scores of the node at depth ``end``: the best last piece over the path."""
-        text = "".join(path[max(0, end - self.longest):end])
-        n, pieces = len(text), self.pieces
-        score, tokens = -math.inf, 0
-        for size in range(n, 0, -1):
-            p = pieces.get(text[n - size:])
-            if p is not None:
-                s = best[end - size] + p
-                c = count[end - size] + 1
-                if s > score or s == score and c < tokens:
-                    score, tokens = s, c
-        if path[end - 1] not in pieces:
-            cost = len(path[end - 1].encode("utf-8", "surrogatepass"))
-            s, c = best[end - 1] + cost * self.byte, count[end - 1] + cost
-            if s > score or s == score and c < tokens:
-                score, tokens = s, c
-        best[end], count[end] = score, tokens
-
     def add(self, pretokens: set[str]) -> None:
         """Store the counts of these pre-tokens: sorted, they are the trie in depth-first order, and
-        what two neighbours share is the path that is kept."""
+        what two neighbours share is the path whose scores are kept."""
         if len(self.known) + len(pretokens) > REMEMBER:
             self.known.clear()
-        path: list[str] = []
-        best, count = [0.0], [0]
+        get, byte, known = self.endings.get, self.byte, self.known
+        before, best, count = "", [0.0], [0]
         for word in sorted(pretokens):
-            marked = SPACE + word
-            shared, most = 0, min(len(path), len(marked))
-            while shared < most and path[shared] == marked[shared]:
+            path = SPACE + word
+            shared, most = 0, min(len(before), len(path))
+            while shared < most and before[shared] == path[shared]:
                 shared += 1
-            del path[shared:], best[shared + 1:], count[shared + 1:]
-            for ch in marked[shared:]:
-                path.append(ch)
-                best.append(0.0)
-                count.append(0)
-                self._forward(path, best, count, len(path))
-            self.known[word] = count[-1]
-
-    def counts(self, texts: list[str]) -> list[tuple[int, int]]:
-        """(pre-tokens, tokens) of each text."""
-        out = []
-        for text in texts:
-            words = WORD.findall(text)
-            new = {w for w in words if w not in self.known}
+            del best[shared + 1:], count[shared + 1:]
+            for end in range(shared + 1, len(path) + 1):
+                # the node at this depth: the best last piece over the path
+                ch = path[end - 1]
+                score, tokens = -math.inf, 0
+                for start in range(end - 1, -1, -1):
+                    p = get(path[start:end])
+                    if p is None:
+                        break  # no piece ends like this, nor like anything longer
+                    if p <= 0.0:
+                        s = best[start] + p
+                        if s > score or s == score and count[start] + 1 < tokens:
+                            score, tokens = s, count[start] + 1
+                if ch not in self.pieces:
+                    cost = len(ch.encode("utf-8", "surrogatepass"))
+                    s = best[end - 1] + cost * byte
+                    if s > score or s == score and count[end - 1] + cost < tokens:
+                        score, tokens = s, count[end - 1] + cost
+                best.append(score)
+                count.append(tokens)
+            before = path
+            known[word] = count[-1]
+
+    def counts(self, texts: Iterable[str]) -> Iterator[tuple[int, int]]:
+        """(pre-tokens, tokens) of each text, ``GROUP`` texts to a trie."""
+        texts = iter(texts)
+        while some := list(islice(texts, GROUP)):
+            cut = [WORD.findall(t) for t in some]
+            distinct = set().union(*cut)
+            new = distinct.difference(self.known)
             if new:
-                if len(self.known) + len(new) > REMEMBER:
-                    new = set(words)
-                self.add(new)
-            known = self.known
-            out.append((len(words), sum([known[w] for w in words])))
-        return out
+                # where the bound empties the memory, the words of this group are all new
+                self.add(distinct if len(self.known) + len(new) > REMEMBER else new)
+            known = self.known.__getitem__
+            for words in cut:
+                yield len(words), sum(map(known, words))
+
+
+_LAST: list = []
+
+
+def _counter(pieces: dict[str, float], name: str) -> TrieCounter:
+    """The counter of a vocabulary; a Python worker keeps the last one, with its counts, from task to task."""
+    if not _LAST or _LAST[0] != name:
+        _LAST[:] = [name, TrieCounter(pieces)]
+    return _LAST[1]
 
 
 def count_tokens(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY,
@@ -107,13 +119,15 @@ def count_tokens(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCA
     broadcast: tens of thousands of strings, whatever the size of the data.
     """
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(dict(pieces) if pieces is not None else load_pieces(vocabulary))
+    pieces = dict(pieces) if pieces is not None else load_pieces(vocabulary)
+    name = hashlib.sha256(repr(sorted(pieces.items())).encode()).hexdigest()
+    shared = spark.sparkContext.broadcast(pieces)
 
     @F.pandas_udf("pretokens long, tokens long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        counter = TrieCounter(shared.value)
+        counter = _counter(shared.value, name)
         for texts in batches:
-            rows = counter.counts([t or "" for t in texts])
+            rows = list(counter.counts(t or "" for t in texts))
             yield pd.DataFrame(rows, columns=["pretokens", "tokens"], dtype="int64")
     out = docs.withColumn("_counted", counted(F.col(text_col)))
     return (out.withColumn("n_pretokens", F.col("_counted.pretokens"))
