@@ -20,7 +20,7 @@ EDGE_WS = "^" + WS_RUN + "|" + WS_RUN + "$"
 WORD = "[\\p{L}\\p{N}_]"
 WORD_RUN = WORD + "+"
 # Word tokens plus single punctuation marks (the word-tokenise column, B6).
-TOKEN = WORD_RUN + "|[^\\p{L}\\p{N}_\\t\\n\\x{0B}\\f\\r \\x{85}\\x{A0}\\x{3000}]"
+TOKEN = WORD_RUN + "|[^\\p{L}\\p{N}_" + WS[1:]
 
 
 def _c(c) -> Column:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,7 +88,7 @@ def label_split_codebook(v: DataFrame, m: int = PQ_M, *, label_col: str = "label
     mean sub-vector of rows with label < split, code 1 of the others."""
     d = vector_dim(v, vec_col)
     if d % m:
-        raise ValueError(f"Embedding dimension ({d}) must be divisible by PQ_M ({m}).")
+        raise ValueError(f"product quantisation: {d} elements do not split into {m} equal parts")
     sub = d // m
     x = v.select((F.col(label_col) >= split).cast("int").alias("code"), F.posexplode(vec_col).alias("j", "x"))
     agg = (x.groupBy((F.col("j") / sub).cast("int").alias("m"), "code", (F.col("j") % sub).alias("i"))
@@ -103,7 +104,7 @@ def train_pq(v: DataFrame, m: int = PQ_M, nbits: int = PQ_NBITS, *, vec_col: str
     ``applyInPandas`` group per sub-space, each holding at most the sample."""
     d = vector_dim(v, vec_col)
     if d % m:
-        raise ValueError(f"Embedding dimension ({d}) must be divisible by PQ_M ({m}).")
+        raise ValueError(f"product quantisation: {d} elements do not split into {m} equal parts")
     sub, kc = d // m, 1 << nbits
     sample = _sample(v.select(vec_col), sample_rows, seed)
     parts = sample.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(m - 1)),
@@ -208,12 +209,12 @@ def ivf_topk(queries: DataFrame, index: IvfIndex, k: int = 50, *, nprobe: int =
     spark = queries.sparkSession
     lid, C = _centroid_matrix(index.centroids)
     if nprobe > len(lid):
-        raise ValueError(f"NPROBE ({nprobe}) cannot be greater than NLIST ({len(lid)}).")
+        raise ValueError(f"nprobe is {nprobe}, but the index has {len(lid)} lists")
     d = C.shape[1]
     use_pq = not rescore
-    CB = _codebook_tensor(index.codebook) if use_pq else None
     if use_pq and index.codebook is None:
         raise ValueError("PQ scores need an index built with a codebook")
+    CB = _codebook_tensor(index.codebook) if use_pq else None
     pos_of = {int(x): i for i, x in enumerate(lid)}
     q = queries.where(F.size(vec_col) == d)
     parts = []
@@ -301,17 +302,23 @@ def write_index(index: IvfIndex, path: str) -> None:
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
 
 
+class MissingIndex(ValueError):
+    """There is no index at the path."""
+
+
 def read_index(spark, path: str) -> IvfIndex:
     """A5: exactly one manifest record, else an error."""
     try:
         man = spark.read.parquet(f"{path}/manifest")
-    except Exception as e:  # noqa: BLE001 - missing path
-        raise ValueError("No index structures found in IndexStore.") from e
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise MissingIndex(f"no vector index at {path}") from e
     n = man.count()
     if n == 0:
-        raise ValueError("No index structures found in IndexStore.")
+        raise MissingIndex(f"no vector index at {path}: its manifest is empty")
     if n > 1:
-        raise ValueError(f"Expected exactly one index structure, found {n}.")
+        raise ValueError(f"the manifest at {path} has {n} records where one is due")
     has_pq = man.first()["has_pq"]
     return IvfIndex(spark.read.parquet(f"{path}/centroids"), spark.read.parquet(f"{path}/entries"),
                     spark.read.parquet(f"{path}/codebook") if has_pq else None)
@@ -328,7 +335,7 @@ def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE) -> Dat
     spark = index.entries.sparkSession
     lid, C = _centroid_matrix(index.centroids)
     if nprobe > len(lid):
-        raise ValueError(f"NPROBE ({nprobe}) cannot be greater than NLIST ({len(lid)}).")
+        raise ValueError(f"nprobe is {nprobe}, but the index has {len(lid)} lists")
     d = C.shape[1]
     q = index.entries.select(F.col("node_id").alias("query_id"), "embedding")
     parts = []

@@ -22,9 +22,12 @@ def build_session(master: str | None = None, app: str = "quarry",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    parts = shuffle_partitions or int(os.environ.get("QUARRY_SHUFFLE_PARTITIONS", "8"))
-    b = (b.config("spark.sql.shuffle.partitions", str(parts))
-         .config("spark.sql.adaptive.enabled", "true")
+    parts = shuffle_partitions or os.environ.get("QUARRY_SHUFFLE_PARTITIONS")
+    if not parts and master and master.startswith("local"):
+        parts = 8
+    if parts:  # else the cluster's own value holds
+        b = b.config("spark.sql.shuffle.partitions", str(parts))
+    b = (b.config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")

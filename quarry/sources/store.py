@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -31,20 +32,22 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """A3: read the chunk store; a missing or empty store is an error."""
     try:
         df = spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001 - missing path
-        raise ValueError("No nodes found in persisted docstore.") from e
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise ValueError(f"no chunk table at {path}") from e
     if df.isEmpty():
-        raise ValueError("No nodes found in persisted docstore.")
+        raise ValueError(f"no chunk rows at {path}")
     return df
 
 
 def read_index_optional(spark: SparkSession, path: str):
     """The stored vector index, or None when it is missing (callers then
     fall back to exact search)."""
-    from ..operators.ann import read_index
+    from ..operators.ann import MissingIndex, read_index
     try:
         return read_index(spark, path)
-    except ValueError:
+    except MissingIndex:
         return None
 
 
