@@ -195,9 +195,9 @@ def q_chunk_sentences(spark, sf_dir):
 
 def conversation_articles(spark, sf_dir) -> DataFrame:
     """Nested corpus built from conversations: an article per conversation,
-    a section per user turn, the assistant's reply as its subsection."""
+    a section per turn that is not the assistant's, the assistant's reply as its subsection."""
     cv = load(spark, sf_dir, "conversations")
-    u = cv.where(F.col("role") == "user").alias("u")
+    u = cv.where(F.col("role") != "assistant").alias("u")
     a = cv.where(F.col("role") == "assistant").alias("a")
     sec = u.join(a, (F.col("a.conv_id") == F.col("u.conv_id")) & (F.col("a.turn") == F.col("u.turn") + 1), "left") \
         .select(F.col("u.conv_id").alias("conv_id"), F.col("u.turn").alias("turn"), F.struct(
@@ -298,20 +298,20 @@ def q_pq_train(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ G cache
-def _user_turns(spark, sf_dir):
-    cv = load(spark, sf_dir, "conversations").where(F.col("role") == "user")
+def _turns(spark, sf_dir):
+    cv = load(spark, sf_dir, "conversations")
     fmap = F.when(F.col("turn") == 0, F.lit(None).cast("map<string,string>")).otherwise(
         F.create_map(F.lit("turn"), F.col("turn").cast("string"), F.lit("conv"), F.col("conv_id").cast("string")))
     return cv.select("conv_id", "turn", "text", fmap.alias("filters"))
 
 
 def q_cache_key_exact(spark, sf_dir):
-    u = _user_turns(spark, sf_dir)
+    u = _turns(spark, sf_dir)
     return u.select("conv_id", "turn", cache.exact_key("text", "filters").alias("cache_key"))
 
 
 def q_cache_key_semantic(spark, sf_dir):
-    u = _user_turns(spark, sf_dir)
+    u = _turns(spark, sf_dir)
     return u.select("conv_id", "turn", cache.semantic_key("text", "filters").alias("cache_key"),
                     cache.semantic_filters_hash("filters").alias("filters_hash"))
 
@@ -368,8 +368,8 @@ def q_semantic_cache_lookup(spark, sf_dir):
 
 
 def q_judge_pairs(spark, sf_dir):
-    u = load(spark, sf_dir, "conversations").where(F.col("role") == "user").alias("u")
-    p = load(spark, sf_dir, "conversations").where(F.col("role") == "user").alias("p")
+    u = load(spark, sf_dir, "conversations").alias("u")
+    p = load(spark, sf_dir, "conversations").alias("p")
     pairs = u.join(p, (F.col("p.conv_id") == F.col("u.conv_id")) & (F.col("p.turn") == F.col("u.turn") - 2)) \
         .select(F.col("u.conv_id").alias("conv_id"), F.col("u.turn").alias("turn"),
                 F.col("u.text").alias("query"), F.col("p.text").alias("cached_query"))

@@ -281,11 +281,11 @@ def sql_flatten_articles() -> str:
     return """
 SELECT CAST(u.conv_id AS VARCHAR) AS article_id, 'turn-' || u.turn AS section, '#t' || u.turn AS section_anchor,
        NULL::VARCHAR AS subsection, NULL::VARCHAR AS subsection_anchor, u.text
-FROM conversations u WHERE u.role = 'user' AND length(u.text) > 0
+FROM conversations u WHERE u.role <> 'assistant' AND length(u.text) > 0
 UNION ALL
 SELECT CAST(u.conv_id AS VARCHAR), 'turn-' || u.turn, '#t' || u.turn, 'reply-' || a.turn, '#r' || a.turn, a.text
 FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-WHERE u.role = 'user'"""
+WHERE u.role <> 'assistant'"""
 
 
 def hashed_ctes(src: str, dim: int = 64, prefix: str = "he") -> str:
@@ -403,22 +403,22 @@ SELECT query_id, node_id, rank, round(score, 6) AS score FROM (
 WHERE rank <= {VEC_K}"""
 
 
-def _user_turns_sql() -> str:
+def _turns_sql() -> str:
     return f"""
 u AS (SELECT conv_id, turn, text, {norm_cache('text')} AS q,
              CASE WHEN turn = 0 THEN NULL
                   ELSE '{{"conv":' || to_json(conv_id::VARCHAR) || ',"turn":' || to_json(turn::VARCHAR) || '}}' END AS fj
-      FROM conversations WHERE role = 'user')"""
+      FROM conversations)"""
 
 
 def sql_cache_key_exact() -> str:
-    return "WITH " + _user_turns_sql() + """
+    return "WITH " + _turns_sql() + """
 SELECT conv_id, turn, 'exact_cache:' || sha256('{"metadata_filters":' || coalesce(fj, '{}') || ',"query":' || to_json(q)
        || ',"rag_pipeline_version":"v1","tenant_id":"default"}') AS cache_key FROM u"""
 
 
 def sql_cache_key_semantic() -> str:
-    return "WITH " + _user_turns_sql() + """
+    return "WITH " + _turns_sql() + """
 SELECT conv_id, turn, 'semantic_cache:' || sha256(coalesce(fj, 'null') || ':v1:default:' || q) AS cache_key,
        sha256(coalesce(fj, 'null')) AS filters_hash FROM u"""
 
@@ -503,8 +503,7 @@ def sql_judge_pairs() -> str:
     return f"""
 SELECT u.conv_id, u.turn, {ts('u.text')} = {ts('p.text')} AS match,
        CASE WHEN {ts('u.text')} = {ts('p.text')} THEN 'same terms' ELSE 'different terms' END AS reason
-FROM conversations u JOIN conversations p ON p.conv_id = u.conv_id AND p.turn = u.turn - 2
-WHERE u.role = 'user' AND p.role = 'user'"""
+FROM conversations u JOIN conversations p ON p.conv_id = u.conv_id AND p.turn = u.turn - 2"""
 
 
 def sql_rerank_top5() -> str:
