@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import l2_normalize
 from ..session import broadcast_limit
-from .vector_search import _query_batches, _topk_rows_pairs, _vec_matrix, vector_dim
+from .vector_search import _query_batches, _topk_rows_pairs, _vec_matrix, same_length, vector_dim
 
 # Index parameters of the reference.
 NLIST = 50
@@ -156,7 +156,7 @@ def assign_lists(v: DataFrame, centroids: DataFrame, *, vec_col: str = "embeddin
                 list(rb.columns) + [pa.array(lid[best].astype(np.int32)),
                                     pa.array(S[np.arange(len(best)), best])],
                 names=list(rb.schema.names) + ["list_id", "list_score"])
-    return v.where(F.size(vec_col) == d).mapInArrow(run, schema)
+    return same_length(v, vec_col, d).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- C3 encode
@@ -216,7 +216,7 @@ def ivf_topk(queries: DataFrame, index: IvfIndex, k: int = 50, *, nprobe: int =
         raise ValueError("PQ scores need an index built with a codebook")
     CB = _codebook_tensor(index.codebook) if use_pq else None
     pos_of = {int(x): i for i, x in enumerate(lid)}
-    q = queries.where(F.size(vec_col) == d)
+    q = same_length(queries, vec_col, d)
     parts = []
     for batch in _query_batches(q, query_id, d, broadcast_limit(spark), extra_bytes=8 * nprobe):
         tbl = batch.select(F.col(query_id).cast("long").alias("qid"), F.col(vec_col).alias("qv")).toArrow()

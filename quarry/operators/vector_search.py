@@ -33,6 +33,15 @@ def _vec_matrix(col: pa.Array, dim: int) -> np.ndarray:
     return flat.astype(np.float64, copy=False).reshape(len(col), dim)
 
 
+def same_length(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
+    """``df``, failing the task on a vector that is null or not ``dim`` long: no row is left out unseen."""
+    v = F.col(vec_col)
+    what = F.concat(F.lit(f"{vec_col}: a vector of length "), F.coalesce(F.size(v).cast("string"), F.lit("null")),
+                    F.lit(f" where {dim} is due"))
+    kind = df.schema[vec_col].dataType
+    return df.withColumn(vec_col, F.when(v.isNotNull() & (F.size(v) == dim), v).otherwise(F.raise_error(what).cast(kind)))
+
+
 def vector_dim(df: DataFrame, vec_col: str = "embedding") -> int:
     """Dimension of the vectors (from the first non-null row)."""
     row = df.select(F.size(vec_col).alias("d")).where(F.col(vec_col).isNotNull()).first()
@@ -165,7 +174,7 @@ def _knn_scan(corpus: DataFrame, bq, k: int, dim: int, node_col: str, vec_col: s
     if grouped:
         cols.append(F.col("_g").alias("ng"))
     cols += [F.col(f"_cf{i}") for i in range(n_filters)] + [F.col(f"_cv{i}") for i in range(n_filters)]
-    src = corpus.where(F.size(vec_col) == dim).select(*cols)
+    src = same_length(corpus, vec_col, dim).select(*cols)
     return src.mapInArrow(scan, "query_id long, node_id long, score double")
 
 
@@ -190,7 +199,7 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 50, *,
     spark = queries.sparkSession
     if dim is None:
         dim = vector_dim(corpus, node_vec)
-    q = queries.where(F.size(query_vec) == dim)
+    q = same_length(queries, query_vec, dim)
     c = corpus
     gk = _group_key(group_cols)
     if gk is not None:
@@ -229,7 +238,7 @@ def similar_pairs(df: DataFrame, threshold: float, *, id_col: str = "node_id",
     spark = df.sparkSession
     if dim is None:
         dim = vector_dim(df, vec_col)
-    base = df.where(F.size(vec_col) == dim)
+    base = same_length(df, vec_col, dim)
     gk = _group_key(scope)
     if gk is not None:
         base = base.withColumn("_g", gk)

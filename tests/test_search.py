@@ -166,3 +166,15 @@ def test_ivf_pairs_full_probe_is_exact_and_partial_is_subset(spark):
     b = {r[0] for r in dedup.semantic_dedup(df, threshold=0.7, score_col=None,
                                             centroids=ann.label_centroids(df), nprobe=5).collect()}
     assert a == b
+
+
+def test_a_vector_of_another_length_is_an_error(spark):
+    from quarry.operators.vector_search import similar_pairs, vector_topk
+    good = [(i, [float(i), 1.0]) for i in range(3)]
+    for bad in ((7, [1.0]), (7, None)):
+        df = spark.createDataFrame([*good, bad], "node_id long, embedding array<float>")
+        with pytest.raises(Exception, match="where 2 is due"):
+            similar_pairs(df, 0.5, dim=2).collect()
+        q = spark.createDataFrame(good, "query_id long, embedding array<float>")
+        with pytest.raises(Exception, match="where 2 is due"):
+            vector_topk(q, df, 2).collect()
