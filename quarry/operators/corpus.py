@@ -157,11 +157,12 @@ def _chunk_udf(mode: str, size: int, overlap: int):
 
 
 def chunk(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, *,
-          mode: str = "sentence", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          mode: str = "sentence", id_col: str = "doc_id", text_col: str = "text",
+          layout: str = "dense") -> DataFrame:
     """Chunk every document; metadata columns ride along unchanged.
 
     Returns the document columns (text replaced by the chunk text) plus
-    ``chunk_no`` and ``node_id`` (B5: ``doc_id * 2^20 + chunk_no``, checked).
+    ``chunk_no`` and ``node_id`` (B5, see ``with_chunk_id`` for ``layout``).
     """
     if overlap >= size:
         raise ValueError("overlap must be smaller than the chunk size")
@@ -169,11 +170,19 @@ def chunk(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVE
     exploded = (documents.select(*meta, *gen_rows(_chunk_udf(mode, size, overlap)(F.col(text_col)),
                                                   "text", "chunk_no"))
                 .where(F.col("chunk_no").isNotNull()))
-    return with_chunk_id(exploded, id_col)
+    return with_chunk_id(exploded, id_col, layout)
 
 
-def with_chunk_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Deterministic id, equal on every re-run; chunk_no >= 2^20 fails the task."""
+def with_chunk_id(df: DataFrame, id_col: str = "doc_id", layout: str = "dense") -> DataFrame:
+    """Deterministic id, equal on every re-run.
+
+    ``dense``: ``doc_id * 2^20 + chunk_no`` for document ids below 2^43; a larger id or a
+    chunk_no from 2^20 on fails the task. ``hash``: a 64-bit hash of both, for ids that
+    are hashes themselves (``with_doc_id``)."""
+    if layout == "hash":
+        return df.withColumn("node_id", F.xxhash64(F.col(id_col), F.col("chunk_no").cast("long")))
+    if layout != "dense":
+        raise ValueError(f"unknown id layout {layout!r}")
     guard = F.assert_true(F.col("chunk_no") < F.lit(1 << CHUNK_BITS),
                           F.lit("chunk_no does not fit the id layout"))
     return df.withColumn("node_id", F.when(guard.isNull(),

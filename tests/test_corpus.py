@@ -183,3 +183,13 @@ def test_document_ids_tell_sections_apart_by_anchor(spark):
     rows = [("a", "Title", "one", None, None), ("a", "Title", "two", None, None)]
     df = spark.createDataFrame(rows, "article_id string, section string, section_anchor string, subsection string, subsection_anchor string")
     assert corpus.with_doc_id(df).select("doc_id").distinct().count() == 2
+
+
+def test_hashed_document_ids_chunk_without_overflow(spark):
+    rows = [(f"a{i}", "s", None, None, None, "one two three. " * 40) for i in range(20)]
+    df = spark.createDataFrame(rows, "article_id string, section string, section_anchor string, subsection string, "
+                                     "subsection_anchor string, text string")
+    got = corpus.chunk(corpus.with_doc_id(df), size=20, overlap=5, layout="hash")
+    assert got.count() > 40 and got.select("node_id").distinct().count() == got.count()
+    with pytest.raises(ValueError, match="layout"):
+        corpus.chunk(corpus.with_doc_id(df), layout="other")
