@@ -6,34 +6,39 @@ and are the only things broadcast, after their size is checked. The entry
 table ``(node_id, list_id, embedding, codes)`` is the big one; written with
 ``partitionBy("list_id")`` it lets a probe read only the probed lists.
 
-Search scans the entries with ``mapInArrow``: each task groups its Arrow
-batch by list and scores only the queries that probe that list (exact inner
-product, or the PQ lookup-table sum), keeping a running top-k per query.
+Search turns each query into a row per probed list and joins these rows with the entries of the
+list in cells of bounded size (``block_join``): exact inner products, or
+sums from a table of code scores.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import l2_normalize
 from ..session import broadcast_limit
-from .vector_search import _query_batches, _topk_rows_pairs, _vec_matrix, same_length, vector_dim
+from . import block_join
+from ._plan import cut_lineage
+from .vector_search import ranked, same_length, vector_dim
 
 # Index parameters of the reference.
 NLIST = 50
 PQ_M = 32
 PQ_NBITS = 1
 NPROBE = 5
-TRAIN_SAMPLE_ROWS = 200_000
+
+#: Queries whose table of code scores is held at a time.
+CODE_QUERIES = 128
 
 
 def _check_small(n_floats: int, spark, what: str) -> None:
@@ -45,7 +50,7 @@ def _to_matrix(df: DataFrame, key_cols: list[str], vec_col: str) -> tuple[np.nda
     tbl = df.orderBy(*key_cols).toArrow()
     keys = np.stack([tbl.column(c).to_numpy() for c in key_cols], axis=1)
     d = len(tbl.column(vec_col)[0]) if tbl.num_rows else 0
-    return keys, (_vec_matrix(tbl.column(vec_col), d) if tbl.num_rows else np.zeros((0, 0)))
+    return keys, (block_join.matrix(tbl.column(vec_col), d) if tbl.num_rows else np.zeros((0, 0)))
 
 
 # ---------------------------------------------------------------- C1 training
@@ -58,26 +63,20 @@ def label_centroids(v: DataFrame, *, label_col: str = "label", vec_col: str = "e
                     l2_normalize(F.transform("s", lambda e: e["x"].cast("float")), strict=False).alias("centroid"))
 
 
-def _sample(v: DataFrame, max_rows: int, seed: int) -> DataFrame:
-    n = v.count()
-    return v if n <= max_rows else v.sample(fraction=min(1.0, 1.2 * max_rows / n), seed=seed).limit(max_rows)
-
-
 def train_ivf(v: DataFrame, nlist: int | None = None, *, vec_col: str = "embedding",
-              sample_rows: int = TRAIN_SAMPLE_ROWS, seed: int = 42, max_iter: int = 20) -> DataFrame:
-    """Cosine k-means on a bounded sample (Spark ML). ``nlist`` defaults to
+              seed: int = 42, max_iter: int = 20) -> DataFrame:
+    """Cosine k-means (Spark ML) on all vectors. ``nlist`` defaults to
     ``4 * sqrt(n)``. Returns ``list_id, centroid`` (unit vectors)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    n = v.count()
     if nlist is None:
-        nlist = max(1, int(4 * math.sqrt(n)))
-    sample = _sample(v.select(vec_col), sample_rows, seed)
-    data = sample.select(array_to_vector(l2_normalize(vec_col, strict=False)).alias("features"))
+        nlist = max(1, int(4 * math.sqrt(v.count())))
+    # every iteration reads the vectors: normalised and written once
+    data = cut_lineage(v.select(l2_normalize(vec_col, strict=False).alias("u")))
+    data = data.select(array_to_vector("u").alias("features"))
     model = KMeans(k=nlist, distanceMeasure="cosine", seed=seed, maxIter=max_iter).fit(data)
-    spark = v.sparkSession
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    c = spark.createDataFrame(rows, "list_id int, centroid array<double>")
+    c = v.sparkSession.createDataFrame(rows, "list_id int, centroid array<double>")
     return c.select("list_id", l2_normalize(F.transform("centroid", lambda x: x.cast("float")), strict=False)
                     .alias("centroid"))
 
@@ -99,28 +98,58 @@ def label_split_codebook(v: DataFrame, m: int = PQ_M, *, label_col: str = "label
 
 
 def train_pq(v: DataFrame, m: int = PQ_M, nbits: int = PQ_NBITS, *, vec_col: str = "embedding",
-             sample_rows: int = TRAIN_SAMPLE_ROWS, seed: int = 42, iters: int = 25) -> DataFrame:
-    """Per-sub-space k-means (2^nbits centroids) on a bounded sample; one
-    ``applyInPandas`` group per sub-space, each holding at most the sample."""
+             iters: int = 25) -> DataFrame:
+    """K-means in each of ``m`` sub-spaces (at most 2^nbits centroids) over all vectors.
+
+    Lloyd steps: a task adds up its vectors per sub-space and nearest code, Spark adds up the
+    tasks, and the driver sees ``m * 2^nbits`` means. The start is the distinct vectors of the
+    least hashes, so runs agree; a code that loses all its vectors keeps its place. Stops early once
+    no mean moves."""
     d = vector_dim(v, vec_col)
     if d % m:
         raise ValueError(f"product quantisation: {d} elements do not split into {m} equal parts")
     sub, kc = d // m, 1 << nbits
-    sample = _sample(v.select(vec_col), sample_rows, seed)
-    parts = sample.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(m - 1)),
-                                                   lambda i: F.slice(vec_col, i * sub + 1, sub)))
-                          .alias("m", "x"))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-        rng = np.random.default_rng(seed + int(pdf["m"].iloc[0]))
-        C = X[rng.choice(len(X), size=min(kc, len(X)), replace=False)]
-        for _ in range(iters):
-            a = ((X[:, None, :] - C[None]) ** 2).sum(-1).argmin(1)
-            C = np.stack([X[a == j].mean(0) if (a == j).any() else C[j] for j in range(len(C))])
-        return pd.DataFrame({"m": int(pdf["m"].iloc[0]), "code": np.arange(len(C), dtype=np.int32),
-                             "centroid": list(C)})
-    return parts.groupBy("m").applyInPandas(fit, "m int, code int, centroid array<double>")
+    data = cut_lineage(same_length(v, vec_col, d).select(F.col(vec_col).cast("array<double>").alias("x")))
+    start = data.select(F.xxhash64("x").alias("h"), "x").distinct().orderBy("h", "x").limit(kc).collect()
+    book = np.array([r["x"] for r in start], np.float64).reshape(len(start), m, sub).transpose(1, 0, 2)
+    _check_small(book.size, v.sparkSession, "codebook")
+    k = book.shape[1]
+    for _ in range(iters):
+        bc = v.sparkSession.sparkContext.broadcast(book)
+
+        def add_up(batches, bc=bc):
+            cb = bc.value
+            sums, counts = np.zeros((m * k, sub)), np.zeros(m * k, np.int64)
+            for rb in batches:
+                x = block_join.matrix(rb.column("x"), d).reshape(-1, m, sub)
+                for j in range(m):
+                    at = j * k + _nearest(x[:, j], cb[j])
+                    np.add.at(sums, at, x[:, j])
+                    counts += np.bincount(at, minlength=m * k)
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_pydict({
+                "at": pa.array(some, pa.int64()), "n": pa.array(counts[some], pa.int64()),
+                "s": pa.array(list(sums[some]), pa.list_(pa.float64()))})
+        parts = data.mapInArrow(add_up, "at long, n long, s array<double>")
+        # at most m * 2^nbits rows
+        means = parts.groupBy("at").agg(
+            F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[i]) for i in range(sub)]).alias("s")).collect()
+        bc.unpersist()
+        new = book.reshape(m * k, sub).copy()
+        for r in means:
+            new[r["at"]] = np.array(r["s"]) / r["n"]
+        new = new.reshape(m, k, sub)
+        moved, book = not np.allclose(new, book, rtol=0, atol=1e-12), new
+        if not moved:
+            break
+    rows = [(j, c, [float(x) for x in book[j, c]]) for j in range(m) for c in range(k)]
+    return v.sparkSession.createDataFrame(rows, "m int, code int, centroid array<double>")
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray, rows: int = 4096) -> np.ndarray:
+    """Code of the nearest centroid (L2, the first of equals) of each row."""
+    return np.concatenate([((x[i:i + rows, None, :] - centroids[None]) ** 2).sum(-1).argmin(1)
+                           for i in range(0, len(x), rows)] or [np.empty(0, np.int64)])
 
 
 # ---------------------------------------------------------------- C2 assign
@@ -150,7 +179,7 @@ def assign_lists(v: DataFrame, centroids: DataFrame, *, vec_col: str = "embeddin
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            S = _vec_matrix(rb.column(vec_col), d) @ Cm.T
+            S = block_join.matrix(rb.column(vec_col), d) @ Cm.T
             best = S.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
                 list(rb.columns) + [pa.array(lid[best].astype(np.int32)),
@@ -173,13 +202,13 @@ def pq_encode(v: DataFrame, codebook: DataFrame, *, vec_col: str = "embedding")
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            X = _vec_matrix(rb.column(vec_col), M * sub).reshape(rb.num_rows, M, sub)
+            X = block_join.matrix(rb.column(vec_col), M * sub).reshape(rb.num_rows, M, sub)
             dist = ((X[:, :, None, :] - cb[None]) ** 2).sum(-1)
             codes = dist.argmin(-1).astype(np.int8)
             arr = pa.ListArray.from_arrays(pa.array(np.arange(0, (rb.num_rows + 1) * M, M, dtype=np.int32)),
                                            pa.array(codes.ravel(), pa.int8()))
             yield pa.RecordBatch.from_arrays(list(rb.columns) + [arr], names=list(rb.schema.names) + ["codes"])
-    return v.where(F.size(vec_col) == M * sub).mapInArrow(run, schema)
+    return same_length(v, vec_col, M * sub).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- index
@@ -201,92 +230,78 @@ def build_index(v: DataFrame, centroids: DataFrame, codebook: DataFrame | None =
 
 
 # ---------------------------------------------------------------- C4 / C5 search
+def probe_lists(v: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
+    """``(_id, _v)`` to a row ``(_key, _id, _v)`` for each of the ``nprobe`` lists nearest to the vector."""
+    lid, C = _centroid_matrix(centroids)
+    if nprobe > len(lid):
+        raise ValueError(f"nprobe is {nprobe}, but the index has {len(lid)} lists")
+    bc, d = v.sparkSession.sparkContext.broadcast((lid, C)), C.shape[1]
+
+    @F.pandas_udf("array<long>")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        ids, c = bc.value
+        s = np.stack(vectors.to_numpy()).astype(np.float64) @ c.T if len(vectors) else np.empty((0, len(ids)))
+        return pd.Series(list(ids[np.argsort(-s, axis=1, kind="stable")[:, :nprobe]]))
+    return (same_length(v, "_v", d).withColumn("_lists", nearest("_v"))
+            .select("_id", "_v", F.posexplode_outer("_lists").alias("_at", "_list"))
+            .select(F.col("_list").cast("string").alias("_key"), "_id", "_v"))
+
+
+def _code_scores(bc) -> Callable:
+    """Scores of coded vectors: a table of products of query parts and codes, a stretch of queries at a time."""
+    def scores(qv: np.ndarray, codes: pa.ChunkedArray) -> Callable:
+        cb = bc.value
+        m, _, sub = cb.shape
+        coded = block_join.matrix(codes, m).astype(np.int64)
+        parts = qv.reshape(len(qv), m, sub)
+
+        def scorer(lo: int, hi: int) -> np.ndarray:
+            out = np.zeros((len(qv), hi - lo))
+            for at in range(0, len(qv), CODE_QUERIES):
+                lut = np.einsum("qms,mks->qmk", parts[at:at + CODE_QUERIES], cb)
+                for j in range(m):
+                    out[at:at + CODE_QUERIES] += lut[:, j, :][:, coded[lo:hi, j]]
+            return out
+        return scorer
+    return scores
+
+
 def ivf_topk(queries: DataFrame, index: IvfIndex, k: int = 50, *, nprobe: int = NPROBE,
              query_id: str = "query_id", vec_col: str = "embedding", exclude_self: bool = False,
-             rescore: bool = True) -> DataFrame:
+             rescore: bool = True, blocks: tuple[int, int] = block_join.TOPK_BLOCKS) -> DataFrame:
     """C4 (exact scores inside the probed lists) or C5 (``rescore=False``:
-    PQ lookup-table scores). Returns ``query_id, node_id, score, rank``."""
-    spark = queries.sparkSession
-    lid, C = _centroid_matrix(index.centroids)
-    if nprobe > len(lid):
-        raise ValueError(f"nprobe is {nprobe}, but the index has {len(lid)} lists")
-    d = C.shape[1]
-    use_pq = not rescore
-    if use_pq and index.codebook is None:
+    PQ lookup-table scores). Returns ``query_id, node_id, score, rank``.
+
+    Each query becomes a row per probed list and meets the entries of that list in a blocked join, so a
+    list is read once for all queries that probe it and a long list is split. Only centroids and
+    codebook (checked sizes) are broadcast."""
+    if not rescore and index.codebook is None:
         raise ValueError("PQ scores need an index built with a codebook")
-    CB = _codebook_tensor(index.codebook) if use_pq else None
-    pos_of = {int(x): i for i, x in enumerate(lid)}
-    q = same_length(queries, vec_col, d)
-    parts = []
-    for batch in _query_batches(q, query_id, d, broadcast_limit(spark), extra_bytes=8 * nprobe):
-        tbl = batch.select(F.col(query_id).cast("long").alias("qid"), F.col(vec_col).alias("qv")).toArrow()
-        qid = tbl.column("qid").to_numpy()
-        qv = _vec_matrix(tbl.column("qv"), d) if tbl.num_rows else np.zeros((0, d))
-        S = qv @ C.T
-        probe = np.argsort(-S, axis=1, kind="stable")[:, :nprobe]       # positions in lid
-        by_list: dict[int, np.ndarray] = {}
-        for p in range(len(lid)):
-            rows = np.nonzero((probe == p).any(axis=1))[0]
-            if len(rows):
-                by_list[int(lid[p])] = rows
-        lut = None
-        if use_pq:
-            M, K, sub = CB.shape
-            lut = np.einsum("qms,mks->qmk", qv.reshape(len(qv), M, sub), CB)
-        bc = spark.sparkContext.broadcast((qid, qv, by_list, lut))
-        probed = sorted(by_list)
-
-        def scan(batches, bc=bc):
-            qid, qv, by_list, lut = bc.value
-            nq = len(qid)
-            best_s = np.full((nq, k), -np.inf)
-            best_i = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
-            for rb in batches:
-                if rb.num_rows == 0:
-                    continue
-                lists = rb.column("list_id").to_numpy(zero_copy_only=False)
-                ids = rb.column("node_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                if lut is None:
-                    X = _vec_matrix(rb.column("embedding"), d)
-                else:
-                    codes = rb.column("codes").combine_chunks() if hasattr(rb.column("codes"), "combine_chunks") \
-                        else rb.column("codes")
-                    Cd = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(rb.num_rows, -1)
-                for l in np.unique(lists):
-                    rows = by_list.get(int(l))
-                    if rows is None:
-                        continue
-                    sel = np.nonzero(lists == l)[0]
-                    if lut is None:
-                        Sc = qv[rows] @ X[sel].T
-                    else:
-                        Ls = lut[rows]                                    # (r, M, K)
-                        Sc = np.zeros((len(rows), len(sel)))
-                        for mm in range(Ls.shape[1]):
-                            Sc += Ls[:, mm, :][:, Cd[sel, mm]]
-                    cid = ids[sel]
-                    if exclude_self:
-                        Sc[qid[rows][:, None] == cid[None, :]] = -np.inf
-                    s2 = np.concatenate([best_s[rows], Sc], axis=1)
-                    i2 = np.concatenate([best_i[rows], np.broadcast_to(cid, Sc.shape)], axis=1)
-                    bs, bi = _topk_rows_pairs(s2, i2, k)
-                    best_s[rows], best_i[rows] = bs, bi
-            keep = np.isfinite(best_s)
-            r = np.nonzero(keep)[0]
-            if len(r):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(qid[r], pa.int64()), pa.array(best_i[keep], pa.int64()),
-                     pa.array(best_s[keep], pa.float64())], names=["query_id", "node_id", "score"])
-
-        cols = ["node_id", "list_id", "codes" if use_pq else "embedding"]
-        src = index.entries.where(F.col("list_id").isin(probed)).select(*cols)
-        parts.append(src.mapInArrow(scan, "query_id long, node_id long, score double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.round(F.col("score"), 9).desc(), F.col("node_id"))
-    return (out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("rank", F.col("rank").cast("long")))
+    q = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vec_col).alias("_v"))
+    q = cut_lineage(probe_lists(q, index.centroids, nprobe))
+    stored = index.entries.select(F.col("list_id").cast("string").alias("_key"), F.col("node_id").cast("long").alias("_id"),
+                                  F.col("embedding" if rescore else "codes").alias("_v"))
+    scores = None
+    if not rescore:
+        scores = _code_scores(queries.sparkSession.sparkContext.broadcast(_codebook_tensor(index.codebook)))
+    d = vector_dim(index.centroids, "centroid")
+    return ranked(block_join.knn(q, stored, k, d, exclude_self=exclude_self, blocks=blocks, scores=scores), k)
+
+
+def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE,
+              block: int = block_join.PAIR_BLOCK) -> DataFrame:
+    """C8 blocked by the IVF lists: every pair ``(a < b)`` of indexed vectors
+    with inner product >= threshold such that one of them probes the other's
+    list. Each vector meets only the lists it probes, so compute
+    is about ``n^2 * nprobe / nlist`` instead of ``n^2``; with ``nprobe`` equal
+    to the number of lists the result is the exact self-join.
+    Returns ``id_a, id_b, similarity``."""
+    own = index.entries.select(F.col("list_id").cast("string").alias("_key"),
+                               F.col("node_id").cast("long").alias("_id"), F.col("embedding").alias("_v"))
+    probes = cut_lineage(probe_lists(own.select("_id", "_v"), index.centroids, nprobe))
+    found = block_join.pairs(probes, own, threshold, vector_dim(index.centroids, "centroid"), block)
+    # a pair can be found from both ends: keep one row per pair
+    return found.groupBy("id_a", "id_b").agg(F.max("similarity").alias("similarity"))
 
 
 # ---------------------------------------------------------------- A4 / A5 storage
@@ -322,56 +337,3 @@ def read_index(spark, path: str) -> IvfIndex:
     has_pq = man.first()["has_pq"]
     return IvfIndex(spark.read.parquet(f"{path}/centroids"), spark.read.parquet(f"{path}/entries"),
                     spark.read.parquet(f"{path}/codebook") if has_pq else None)
-
-
-def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE) -> DataFrame:
-    """C8 blocked by the IVF lists: every pair ``(a < b)`` of indexed vectors
-    with inner product >= threshold such that one of them probes the other's
-    list. Each vector is scored only against the lists it probes, so compute
-    is about ``n^2 * nprobe / nlist`` instead of ``n^2``; with ``nprobe`` equal
-    to the number of lists the result is the exact self-join. The query side
-    (all entries, in size-checked batches) is broadcast; the entries are
-    scanned list by list as in ``ivf_topk``. Returns ``id_a, id_b, similarity``."""
-    spark = index.entries.sparkSession
-    lid, C = _centroid_matrix(index.centroids)
-    if nprobe > len(lid):
-        raise ValueError(f"nprobe is {nprobe}, but the index has {len(lid)} lists")
-    d = C.shape[1]
-    q = index.entries.select(F.col("node_id").alias("query_id"), "embedding")
-    parts = []
-    for batch in _query_batches(q, "query_id", d, broadcast_limit(spark), extra_bytes=8 * nprobe):
-        tbl = batch.select(F.col("query_id").cast("long").alias("qid"), F.col("embedding").alias("qv")).toArrow()
-        qid = tbl.column("qid").to_numpy()
-        qv = _vec_matrix(tbl.column("qv"), d) if tbl.num_rows else np.zeros((0, d))
-        probe = np.argsort(-(qv @ C.T), axis=1, kind="stable")[:, :nprobe]
-        by_list = {int(lid[p]): np.nonzero((probe == p).any(axis=1))[0] for p in range(len(lid))}
-        by_list = {k: v for k, v in by_list.items() if len(v)}
-        bc = spark.sparkContext.broadcast((qid, qv, by_list))
-
-        def scan(batches, bc=bc):
-            qid, qv, by_list = bc.value
-            for rb in batches:
-                if rb.num_rows == 0:
-                    continue
-                lists = rb.column("list_id").to_numpy(zero_copy_only=False)
-                ids = rb.column("node_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                X = _vec_matrix(rb.column("embedding"), d)
-                for l in np.unique(lists):
-                    rows = by_list.get(int(l))
-                    if rows is None:
-                        continue
-                    sel = np.nonzero(lists == l)[0]
-                    S = qv[rows] @ X[sel].T
-                    r, c = np.nonzero((S >= threshold) & (qid[rows][:, None] != ids[sel][None, :]))
-                    if len(r):
-                        a, b = qid[rows][r], ids[sel][c]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(S[r, c])],
-                            names=["id_a", "id_b", "similarity"])
-        parts.append(index.entries.select("node_id", "list_id", "embedding")
-                     .mapInArrow(scan, "id_a long, id_b long, similarity double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # a pair can be found from both ends: keep one row per pair
-    return out.groupBy("id_a", "id_b").agg(F.max("similarity").alias("similarity"))

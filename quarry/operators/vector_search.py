@@ -1,38 +1,21 @@
 """Exact vector search (C6, C7) and the exact similarity self-join.
 
-Plan shape: the *query* side is small per batch and is shipped to executors
-as a broadcast variable only after its size is checked; the *corpus* side is
-scanned in parallel with ``mapInArrow`` so each task scores an Arrow batch
-against the broadcast queries with one BLAS matrix product and keeps only a
-running top-k per query. No pair table is ever materialised: a task emits at
-most ``queries x k`` rows, and a final ``row_number()`` window (which Spark
-turns into a partial + final ``WindowGroupLimit``) merges the per-task lists.
-
-If the query table does not fit the broadcast limit it is split by a hash of
-its id into as many batches as needed; each batch is one more scan of the
-corpus (union), so the memory bound holds at any query volume.
+Both are blocked similarity joins (``block_join``): queries and vectors meet on executors, by
+context where there is one, in cells of bounded size. A search keeps the best ``k`` of each cell, and
+a ``row_number()`` window (partial and final ``WindowGroupLimit``) merges the cells; the
+self-join emits the pairs that reach the threshold. No table passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit
+from . import block_join
 from ._plan import cut_lineage
 
 
-def _vec_matrix(col: pa.Array, dim: int) -> np.ndarray:
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64, copy=False).reshape(len(col), dim)
-
-
 def same_length(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
     """``df``, failing the task on a vector that is null or not ``dim`` long: no row is left out unseen."""
     v = F.col(vec_col)
@@ -50,35 +33,6 @@ def vector_dim(df: DataFrame, vec_col: str = "embedding") -> int:
     return int(row["d"])
 
 
-def _query_batches(queries: DataFrame, id_col: str, dim: int, limit: int,
-                   extra_bytes: int = 16) -> list[DataFrame]:
-    """Split queries so each batch's numpy form stays under ``limit`` bytes."""
-    n = queries.count()
-    per_row = dim * 8 + 8 + extra_bytes
-    nb = max(1, math.ceil(n * per_row / limit))
-    if nb == 1:
-        return [queries]
-    b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb))
-    return [queries.where(b == i) for i in range(nb)]
-
-
-def _collect_batch(batch: DataFrame, id_col: str, vec_col: str, dim: int,
-                   group_col: str | None, n_filters: int = 0):
-    cols = [F.col(id_col).cast("long").alias("qid"), F.col(vec_col).alias("qv")]
-    if group_col:
-        cols.append(F.col(group_col).alias("qg"))
-    cols += [F.col(f"_qf{i}") for i in range(n_filters)] + [F.col(f"_qn{i}") for i in range(n_filters)]
-    tbl = batch.select(*cols).toArrow()
-    qid = tbl.column("qid").to_numpy()
-    qv = _vec_matrix(tbl.column("qv"), dim) if tbl.num_rows else np.zeros((0, dim))
-    qg = tbl.column("qg").to_numpy() if group_col else None
-    if n_filters:
-        qf = np.stack([tbl.column(f"_qf{i}").to_numpy() for i in range(n_filters)], axis=1)
-        qn = np.stack([tbl.column(f"_qn{i}").to_numpy(zero_copy_only=False) for i in range(n_filters)], axis=1)
-        return qid, qv, qg, (qf, qn)
-    return qid, qv, qg, None
-
-
 def filter_codes(df: DataFrame, cols: list[str], side: str) -> DataFrame:
     """Hash codes for metadata filters: query side ``_qf{i}`` / ``_qn{i}``
     (null filter = wildcard), corpus side ``_cf{i}`` / ``_cv{i}`` (null
@@ -108,170 +62,57 @@ def corpus_filter_arrays(rb, n_filters: int):
     return cf, cv
 
 
-def _group_key(cols: list[str] | None):
-    if not cols:
-        return None
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000null")) for c in cols])
-
-
-def _topk_rows(S: np.ndarray, ids: np.ndarray, k: int):
-    """Top-k per row of S by (score desc, id asc); returns (scores, ids)."""
-    n = S.shape[1]
-    if n <= k:
-        order = np.lexsort((np.broadcast_to(ids, S.shape), -S), axis=-1)
-        return np.take_along_axis(S, order, 1), ids[order]
-    part = np.argpartition(-S, k - 1, axis=1)[:, :k]
-    top_s = np.take_along_axis(S, part, 1)
-    kth = top_s.min(axis=1)
-    # Rows where a tie straddles the cut need the exact id tie-break.
-    n_ge = (S >= kth[:, None]).sum(axis=1)
-    tied = np.nonzero(n_ge > k)[0]
-    top_i = ids[part]
-    for r in tied:
-        cand = np.nonzero(S[r] >= kth[r])[0]
-        o = np.lexsort((ids[cand], -S[r, cand]))[:k]
-        top_s[r] = S[r, cand[o]]
-        top_i[r] = ids[cand[o]]
-    return top_s, top_i
-
-
-def _knn_scan(corpus: DataFrame, bq, k: int, dim: int, node_col: str, vec_col: str,
-              grouped: bool, exclude_self: bool, n_filters: int = 0) -> DataFrame:
-    neg = -np.inf
-
-    def scan(batches):
-        qid, qv, qg, qfilt = bq.value
-        nq = len(qid)
-        best_s = np.full((nq, 0), neg)
-        best_i = np.zeros((nq, 0), dtype=np.int64)
-        for rb in batches:
-            if rb.num_rows == 0 or nq == 0:
-                continue
-            ids = rb.column("nid").to_numpy(zero_copy_only=False).astype(np.int64)
-            C = _vec_matrix(rb.column("nv"), dim)
-            S = qv @ C.T
-            if grouped:
-                g = rb.column("ng").to_numpy(zero_copy_only=False)
-                S[qg[:, None] != g[None, :]] = neg
-            if exclude_self:
-                S[qid[:, None] == ids[None, :]] = neg
-            if qfilt is not None:
-                S[~filter_mask(qfilt, *corpus_filter_arrays(rb, n_filters))] = neg
-            ts, ti = _topk_rows(S, ids, k)
-            S2 = np.concatenate([best_s, ts], axis=1)
-            I2 = np.concatenate([best_i, ti], axis=1)
-            best_s, best_i = _topk_rows_pairs(S2, I2, k)
-        if nq == 0 or best_s.shape[1] == 0:
-            return
-        keep = np.isfinite(best_s)
-        rows = np.nonzero(keep)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qid[rows[0]], pa.int64()), pa.array(best_i[keep], pa.int64()),
-             pa.array(best_s[keep], pa.float64())],
-            names=["query_id", "node_id", "score"])
-
-    cols = [F.col(node_col).cast("long").alias("nid"), F.col(vec_col).alias("nv")]
-    if grouped:
-        cols.append(F.col("_g").alias("ng"))
-    cols += [F.col(f"_cf{i}") for i in range(n_filters)] + [F.col(f"_cv{i}") for i in range(n_filters)]
-    src = same_length(corpus, vec_col, dim).select(*cols)
-    return src.mapInArrow(scan, "query_id long, node_id long, score double")
-
-
 def _topk_rows_pairs(S: np.ndarray, I: np.ndarray, k: int):
     order = np.lexsort((I, -S), axis=-1)[:, :k]
     return np.take_along_axis(S, order, 1), np.take_along_axis(I, order, 1)
 
 
+def ranked(hits: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` hits of each query with their ``rank`` from 1; equal scores by node id."""
+    w = Window.partitionBy("query_id").orderBy(F.round("score", block_join.DECIMALS).desc(), "node_id")
+    return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("long")))
+
+
 def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 50, *,
                 query_id: str = "query_id", query_vec: str = "embedding",
                 node_id: str = "node_id", node_vec: str = "embedding",
                 group_cols: list[str] | None = None, exclude_self: bool = False,
-                dim: int | None = None, filters: dict[str, str] | None = None) -> DataFrame:
+                dim: int | None = None, filters: dict[str, str] | None = None,
+                blocks: tuple[int, int] = block_join.TOPK_BLOCKS) -> DataFrame:
     """C6 (and C7 with ``group_cols``): exact inner-product top-k per query.
 
     Returns ``query_id, node_id, score, rank`` (rank from 1, ties by node_id).
-    With ``group_cols`` a query only sees corpus rows with equal group values
-    (the semantic-cache context: filters hash, version, tenant). ``filters``
+    With ``group_cols`` a query only meets corpus rows with equal group values
+    (the semantic-cache context: filters hash, version, tenant; a null equals a null). ``filters``
     maps corpus metadata columns to query filter columns (pre-filtering: a
     null filter matches everything, null metadata fails a non-null filter).
+    ``blocks``: expected rows of a query chunk and a corpus chunk.
     """
-    spark = queries.sparkSession
     if dim is None:
         dim = vector_dim(corpus, node_vec)
-    q = same_length(queries, query_vec, dim)
-    c = corpus
-    gk = _group_key(group_cols)
-    if gk is not None:
-        q = q.withColumn("_g", gk)
-        c = c.withColumn("_g", gk)
-    nf = len(filters or {})
-    if nf:
-        q = filter_codes(q, list(filters.values()), "q")
-        c = filter_codes(c, list(filters.keys()), "c")
-    extra = [f"_qf{i}" for i in range(nf)] + [f"_qn{i}" for i in range(nf)]
-    # the query side is read twice (count, then collect): materialise it once
-    q = cut_lineage(q.select(query_id, query_vec, *(["_g"] if gk is not None else []), *extra))
-    parts = []
-    for batch in _query_batches(q, query_id, dim, broadcast_limit(spark), extra_bytes=16 + 9 * nf):
-        payload = _collect_batch(batch, query_id, query_vec, dim, "_g" if gk is not None else None, nf)
-        bq = spark.sparkContext.broadcast(payload)
-        parts.append(_knn_scan(c, bq, k, dim, node_id, node_vec, gk is not None, exclude_self, nf))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.round(F.col("score"), 9).desc(), F.col("node_id"))
-    return (out.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .withColumn("rank", F.col("rank").cast("long")))
+    key = block_join.equality_key(group_cols)
+
+    def side(df: DataFrame, id_col: str, vec: str, names: list[str]) -> DataFrame:
+        values = [F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(names)]
+        return same_length(df, vec, dim).select(
+            key.alias("_key"), F.col(id_col).cast("long").alias("_id"), F.col(vec).alias("_v"), *values)
+    # the query side is read more than once (chunk counts, then the join): made once
+    q = cut_lineage(side(queries, query_id, query_vec, list((filters or {}).values())))
+    c = side(corpus, node_id, node_vec, list((filters or {}).keys()))
+    return ranked(block_join.knn(q, c, k, dim, exclude_self=exclude_self, filters=len(filters or {}), blocks=blocks), k)
 
 
 def similar_pairs(df: DataFrame, threshold: float, *, id_col: str = "node_id",
                   vec_col: str = "embedding", dim: int | None = None,
-                  scope: list[str] | None = None) -> DataFrame:
+                  scope: list[str] | None = None, block: int = block_join.PAIR_BLOCK) -> DataFrame:
     """Every pair ``(a < b)`` with inner product >= threshold, exactly.
 
-    Same broadcast-batch scan as ``vector_topk``; each task emits only the
-    pairs that pass the threshold (the answer), never candidate pairs.
+    Chunks of at most ``block`` expected rows meet once; a task emits only the pairs that pass the threshold.
     With ``scope`` columns, pairs are only formed within equal scope values.
     """
-    spark = df.sparkSession
     if dim is None:
         dim = vector_dim(df, vec_col)
-    base = same_length(df, vec_col, dim)
-    gk = _group_key(scope)
-    if gk is not None:
-        base = base.withColumn("_g", gk)
-    grouped = gk is not None
-    parts = []
-    for batch in _query_batches(base, id_col, dim, broadcast_limit(spark)):
-        bq = spark.sparkContext.broadcast(
-            _collect_batch(batch, id_col, vec_col, dim, "_g" if grouped else None))
-
-        def scan(batches, bq=bq):
-            qid, qv, qg, _ = bq.value
-            for rb in batches:
-                if rb.num_rows == 0 or len(qid) == 0:
-                    continue
-                ids = rb.column("nid").to_numpy(zero_copy_only=False).astype(np.int64)
-                S = qv @ _vec_matrix(rb.column("nv"), dim).T
-                ok = (S >= threshold) & (qid[:, None] < ids[None, :])
-                if grouped:
-                    g = rb.column("ng").to_numpy(zero_copy_only=False)
-                    ok &= qg[:, None] == g[None, :]
-                r, c = np.nonzero(ok)
-                if len(r):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(qid[r], pa.int64()), pa.array(ids[c], pa.int64()),
-                         pa.array(S[r, c], pa.float64())],
-                        names=["id_a", "id_b", "similarity"])
-
-        cols = [F.col(id_col).cast("long").alias("nid"), F.col(vec_col).alias("nv")]
-        if grouped:
-            cols.append(F.col("_g").alias("ng"))
-        parts.append(base.select(*cols).mapInArrow(
-            scan, "id_a long, id_b long, similarity double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    base = same_length(df, vec_col, dim).select(
+        block_join.equality_key(scope).alias("_key"), F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v"))
+    return block_join.self_pairs(base, threshold, dim, block)

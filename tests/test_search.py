@@ -28,16 +28,61 @@ def test_vector_topk_matches_numpy(spark):
         assert [got[(q, r)] for r in range(1, 6)] == list(want)
 
 
-def test_vector_topk_small_broadcast_limit_batches(spark):
+def test_tiny_blocks_give_the_same_results(spark):
+    from quarry.operators.vector_search import similar_pairs
     df, _ = vecs(spark, n=120)
     q = df.withColumnRenamed("node_id", "query_id")
-    full = {tuple(r) for r in vector_topk(q, df, 3).select("query_id", "node_id", "rank").collect()}
-    spark.conf.set("quarry.broadcast.maxBytes", str(4096))
-    try:
-        batched = {tuple(r) for r in vector_topk(q, df, 3).select("query_id", "node_id", "rank").collect()}
-    finally:
-        spark.conf.unset("quarry.broadcast.maxBytes")
-    assert full == batched
+    cols = ["query_id", "node_id", "rank"]
+    book = ann.label_split_codebook(df, 8)
+    index = ann.build_index(df, ann.label_centroids(df), book)
+
+    def every(one, two):
+        return ({tuple(r) for r in vector_topk(q, df, 3, blocks=two).select(*cols).collect()},
+                {tuple(r) for r in vector_topk(q, df, 3, group_cols=["label"], blocks=two).select(*cols).collect()},
+                {tuple(r) for r in ann.ivf_topk(q, index, 3, nprobe=2, blocks=two).select(*cols).collect()},
+                {tuple(r) for r in ann.ivf_topk(q, index, 3, nprobe=2, rescore=False, blocks=two).select(*cols).collect()},
+                {tuple(r)[:2] for r in similar_pairs(df, 0.4, block=one).collect()},
+                {tuple(r)[:2] for r in similar_pairs(df, 0.4, scope=["label"], block=one).collect()},
+                {tuple(r)[:2] for r in ann.ivf_pairs(index, 0.4, nprobe=2, block=one).collect()})
+    whole, tiny = every(8192, (2048, 16384)), every(7, (5, 11))
+    assert whole == tiny and all(whole)
+    label = {r["node_id"]: r["label"] for r in df.collect()}
+    assert all(label[a] == label[b] for a, b, _ in whole[1])
+    assert whole[5] == {(a, b) for a, b in whole[4] if label[a] == label[b]}
+
+
+def test_no_vector_table_passes_through_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from quarry.operators.vector_search import similar_pairs
+    df, _ = vecs(spark, n=40)
+    index = ann.build_index(df, ann.label_centroids(df), ann.label_split_codebook(df, 8))
+    seen = []
+
+    def counted(real):
+        def call(self, *a, **k):
+            out = real(self, *a, **k)
+            seen.append(len(out))
+            return out
+        return call
+    for name in ("toArrow", "collect", "toPandas"):
+        monkeypatch.setattr(Classic, name, counted(getattr(Classic, name)))
+    q = df.withColumnRenamed("node_id", "query_id")
+    plans = [vector_topk(q, df, 3, group_cols=["label"]), similar_pairs(df, 0.4), ann.ivf_pairs(index, 0.4, nprobe=2),
+             ann.ivf_topk(q, index, 3, nprobe=2), ann.ivf_topk(q, index, 3, nprobe=2, rescore=False)]
+    assert all(p.count() for p in plans)
+    # centroids (5 lists) and the codebook (8 parts of 2 codes) only
+    assert seen and max(seen) <= 16
+
+
+def test_repeated_vectors_and_null_groups(spark):
+    rows = [(i, [1.0, 0.0], None if i < 3 else "a") for i in range(6)]
+    df = spark.createDataFrame(rows, "node_id long, embedding array<float>, t string")
+    got = vector_topk(df.withColumnRenamed("node_id", "query_id"), df, 2, group_cols=["t"], blocks=(1, 2)).collect()
+    assert {(r["query_id"], r["node_id"], r["rank"]) for r in got} == {
+        (q, n, n - lo + 1) for lo in (0, 3) for q in range(lo, lo + 3) for n in (lo, lo + 1)}
+    none = df.where("node_id < 0").withColumnRenamed("node_id", "query_id")
+    assert vector_topk(none, df, 2).collect() == []
 
 
 def test_ivf_full_probe_recall_is_one_and_guards(spark):
@@ -62,6 +107,16 @@ def test_pq_guard_and_training(spark):
         ann.label_split_codebook(df, 3)
     cb = ann.train_pq(df, m=8)
     assert cb.count() == 16
+    # every mean is that of the vectors nearest to it, over all rows, and runs agree
+    book = {(r["m"], r["code"]): np.array(r["centroid"]) for r in cb.collect()}
+    x = np.array([r["embedding"] for r in df.collect()])
+    for j in range(8):
+        part = x[:, 2 * j:2 * j + 2]
+        near = ((part[:, None] - np.stack([book[j, 0], book[j, 1]])[None]) ** 2).sum(-1).argmin(1)
+        for c in (0, 1):
+            assert np.abs(part[near == c].mean(0) - book[j, c]).max() < 0.05
+    again = {(r["m"], r["code"]): tuple(r["centroid"]) for r in ann.train_pq(df.repartition(3), m=8).collect()}
+    assert all(np.allclose(book[k], again[k]) for k in book)
     assert ann.train_ivf(df, nlist=4).count() == 4
 
 
