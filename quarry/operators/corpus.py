@@ -21,7 +21,7 @@ from ._plan import gen_rows
 CHUNK_SIZE = 100
 CHUNK_OVERLAP = 30
 PARAGRAPH_SEP = "\n\n"
-CLAUSE_RE = r"[^,.;。？！]+[,.;。？！]?"
+CLAUSE_ENDS = ",.;。？！"
 SENTENCE_END_RE = r"(?<=[.!?。？！])\s+"
 # Chunk ids: doc_id * 2^20 + chunk_no.
 CHUNK_BITS = 20
@@ -92,58 +92,57 @@ def window_chunks(words: list[str], size: int, step: int) -> list[str]:
         s += step
 
 
-def _pieces(text: str, size: int) -> list[list[str]]:
-    """Split into pieces of at most ``size`` words: paragraphs -> sentences ->
-    clauses -> words."""
-    out: list[list[str]] = []
-    for para in text.split(PARAGRAPH_SEP):
-        for sent in re.split(SENTENCE_END_RE, para):
-            w = sent.split()
-            if not w:
-                continue
-            if len(w) <= size:
-                out.append(w)
-                continue
-            for clause in re.findall(CLAUSE_RE, sent):
-                cw = clause.split()
-                if not cw:
-                    continue
-                if len(cw) <= size:
-                    out.append(cw)
-                else:
-                    out.extend([x] for x in cw)
+_BREAK = re.compile(f"{PARAGRAPH_SEP}|{SENTENCE_END_RE}")
+_WORD = re.compile(r"\S+")
+
+
+def _pieces(text: str, size: int) -> list[tuple[int, int, int]]:
+    """Stretches ``(start, end, words)`` of the text, of at most ``size`` words: paragraphs ->
+    sentences -> clauses (which end with a word that ends in a mark) -> words."""
+    out: list[tuple[int, int, int]] = []
+
+    def add(words: list[tuple[int, int]]) -> None:
+        if len(words) <= size:
+            out.append((words[0][0], words[-1][1], len(words)))
+        else:
+            out.extend((a, b, 1) for a, b in words)
+    at = 0
+    for end, after in [*(m.span() for m in _BREAK.finditer(text)), (len(text), len(text))]:
+        words = [m.span() for m in _WORD.finditer(text, at, end)]
+        at = after
+        if len(words) <= size:
+            if words:
+                add(words)
+            continue
+        clause: list[tuple[int, int]] = []
+        for w in words:
+            clause.append(w)
+            if text[w[1] - 1] in CLAUSE_ENDS:
+                add(clause)
+                clause = []
+        if clause:
+            add(clause)
     return out
 
 
 def sentence_chunks(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> list[str]:
     """Greedy sentence packing to at most ``size`` words; each chunk after
     the first starts with trailing pieces of the previous one totalling at
-    most ``overlap`` words, and always adds at least one new piece."""
+    most ``overlap`` words, and always adds at least one new piece. A chunk is a stretch
+    of the text as it stands, blanks and line breaks included."""
     pieces = _pieces(text or "", size)
     chunks: list[str] = []
-    cur: list[list[str]] = []
-    cur_n = 0
-    i = 0
-    while i < len(pieces):
-        p = pieces[i]
-        if cur_n + len(p) <= size:
-            cur.append(p)
-            cur_n += len(p)
-            i += 1
-            continue
-        chunks.append(" ".join(w for q in cur for w in q))
-        tail: list[list[str]] = []
-        t_n = 0
-        for q in reversed(cur):
-            if t_n + len(q) > overlap:
-                break
-            tail.insert(0, q)
-            t_n += len(q)
-        while tail and t_n + len(p) > size:
-            t_n -= len(tail.pop(0))
-        cur, cur_n = tail, t_n
-    if cur:
-        chunks.append(" ".join(w for q in cur for w in q))
+    first, words = 0, 0  # of the open chunk
+    for i, (_, _, n) in enumerate(pieces):
+        if words + n > size:
+            chunks.append(text[pieces[first][0]:pieces[i - 1][1]])
+            first, words = i, 0
+            while first > 0 and words + pieces[first - 1][2] <= min(overlap, size - n):
+                first -= 1
+                words += pieces[first][2]
+        words += n
+    if pieces:
+        chunks.append(text[pieces[first][0]:pieces[-1][1]])
     return chunks
 
 

@@ -78,6 +78,19 @@ def test_sentence_chunker_properties(seed):
     assert pos == len(words)
 
 
+def test_sentence_chunks_are_stretches_of_the_text():
+    long = " ".join(f"pi{i} is 3.14, wait;\nmore{i}" for i in range(60)) + "."
+    text = f"First line.\n\nSecond\tline!  {long} Last one"
+    chunks = sentence_chunks(text, 100, 30)
+    at = covered = 0
+    for c in chunks:
+        at = text.index(c, at)
+        assert not text[covered:at].strip() and len(c.split()) <= 100
+        covered = at + len(c)
+    assert covered == len(text) and len(chunks) > 1
+    assert sentence_chunks("", 100, 30) == [] and sentence_chunks(None) == [] and sentence_chunks(" \n\n ") == []
+
+
 def test_window_chunker():
     w = [str(i) for i in range(250)]
     ch = window_chunks(w, 100, 70)
