@@ -14,6 +14,7 @@ sums from a table of code scores.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -306,14 +307,17 @@ def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE,
 
 # ---------------------------------------------------------------- A4 / A5 storage
 def write_index(index: IvfIndex, path: str) -> None:
-    """A4: entries partitioned by list, small tables beside them, and the
-    manifest last, so a half-written index is never visible."""
+    """A4: a new version folder with entries partitioned by list and the small tables beside them, and
+    last the manifest that names it. A write that fails midway leaves the manifest and the version that it
+    names as they were; version folders no manifest names can be removed."""
     spark = index.entries.sparkSession
-    index.entries.write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/entries")
-    index.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
+    version = f"version-{uuid.uuid4().hex}"
+    index.entries.write.partitionBy("list_id").parquet(f"{path}/{version}/entries")
+    index.centroids.write.parquet(f"{path}/{version}/centroids")
     if index.codebook is not None:
-        index.codebook.write.mode("overwrite").parquet(f"{path}/codebook")
-    spark.createDataFrame([("ivf", index.codebook is not None)], "index_type string, has_pq boolean") \
+        index.codebook.write.parquet(f"{path}/{version}/codebook")
+    spark.createDataFrame([("ivf", index.codebook is not None, version)],
+                          "index_type string, has_pq boolean, version string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
 
 
@@ -334,6 +338,7 @@ def read_index(spark, path: str) -> IvfIndex:
         raise MissingIndex(f"no vector index at {path}: its manifest is empty")
     if n > 1:
         raise ValueError(f"the manifest at {path} has {n} records where one is due")
-    has_pq = man.first()["has_pq"]
-    return IvfIndex(spark.read.parquet(f"{path}/centroids"), spark.read.parquet(f"{path}/entries"),
-                    spark.read.parquet(f"{path}/codebook") if has_pq else None)
+    record = man.first()
+    base = f"{path}/{record['version']}"
+    return IvfIndex(spark.read.parquet(f"{base}/centroids"), spark.read.parquet(f"{base}/entries"),
+                    spark.read.parquet(f"{base}/codebook") if record["has_pq"] else None)

@@ -7,6 +7,8 @@ rounded to 6 decimals; ranks and counts are bigint.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from ..functions.text import fingerprint, tokens
 from ..functions.vectors import l2_normalize, l2_norm
 from ..operators import ann, bm25, cache, corpus, dedup, embed, filters, fusion, rerank, vector_search
 from ..operators._plan import cut_lineage, gen_rows, ship_package, sized_broadcast, spread
+from ..session import ensure_checkpoint_dir
+from ..sources import store
 from . import retrieval
 
 # Fixed parameters of the registered queries (test-scale choices).
@@ -190,7 +194,7 @@ def q_chunk_windows(spark, sf_dir):
 def q_chunk_sentences(spark, sf_dir):
     c = _chunked(spark, sf_dir, "sentence")
     return c.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), "node_id",
-                    F.size(F.split("text", " ")).cast("long").alias("n_words"), "text")
+                    F.regexp_count("text", F.lit(r"[^\s]+")).cast("long").alias("n_words"), "text")
 
 
 def conversation_articles(spark, sf_dir) -> DataFrame:
@@ -221,6 +225,20 @@ def q_flatten_articles(spark, sf_dir):
     return docs.select("article_id", "section", "section_anchor", "subsection", "subsection_anchor", "text")
 
 
+def q_corpus_build(spark, sf_dir):
+    """Nested articles to chunks with ids, tokens and vectors, written and read back."""
+    docs = cut_lineage(corpus.with_doc_id(corpus.flatten_articles(conversation_articles(spark, sf_dir))))
+    chunks = corpus.chunk(docs, mode="window", layout="hash")
+    chunks = corpus.with_node_columns(embed.hashed_embedding(chunks, "text", 64, keep_columns=True), "hashed-64")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-tables/{uuid.uuid4().hex}"
+    store.write_chunks(chunks, path)
+    back = store.read_chunks(spark, path)
+    corpus.check_metadata(back, docs)
+    return back.select("article_id", "section", "subsection", F.col("chunk_no").cast("long").alias("chunk_no"), "text",
+                       F.size("tokenized_text").cast("long").alias("n_tokens"), "deleted",
+                       F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("n_nonzero"))
+
+
 def q_embed_hashed(spark, sf_dir):
     d = doc_nodes(spark, sf_dir).select("node_id", "text")
     e = embed.hashed_embedding(d, "text", 64)
@@ -398,8 +416,7 @@ def q_cache_replay(spark, sf_dir):
     the state grows with a context's whole history."""
     from ..streaming.cache_stream import two_layer_cache
     ev = load(spark, sf_dir, "events")
-    per_slice = max(1000, ev.count() // 4)
-    out = two_layer_cache(_prepared_events(ev), batch_mode="slices", rows_per_slice=per_slice)
+    out = two_layer_cache(_prepared_events(ev), batch_mode="slices")
     return out.select(F.col("request_id").alias("event_id"), "outcome")
 
 
@@ -432,6 +449,12 @@ def q_hybrid_retrieval_pre(spark, sf_dir):
     return r.select("query_id", "node_id", "rank", _r6("rerank_score").alias("score"))
 
 
+def q_hybrid_retrieval_index(spark, sf_dir):
+    """H5 over a vector index that was written and read back; with every list probed it equals exact search."""
+    r = retrieval.retrieve_hashed(spark, sf_dir, stored_index=True)
+    return r.select("query_id", "node_id", "rank", _r6("rerank_score").alias("score"))
+
+
 QUERIES = {
     "vector_topk": q_vector_topk,
     "bm25_topk": q_bm25_topk,
@@ -452,10 +475,12 @@ QUERIES = {
     "rerank_top5": q_rerank_top5,
     "hybrid_retrieval": q_hybrid_retrieval,
     "hybrid_retrieval_pre": q_hybrid_retrieval_pre,
+    "hybrid_retrieval_index": q_hybrid_retrieval_index,
     "tokenize": q_tokenize,
     "chunk_windows": q_chunk_windows,
     "chunk_sentences": q_chunk_sentences,
     "flatten_articles": q_flatten_articles,
+    "corpus_build": q_corpus_build,
     "embed_hashed": q_embed_hashed,
     "l2_normalize": q_l2_normalize,
     "validate_embeddings": q_validate_embeddings,

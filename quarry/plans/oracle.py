@@ -304,6 +304,22 @@ def hashed_ctes(src: str, dim: int = 64, prefix: str = "he") -> str:
               LEFT JOIN {p} h ON h.id = i.id AND h.b = g.j GROUP BY i.id)"""
 
 
+def sql_corpus_build() -> str:
+    chunks = "SELECT id, text FROM k"
+    return f"""
+WITH docs AS ({sql_flatten_articles()}),
+w AS (SELECT article_id, section, subsection, {ws_words('text')} AS words FROM docs),
+s AS (SELECT *, unnest(generate_series(0, CASE WHEN len(words) <= 100 THEN 0
+                                       ELSE ceil((len(words) - 100) / 70.0)::BIGINT END)) AS chunk_no
+      FROM w WHERE len(words) > 0),
+k AS (SELECT *, row_number() OVER () AS id, array_to_string(words[chunk_no * 70 + 1 : chunk_no * 70 + 100], ' ') AS text FROM s),
+{hashed_ctes(chunks)},
+z AS (SELECT id, count(*) AS n FROM he WHERE val <> 0 GROUP BY id)
+SELECT article_id, section, subsection, chunk_no::BIGINT AS chunk_no, text,
+       len(regexp_extract_all(text, {_q(TOKEN)}))::BIGINT AS n_tokens, false AS deleted, coalesce(z.n, 0)::BIGINT AS n_nonzero
+FROM k LEFT JOIN z USING (id)"""
+
+
 def sql_embed_hashed() -> str:
     return ("WITH " + hashed_ctes("SELECT doc_id AS id, text FROM documents")
             + "\nSELECT id AS doc_id, b AS dim_no, round(val::FLOAT, 6) AS value FROM he WHERE val <> 0")
@@ -621,10 +637,12 @@ ORACLE = {
     "dedup_chain": sql_dedup_chain,
     "rerank_top5": sql_rerank_top5,
     "hybrid_retrieval": sql_hybrid_retrieval,
+    "hybrid_retrieval_index": sql_hybrid_retrieval,
     "hybrid_retrieval_pre": lambda: sql_hybrid_retrieval(pre=True),
     "tokenize": sql_tokenize,
     "chunk_windows": sql_chunk_windows,
     "flatten_articles": sql_flatten_articles,
+    "corpus_build": sql_corpus_build,
     "embed_hashed": sql_embed_hashed,
     "l2_normalize": sql_l2_normalize,
     "validate_embeddings": sql_validate_embeddings,

@@ -129,6 +129,16 @@ def test_index_write_read_manifest(spark, tmp_path):
     back = ann.read_index(spark, str(tmp_path / "ix"))
     assert back.entries.count() == 50 and back.codebook is not None
     assert read_index_optional(spark, str(tmp_path / "none")) is None
+    # a rewrite that fails midway leaves the old index readable; a whole one replaces it
+    more, _ = vecs(spark, n=60)
+    bad = ann.build_index(more, cents, with_pq=False)
+    bad.centroids = cents.withColumn("centroid", F.raise_error(F.lit("lost")).cast("array<float>"))
+    with pytest.raises(Exception, match="lost"):
+        ann.write_index(bad, str(tmp_path / "ix"))
+    assert ann.read_index(spark, str(tmp_path / "ix")).entries.count() == 50
+    ann.write_index(ann.build_index(more, cents, with_pq=False), str(tmp_path / "ix"))
+    again = ann.read_index(spark, str(tmp_path / "ix"))
+    assert again.entries.count() == 60 and again.codebook is None
     # two manifest records -> error
     spark.createDataFrame([("ivf", True), ("ivf", True)], "index_type string, has_pq boolean") \
         .write.mode("overwrite").parquet(str(tmp_path / "ix" / "manifest"))
@@ -180,6 +190,25 @@ def test_rerank_term_overlap(spark):
     assert got == [1, 2]
 
 
+def test_deleted_chunks_do_not_compete(spark):
+    from quarry.plans.retrieval import retrieve
+    dead = [(i, "apple apple apple", [1.0, 0.0], True) for i in range(60)]
+    live = [(100 + i, f"apple pie number {i}", [0.0, 1.0], False) for i in range(5)]
+    chunks = spark.createDataFrame(dead + live, "node_id long, text string, embedding array<float>, deleted boolean") \
+        .withColumn("product", F.lit("p")).withColumn("category", F.lit("c"))
+    q = spark.createDataFrame([(1, 0, "apple", [0.0, 1.0], None, None)], "query_id long, variant_no int, text string, "
+                              "embedding array<float>, product string, category string")
+    opts = dict(cutoff=-1.0, exact=False, near=False, semantic=False, top_n=100)
+    got = {r["node_id"] for r in retrieve(q, chunks, **opts).collect()}
+    assert got == set(range(100, 105))
+    also = {r["node_id"] for r in retrieve(q, chunks, include_deleted=True, **opts).collect()}
+    assert also & set(range(60)) and also >= set(range(100, 105))
+    index = ann.build_index(chunks.where("not deleted"), ann.label_centroids(
+        chunks.where("not deleted").withColumn("label", F.lit(0))), with_pq=False)
+    stored = {r["node_id"] for r in retrieve(q, chunks, vector_index=index, nprobe=1, **opts).collect()}
+    assert stored == got
+
+
 def test_hybrid_retrieval_shape(spark):
     from quarry.plans.catalog import q_hybrid_retrieval
     rows = q_hybrid_retrieval(spark, SF_SMALL).collect()
