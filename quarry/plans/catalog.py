@@ -166,10 +166,12 @@ def q_semantic_dedup(spark, sf_dir):
 
 
 def q_dedup_chain(spark, sf_dir):
-    nodes = doc_nodes(spark, sf_dir).select("node_id", "text").join(
-        vec_nodes(spark, sf_dir).select("node_id", "embedding"), "node_id")
-    out = dedup.dedup_chain(nodes, semantic_threshold=SEM_THRESHOLD, score_col=None)
-    return out.select("node_id")
+    """F6 over all documents, with the vectors of their own texts; a text without a term gets the zero
+    vector, which is like no other."""
+    nodes = embed.hashed_embedding(doc_nodes(spark, sf_dir).select("node_id", "text"), "text", 64, keep_columns=True)
+    zero = F.array_repeat(F.lit(0.0).cast("float"), 64)
+    nodes = cut_lineage(nodes.withColumn("embedding", F.coalesce("embedding", zero)))
+    return dedup.dedup_chain(nodes, score_col=None).select("node_id")
 
 
 # ------------------------------------------------------------------ B corpus

@@ -230,10 +230,10 @@ def sql_near_dedup() -> str:
             + "\nSELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM nd_dropped)")
 
 
-def _sem_pairs(src: str) -> str:
+def _sem_pairs(src: str, threshold: float = SEM_THRESHOLD) -> str:
     return f"""SELECT x.id AS a, y.id AS b, {dot('x.embedding', 'y.embedding')} AS sim
                FROM ({src}) x JOIN ({src}) y ON x.id < y.id
-               WHERE {dot('x.embedding', 'y.embedding')} >= {SEM_THRESHOLD}"""
+               WHERE {dot('x.embedding', 'y.embedding')} >= {threshold}"""
 
 
 def sql_semantic_pairs() -> str:
@@ -249,12 +249,14 @@ def sql_semantic_dedup() -> str:
 
 
 def sql_dedup_chain() -> str:
+    vectors = "SELECT n2.id, h.v AS embedding FROM n2 JOIN he_dense h ON h.id = n2.id"
     return f"""WITH RECURSIVE
-nodes AS (SELECT d.doc_id AS id, d.text, e.embedding FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id),
+nodes AS (SELECT doc_id AS id, text FROM documents),
+{hashed_ctes("SELECT id, text FROM nodes")},
 ex AS (SELECT min(id) AS id FROM (SELECT id, sha256({norm_dedup('text')}) AS fp FROM nodes) GROUP BY fp),
 n1 AS (SELECT * FROM nodes WHERE id IN (SELECT id FROM ex)),""" + _near_dedup_body("SELECT id, text FROM n1") + f""",
 n2 AS (SELECT * FROM n1 WHERE id NOT IN (SELECT id FROM nd_dropped)),
-pairs AS ({_sem_pairs('SELECT id, embedding FROM n2')})""" + greedy_ctes(
+pairs AS ({_sem_pairs(vectors, 0.9)})""" + greedy_ctes(
         "sd", "SELECT a, b FROM pairs", "SELECT id, id AS pos FROM n2") + """
 SELECT id AS node_id FROM n2 WHERE id NOT IN (SELECT id FROM sd_dropped)"""
 
