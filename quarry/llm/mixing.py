@@ -219,18 +219,21 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it (0 to 3 times); all columns stay."""
+    """``docs`` with each row as often as the mix takes it (0 to 3 times); all columns stay.
+
+    Rows equal in id, source and text are not told apart: each comes as often as the rounded mean of
+    their copies, so their total can differ from what the mix took."""
     light = docs.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.xxhash64("text").alias("_t"),
                         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_w"))
     mixed = mix(light, F.array("_s"), F.col("_w"), source_targets, [F.col("_d"), F.col("_t")])
-    # equal rows: their copies in total, dealt to the one that is left
+    # equal rows: one line with their number and their copies in total
     copies = mixed.groupBy("_d", "_s", "_t").agg(F.count("*").alias("_rows"), F.sum("_copies").alias("_copies"))
     copies = cut_lineage(copies)
     cols = docs.columns
     joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_d"]) & docs["source"].eqNullSafe(copies["_s"])
                        & (F.xxhash64(docs["text"]) == copies["_t"]))
     joined = joined.where("_copies > 0")
-    # m equal rows with c copies in all: each gives ceil or floor of c / m by chance of its place; one row: c
+    # m equal rows with c copies in all: each gives c / m, rounded; one row: c
     each = F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(F.round(F.col("_copies") / F.col("_rows")))
     return (joined.withColumn("_each", each.cast("int")).where("_each > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*[F.col(f"`{c}`") for c in cols]))
