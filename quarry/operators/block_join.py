@@ -74,7 +74,7 @@ def top_positions(s: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     best = np.argpartition(-s, k - 1, axis=1)[:, :k]
     cut = np.take_along_axis(s, best, 1).min(axis=1)
     # where equal scores straddle the cut the ids decide
-    for r in np.flatnonzero((s >= cut[:, None]).sum(axis=1) > k):
+    for r in np.flatnonzero(((s >= cut[:, None]).sum(axis=1) > k) & np.isfinite(cut)):
         some = np.flatnonzero(s[r] >= cut[r])
         best[r] = some[np.lexsort((ids[some], -s[r, some]))[:k]]
     return best
