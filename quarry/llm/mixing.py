@@ -4,8 +4,8 @@ Documents are aggregated by membership pattern (the set of sources a document be
 to); only patterns and sources, never documents, reach the flow. Capacity
 flows from patterns to source quotas, where the k-th use of a pattern's words costs k - 1 (convex), so
 repetition is used last. Each pattern's share is then filled with whole
-documents in a seeded order: complete passes, a prefix of the order, and for the
-rest of the quota a few documents that fill it best.
+documents: complete passes, then one walk through a seeded order that skips a document
+larger than what is open and goes on, until no document left fits.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import heapq
 import math
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ MAX_REPEATS = 3
 SEED = 20
 #: Hash ranges per pattern in which the seeded order is summed up.
 RANGES = 1024
-#: Documents per size class and pattern that may fill what a prefix leaves open.
-SPARE = 4
+#: Lines that one task walks at a time where the order has to be looked at closely (or one range, if larger).
+STRETCH = 1024
 
 
 def target_sizes(sizes: Mapping, weights: Mapping, repeats: float = MAX_REPEATS) -> dict:
@@ -131,64 +132,94 @@ def mix(docs: DataFrame, member: Column, size: Column, targets, order: Sequence[
     total: dict = {}
     for (p, _), w in flow.items():
         total[p] = total.get(p, 0.0) + w
-    plan = []
-    for p, w in total.items():
+    plan, rest = [], {}
+    for i, (p, w) in enumerate(total.items()):
         passes = min(repeats, int(math.floor(w / capacity[p] + 1e-9))) if capacity[p] else 1
-        rest = round(w - passes * capacity[p]) if passes < repeats else 0
-        plan.append((list(p), passes, max(0, rest)))
-    plan_df = docs.sparkSession.createDataFrame(plan, "_pattern array<string>, _passes int, _rest long")
-    # where the seeded order stops: sums of hash ranges first, then rows of one range
-    before = Window.partitionBy("_pattern").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("_pattern", "_range").agg(F.sum("_size").alias("_sum"))
-    sums = (sums.join(sized_broadcast(plan_df, 200), "_pattern")
-            .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))))
-    sums = cut_lineage(sums)
-    # ranges are whole, open (the stop is inside) or out
-    kind = (F.when(F.col("_before") + F.col("_sum") <= F.col("_rest"), "whole")
-            .when(F.col("_before") < F.col("_rest"), "open").otherwise("out"))
-    ranged = rows.join(sized_broadcast(sums.withColumn("_kind", kind), 200), ["_pattern", "_range"])
-    running = Window.partitionBy("_pattern").orderBy("_u", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opened = ranged.where(F.col("_kind") == "open").withColumn("_run", F.col("_before") + F.sum("_size").over(running))
-    opened = opened.withColumn("_in", F.col("_run") <= F.col("_rest"))
-    closed = ranged.where(F.col("_kind") != "open").withColumn("_run", F.lit(None).cast("long")).withColumn("_in", F.col("_kind") == "whole")
-    picked = cut_lineage(opened.unionByName(closed))
-    spare = _spare_fill(picked)
-    extra = F.col("_in").cast("int") + F.when(F.col("_fill").isNotNull() & ~F.col("_in"), 1).otherwise(0)
-    out = picked.join(sized_broadcast(spare, 200), ["_pattern", "_u", "_size"], "left")
+        left = round(w - passes * capacity[p]) if passes < repeats else 0
+        plan.append((list(p), i, passes))
+        if left > 0:
+            rest[i] = left
+    spark = docs.sparkSession
+    numbered = rows.join(sized_broadcast(spark.createDataFrame(plan, "_pattern array<string>, _p int, _passes int"), 200), "_pattern")
+    # equal rows are one line with their number
+    lines = (numbered.where(F.col("_p").isin(list(rest)) & (F.col("_size") > 0))
+             .groupBy("_p", "_range", "_u", "_size").agg(F.count("*").alias("_m")))
+    steps, first, walked = _walk_order(cut_lineage(lines), rest)
+    whole = spark.createDataFrame([(i, first.get(i, 2**63 - 1), steps[i]) for i in rest],
+                                  "_p int, _first long, _steps array<struct<after:long,stop:long,open:long>>")
+    walked = walked.where("_k > 0").select("_p", "_u", "_size", "_k", "_m")
+    out = (numbered.join(sized_broadcast(whole, 200), "_p", "left")
+           .join(sized_broadcast(walked, 40), ["_p", "_u", "_size"], "left"))
+    inside = F.exists("_steps", lambda s: (F.col("_range") > s["after"]) & (F.col("_range") < s["stop"]) & (F.col("_size") <= s["open"]))
+    taken = F.when(F.col("_size") == 0, F.col("_u") < F.col("_first")).otherwise(inside | F.coalesce(F.col("_k") == F.col("_m"), F.lit(False)))
+    if walked.where("_k < _m").take(1):  # some of several equal rows
+        some = F.col("_k") < F.col("_m")
+        nth = F.row_number().over(Window.partitionBy("_p", "_u", "_size").orderBy(F.lit(0)))
+        out = (out.where(F.coalesce(~some, F.lit(True))).withColumn("_in", taken)
+               .unionByName(out.where(some).withColumn("_in", nth <= F.col("_k"))))
+    else:
+        out = out.withColumn("_in", taken)
+    extra = F.coalesce(F.col("_in"), F.lit(False)).cast("int")
     return (out.withColumn("_copies", (F.col("_passes") + extra).cast("int"))
-            .drop("_u", "_range", "_sum", "_before", "_passes", "_rest", "_kind", "_run", "_in", "_fill"))
-
-
-def _spare_fill(picked: DataFrame) -> DataFrame:
-    """Documents outside the prefix that fill what it leaves open: ``(_pattern, _u, _size, _fill)``.
-
-    For each pattern and power of two the documents with the least hashes are at hand, a table of at
-    most patterns x 63 x SPARE rows. The largest that fits is taken, again and again."""
-    taken = picked.where("_in").groupBy("_pattern").agg(F.sum("_size").alias("got"))
-    rest = (picked.select("_pattern", "_rest").distinct().join(taken, "_pattern", "left")
-            .select("_pattern", (F.col("_rest") - F.coalesce("got", F.lit(0))).alias("open")).where("open > 0"))
-    rest = cut_lineage(rest)
-    fits = (picked.where("not _in and _size > 0").join(sized_broadcast(rest, 200), "_pattern").where("_size <= open")
-            .withColumn("class", F.floor(F.log2("_size")).cast("int")))
-    # least hashes by repeated minimum: grouped minima, never a sort of a whole class
-    least = F.struct("_u", "_size")
-    found = None
-    left = fits
-    for _ in range(SPARE):
-        one = cut_lineage(left.groupBy("_pattern", "class", "open").agg(F.min(least).alias("m")))
-        found = one if found is None else found.unionByName(one)
-        left = (left.join(sized_broadcast(one.select("_pattern", "class", F.col("m._u").alias("_seen")), 200), ["_pattern", "class"])
-                .where("_u > _seen").drop("_seen"))
-    chosen = []
-    by_pattern: dict = {}
-    for r in found.collect():  # patterns x size classes x SPARE
-        by_pattern.setdefault((tuple(r["_pattern"]), r["open"]), []).append((r["m"]["_size"], r["m"]["_u"]))
-    for (p, open_), some in sorted(by_pattern.items()):
-        for size, u in sorted(some, reverse=True):
-            if size <= open_:
-                open_ -= size
-                chosen.append((list(p), u, size, 1))
-    return picked.sparkSession.createDataFrame(chosen, "_pattern array<string>, _u long, _size long, _fill int")
+            .drop("_u", "_range", "_p", "_passes", "_first", "_steps", "_k", "_m", "_in"))
+
+
+def _walk_order(lines: DataFrame, rest: Mapping) -> tuple[dict, dict, DataFrame]:
+    """First fit through the seeded order of ``lines(_p, _range, _u, _size, _m)`` for ``rest`` words of each ``_p``.
+
+    Returns ``{p: [(after, stop, open)]}``: between the ranges ``after`` and ``stop`` all lines of up to
+    ``open`` words are in; ``{p: hash}`` of the first line that did not fit; and the lines of the ranges between
+    these stretches with ``_k`` of their ``_m`` rows taken. A round sums up the ranges of the lines that fit, takes the
+    ranges before the quota runs out and walks the next stretch line by line; a few rounds
+    do, as what is open is soon less than a document, and ranges bound their number."""
+    spark = lines.sparkSession
+    steps: dict = {p: [] for p in rest}
+    first: dict = {}
+    state = {p: (-1, w) for p, w in rest.items()}
+    walked = spark.createDataFrame([], "_p int, _u long, _size long, _m long, _k long, _open long")
+    while state:
+        at = spark.createDataFrame([(p, *x) for p, x in state.items()], "_p int, _after long, _open long")
+        fits = lines.join(sized_broadcast(at, 24), "_p").where("_range > _after and _size <= _open")
+        sums = fits.groupBy("_p", "_open", "_range").agg(F.sum(F.col("_size") * F.col("_m")).alias("w"), F.count("*").alias("n"))
+        order, every = Window.partitionBy("_p").orderBy("_range"), Window.partitionBy("_p")
+        sums = sums.withColumn("to", F.sum("w").over(order)).withColumn("lines", F.sum("n").over(order))
+        over = F.when(F.col("to") > F.col("_open"), F.struct("_range", (F.col("to") - F.col("w")).alias("before"),
+                                                             (F.col("lines") - F.col("n")).alias("skip")))
+        sums = sums.withColumn("stop", F.min(over).over(every))
+        near = F.when((F.col("_range") == F.col("stop._range")) |
+                      ((F.col("_range") > F.col("stop._range")) & (F.col("lines") - F.col("stop.skip") <= STRETCH)), F.col("_range"))
+        found = {r["_p"]: r for r in sums.where("stop is not null").groupBy("_p", "stop").agg(F.max(near).alias("last")).collect()}
+        for p, (after, open_) in state.items():
+            steps[p].append((after, found[p]["stop"]["_range"] if p in found else RANGES, open_))
+        if not found:
+            break
+        at = spark.createDataFrame([(p, r["stop"]["_range"], r["last"], state[p][1] - r["stop"]["before"]) for p, r in found.items()],
+                                   "_p int, _from long, _to long, _open long")
+        near = lines.join(sized_broadcast(at, 32), "_p").where("_range between _from and _to and _size <= _open")
+        part = cut_lineage(near.select("_p", "_u", "_size", "_m", "_open").groupBy("_p").applyInPandas(_walk, walked.schema))
+        # a stretch of which no line fits any more leaves what is open as it was
+        after = {r["_p"]: r for r in part.groupBy("_p").agg(
+            F.min("_open").alias("open"), F.min(F.when(F.col("_k") < F.col("_m"), F.col("_u"))).alias("u")).collect()}
+        state = {}
+        for p, r in found.items():
+            open_ = after[p]["open"] if p in after else steps[p][-1][2] - r["stop"]["before"]
+            if p in after and after[p]["u"] is not None:
+                first.setdefault(p, after[p]["u"])
+            if open_ > 0:
+                state[p] = (r["last"], open_)
+        walked = walked.unionByName(part)
+    return steps, first, walked
+
+
+def _walk(part: pd.DataFrame) -> pd.DataFrame:
+    """Lines in order: as many of the equal rows as fit, ``_open`` is what is left after them."""
+    part = part.sort_values(["_u", "_size"])
+    open_, taken, left = int(part["_open"].iloc[0]), [], []
+    for size, m in zip(part["_size"].tolist(), part["_m"].tolist()):
+        taken.append(min(m, open_ // size))
+        open_ -= taken[-1] * size
+        left.append(open_)
+    return part.assign(_k=taken, _open=left)[["_p", "_u", "_size", "_m", "_k", "_open"]]
 
 
 def source_weights(sources: Sequence) -> dict:

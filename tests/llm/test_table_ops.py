@@ -6,6 +6,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -205,3 +206,18 @@ def test_pipeline_stages(spark):
     assert any(b in t for b in bench for t in texts.values())
     assert not any(b in r.text for b in bench for r in rows)
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
+
+
+def test_mix_goes_on_after_a_document_that_does_not_fit(spark):
+    rng = np.random.default_rng(9)
+    # one long document among many; every source has its own seeded order
+    sizes = {f"s{s}": [10_000, *(int(n) for n in rng.integers(30, 70, 300))] for s in range(12)}
+    sizes["equal"] = [700] * 40
+    rows = [(s, 0 if s == "equal" else i, n) for s, some in sizes.items() for i, n in enumerate(some)]
+    table = spark.createDataFrame(rows, "source string, doc_id long, size long")
+    aim = {s: 15_000.0 for s in sizes}
+    got = mixing.mix(table, F.array("source"), F.col("size"), lambda _: aim, [F.col("source"), F.col("doc_id")]).collect()
+    assert len(got) == len(rows) and {r._copies for r in got} == {0, 1}
+    for s in sizes:
+        taken = sum(r["size"] for r in got if r.source == s and r._copies)
+        assert 0 <= 15_000 - taken < min(r["size"] for r in got if r.source == s and not r._copies)
