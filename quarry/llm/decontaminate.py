@@ -90,9 +90,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     ``start`` is the window's first word. A text of under five words is one shingle, so a short item
     matches only documents of just these words. Null and empty texts match
-    nothing. Items with a null id are one item per text; rows that repeat an id are one document. Ties go
-    to the earliest window.
+    nothing. Items with a null id are one item per text; rows that repeat an id, null included, are one
+    document per text. Ties go to the earliest window.
     """
+    return (_leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius)
+            .select(F.col("b.id").alias(id_col), F.col("b.item").alias(item_col), (-F.col("b.s")).cast("long").alias("start"),
+                    F.col("b.n").cast("long").alias("n_words"), F.col("b.distance").cast("long").alias("distance"), "b.similarity"))
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+           similarity: float, radius: int) -> DataFrame:
+    """``(k, t, item_key, b)``: the best window ``b`` for each document, known by id and text hash, and item."""
     items = (benchmark.select(F.col(item_col).alias("item"), words(F.coalesce(F.col(item_text_col), F.lit(""))).alias("w"))
              .select("item", F.size("w").alias("n"), shingles("w").alias("sh")).distinct()
              .withColumn("item_key", F.xxhash64(F.col("item").cast("string"), "sh")))
@@ -102,7 +110,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                           .withColumnRenamed("weight", "item_weight"))
 
     base = docs.select(id_key(F.col(id_col)).alias("k"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("t", F.xxhash64("text"))
+    base = base.withColumn("t", _text_hash(F.col("text")))
     hashed = (base.select("k", "t", "id", words(F.col("text")).alias("w"))
               .select("k", "t", "id", F.size("w").alias("size"), shingles("w").alias("sh")))
     anchors = exploded(items.select("n", "sh"), "sh", "h", "off").distinct()
@@ -115,20 +123,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                .select("k", "t", "id", "wins", words(F.col("text")).alias("w"))
                .select("k", "t", "id", "wins", shingles("w").alias("sh"))
                .select("k", "t", "id", "sh", F.explode("wins").alias("x"))
-               .select("k", "id", "x.n", "x.start",
+               .select("k", "t", "id", "x.n", "x.start",
                        F.expr(f"slice(sh, x.start + 1, greatest(x.n - {WORDS - 1}, 1))").alias("sh")))
-    windows = windows.withColumn("win", F.xxhash64("k", "n", "start", "sh"))
+    windows = windows.withColumn("win", F.xxhash64("k", "t", "n", "start", "sh"))
     windows = cut_lineage(windows.dropDuplicates(["win"]))
     win_sh = windows.select("win", F.explode("sh").alias("h"))
-    win_fp = cut_lineage(windows.select("win", "k", "id", "n", "start").join(simhash(win_sh, ["win"]), "win"))
+    win_fp = cut_lineage(windows.select("win", "k", "t", "id", "n", "start").join(simhash(win_sh, ["win"]), "win"))
     looked = win_fp.select("*", F.explode(F.array(*[
         F.struct(F.lit(i).alias("block"), v.alias("value")) for i, v in enumerate(_blocks(F.col("fp")))])).alias("p"))
-    looked = looked.select("win", "k", "id", "n", "start", "fp", "weight", "p.block", "p.value")
+    looked = looked.select("win", "k", "t", "id", "n", "start", "fp", "weight", "p.block", "p.value")
     index = index_items(item_fp.select("n", "fp", F.col("item_key").alias("item")), radius)
     pairs = (looked.join(sized_broadcast(index, 40), ["n", "block", "value"])
              .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
              .where(F.col("distance") <= radius)
-             .select("win", "k", "id", "n", "start", "weight", F.col("item").alias("item_key"), "distance").distinct())
+             .select("win", "k", "t", "id", "n", "start", "weight", F.col("item").alias("item_key"), "distance").distinct())
     pairs = cut_lineage(pairs)
     item_counts = item_sh.groupBy("item_key", "h").agg(F.count("*").alias("ic"))
     shared = (pairs.select("win", "item_key").join(win_sh.groupBy("win", "h").agg(F.count("*").alias("c")), "win")
@@ -139,12 +147,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
              .withColumn("similarity", F.col("both") / (F.col("weight") + F.col("item_weight") - F.col("both")))
              .where(F.col("similarity") >= similarity))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "n", "distance", "item", "id"))
-    return (close.groupBy("k", "item_key").agg(best.alias("b"))
-            .select(F.col("b.id").alias(id_col), F.col("b.item").alias(item_col), (-F.col("b.s")).cast("long").alias("start"),
-                    F.col("b.n").cast("long").alias("n_words"), F.col("b.distance").cast("long").alias("distance"), "b.similarity"))
+    return close.groupBy("k", "t", "item_key").agg(best.alias("b"))
+
+
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text_col: str = "text",
+                 similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """``docs`` without the rows whose own text ``find_leaks`` names; all columns stay."""
+    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius)
+    bad = cut_lineage(found.select(F.col("k").alias("_leak"), F.col("t").alias("_text")).distinct())
+    return docs.join(sized_broadcast(bad, 24), (id_key(docs[id_col]) == bad["_leak"]) & (_text_hash(docs[text_col]) == bad["_text"]),
+                     "left_anti")
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that ``find_leaks`` names; all columns stay."""
-    bad = cut_lineage(find_leaks(docs, benchmark, id_col, **options).select(id_key(F.col(id_col)).alias("_leak")).distinct())
-    return docs.join(sized_broadcast(bad, 16), id_key(docs[id_col]) == bad["_leak"], "left_anti")
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -221,3 +221,14 @@ def test_mix_goes_on_after_a_document_that_does_not_fit(spark):
     for s in sizes:
         taken = sum(r["size"] for r in got if r.source == s and r._copies)
         assert 0 <= 15_000 - taken < min(r["size"] for r in got if r.source == s and not r._copies)
+
+
+def test_decontamination_tells_rows_of_one_id_apart_by_text(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    texts = [f"before {item} after", "clean text of a row without an id", "another clean one", f"{item} twice", None, item, "clean, of an id that leaks too"]
+    table = docs(spark, texts, [None, None, None, None, None, 7, 7])
+    assert sorted(r.text or "" for r in decontaminate.remove_leaks(table, bench).collect()) == sorted(
+        ["", texts[1], texts[2], texts[6]])
+    found = decontaminate.find_leaks(table, bench).collect()
+    assert sorted((r.doc_id or 0, r.start, r.n_words) for r in found) == [(0, 0, 20), (0, 1, 20), (7, 0, 20)]
