@@ -213,32 +213,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = docs.select(id_key(F.col(id_col)).alias("k"), F.col(text_col).alias("text"))
     prints = cut_lineage(with_fingerprint(prints, "text", "fp", shingle).select("k", "fp"))
-    classes = cut_lineage(prints.groupBy("fp").agg(F.min("k").alias("least")))
-    roots = components(links(classes.select("fp"), radius, chunk))
-    labelled = (classes.join(roots, classes["fp"] == roots["node"], "left")
-                .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    labelled = labelled.join(labelled.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
+    labelled = _rooted(prints, F.col("k"), radius, chunk)
+    labelled = (labelled.join(labelled.groupBy("root").agg(F.min("least").alias("component")), "root")
+                .select("fp", "component"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     real = lambda c: F.when(F.col(c) != id_key(F.lit(None)), F.col(c))
     return prints.join(labelled, "fp").select(
         real("k").alias(id_col), hexed.alias("fingerprint"), real("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def _rooted(prints: DataFrame, least, radius: int, chunk: int) -> DataFrame:
+    """``(fp, least, root)``: the least value and the component of each distinct fingerprint of ``prints``."""
+    classes = cut_lineage(prints.groupBy("fp").agg(F.min(least).alias("least")))
+    roots = components(links(classes.select("fp"), radius, chunk))
+    return (classes.join(roots, classes["fp"] == roots["node"], "left")
+            .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id; all columns stay.
 
-    Of rows that repeat the surviving id one stays."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    key = id_key(F.col(id_col))
-    chosen = (found.where(key == id_key(F.col("component_id")))
-              .groupBy(key.alias("_k")).agg(F.count("*").alias("_n")))
-    chosen = cut_lineage(chosen)
-    kept = docs.join(chosen, id_key(docs[id_col]) == chosen["_k"])
-    once = kept.where("_n = 1").drop("_k", "_n")
+    A null id counts as the smallest. Of rows that share the smallest id of a group, the one with the
+    least hash of all columns stays; other groups with rows of this id keep a row of their own."""
+    # the flags tell nulls apart, which the hash skips
+    whole = F.xxhash64(*[x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+    prints = docs.select(id_key(F.col(id_col)).alias("k"), whole.alias("h"), F.col(text_col).alias("text"))
+    prints = cut_lineage(with_fingerprint(prints, "text", "fp", shingle).select("k", "h", "fp"))
+    chosen = (_rooted(prints, F.struct("k", "h"), radius, chunk).groupBy("root").agg(F.min("least").alias("r"))
+              .select(F.col("r.k").alias("_k"), F.col("r.h").alias("_h")))
+    rows = prints.groupBy("k", "h").agg(F.count("*").alias("_n"))
+    chosen = cut_lineage(chosen.join(rows, (F.col("_k") == rows["k"]) & (F.col("_h") == rows["h"])).select("_k", "_h", "_n"))
+    kept = docs.join(chosen, (id_key(docs[id_col]) == chosen["_k"]) & (whole == chosen["_h"]))
+    once = kept.where("_n = 1").drop("_k", "_h", "_n")
     if not chosen.where("_n > 1").take(1):
         return once
-    # repeated ids: an arbitrary but fixed row of each, the one with the least hash of all columns
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    more = (kept.where("_n > 1").groupBy("_k").agg(F.min(F.struct(F.xxhash64(whole).alias("h"), whole.alias("r"))).alias("m"))
-            .select("m.r.*"))
-    return once.unionByName(more)
+    # rows that are equal in all columns: one of them
+    return once.unionByName(kept.where("_n > 1").dropDuplicates(["_k", "_h"]).drop("_k", "_h", "_n"))

@@ -113,6 +113,18 @@ def test_keep_one_keeps_columns_and_one_row(spark):
     assert simhash_dedup.keep_one(docs(spark, [])).count() == 0
 
 
+def test_keep_one_is_by_row_with_null_and_repeated_ids(spark):
+    say = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(None, say("a")), (None, say("b")), (None, say("c")), (4, say("c")), (4, say("d")), (5, say("c")), (6, say("d")),
+            (7, say("e")), (7, say("f")), (8, say("f")), (9, say("g")), (9, say("g")), (3, say("e"))]
+    kept = simhash_dedup.keep_one(docs(spark, [x for _, x in rows], [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "a"), (0, "b"), (0, "c"), (3, "e"), (4, "d"), (7, "f"), (9, "g")]
+    # rows that differ only in where a null is are two rows of one group
+    table = docs(spark, [say("a")] * 2, [1, 1]).selectExpr("doc_id", "text", "if(rand(1) < 2, null, lang) AS lang", "source")
+    table = table.limit(1).unionByName(table.limit(1).selectExpr("doc_id", "text", "source AS lang", "lang AS source"))
+    assert simhash_dedup.keep_one(table).count() == 1
+
+
 def test_merkle_equality_edit_place_and_edges(spark):
     texts = ["a. b\nc", "a. b\nc", "a. b\nd", "", None, "x" * 300_000, "p\n" * 20_000]
     rows = {r.doc_id: r for r in merkle.fingerprint_documents(docs(spark, texts)).collect()}
