@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators._plan import cut_lineage, sized_broadcast
 
-__all__ = ["BLANKS", "NO_ID", "components", "cut_lineage", "exploded", "id_key", "lower_ascii", "sized_broadcast", "table"]
+__all__ = ["BLANKS", "NO_ID", "components", "cut_lineage", "exploded", "fresh", "id_key", "lower_ascii", "sized_broadcast", "table"]
 
 # The blanks of the word and line rules, and the letters that
 # are lower-cased.
@@ -26,6 +26,15 @@ def id_key(col: Column) -> Column:
     return F.coalesce(col.cast("long"), F.lit(NO_ID))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` has not, whatever the case: ``_name``, with further underscores if need be."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(col: Column) -> Column:
     """A-Z to a-z, other letters untouched. Pure ASCII text takes the fast
     built-in ``lower``, which is the same thing there."""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, merkle, mixing, sharding, simhash_dedup, token_counts, toxicity, url_filter
+from . import (chat, decontaminate, line_dedup, merkle, mixing, packing, periodic_runs, sharding, simhash_dedup,
+               token_counts, toxicity, url_filter, whitening)
 from .common import table
 
 #: (host, path, verdict) of the registered URL query.
@@ -17,52 +18,79 @@ SHARDS = 24
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document and benchmark item that a window of it resembles, with the best window."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's host, path, the longest rule that fits it and the verdict, by rule or by model."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "p_block")
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's fingerprint and the smallest id among its near-duplicates."""
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the words that the mix takes of it, and the size and target of its source."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
 def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's fingerprint, that of its edited text, and how alike they and the next one are."""
     return merkle.edit_report(table(spark, sf_dir, "documents"))
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that are no prefix of a longer one, rendered with a chat template."""
     return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pre-tokens and unigram tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs).select("doc_id", "n_pretokens", "n_tokens")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's toxicity score, learned from labels that are not held out."""
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's shard and slot, and its shard with one shard more."""
     return sharding.shard_report(table(spark, sf_dir, "documents"), SHARDS)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's lines, how many of them repeat elsewhere and go, and the digest of what stays."""
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's whitened coordinates along the leading eight components, a row per component."""
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces and their places in sequences of at most 2,048 tokens."""
+    import public_tokenizers
+    return packing.pack_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's periodic runs of words and the text without their repeats, one in ten given a periodic tail."""
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_url_filter, op3_simhash_dedup, op4_source_mix, op5_merkle_fingerprints,
-        op6_chat_formatting, op7_token_counts, op8_toxicity, op9_rendezvous_sharding, op10_line_dedup)}
+        op6_chat_formatting, op7_token_counts, op8_toxicity, op9_rendezvous_sharding, op10_line_dedup,
+        op11_embedding_whitening, op12_packing, op13_periodic_runs)}
 
 _LINES = """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),

@@ -1,0 +1,282 @@
+"""Whitening, packing and periodic runs, against brute force and exact round trips."""
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from quarry.llm import packing, periodic_runs, whitening
+
+TABLE = "doc_id long, text string, found string, _found string, runs string, id string, ids string"
+
+
+def docs(spark, texts, ids=None):
+    ids = list(range(len(texts))) if ids is None else ids
+    return spark.createDataFrame([(i, x, "f", "g", "r", "i", "s") for i, x in zip(ids, texts)], TABLE)
+
+
+# --- whitening ------------------------------------------------------------------------------
+
+def test_inertia_and_interval_eigenpairs_match_dense_solver():
+    rng = np.random.default_rng(1)
+    for t in range(60):
+        d = int(rng.integers(1, 30))
+        a = rng.standard_normal((d, int(rng.integers(1, d + 1)))) * 3
+        v = [a @ a.T, np.diag(rng.integers(0, 4, d).astype(float)), np.eye(d) * 5][t % 3]
+        exact = np.linalg.eigvalsh(v)[::-1]
+        for s in rng.uniform(-1, exact[0] + 1, 4):
+            if np.abs(exact - s).min() > 1e-9:
+                assert whitening.count_above(v, s) == (exact > s).sum()
+        e, y = whitening.leading_pairs(v, 8)
+        assert len(e) == min(8, (exact > exact[0] * 1e-12).sum())
+        assert np.allclose(e, exact[:len(e)], rtol=1e-9, atol=1e-12 * max(exact[0], 1))
+        assert np.abs(v @ y - y * e).max(initial=0) < 1e-10 * max(exact[0], 1)
+        assert np.abs(y.T @ y - np.eye(len(e))).max(initial=0) < 1e-9
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, v string, id string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, x, 0, "v", "i") for i, x in rows], VECTORS)
+
+
+def test_whitening_matches_brute_force_and_leaves_bad_vectors_out(spark):
+    rng = np.random.default_rng(2)
+    good = (rng.standard_normal((300, 12)) * np.linspace(1, 3, 12)).astype(np.float32)
+    rows = [(i, [float(c) for c in x]) for i, x in enumerate(good)]
+    rows[5] = (None, rows[5][1])
+    rows[6] = (4, rows[6][1])
+    bad = [(900, None), (901, [float("nan")] + [0.0] * 11), (902, [None] + [0.0] * 11), (903, [float("inf")] * 12), (904, [1.0] * 5), (905, [])]
+    got = whitening.whitening_report(vectors(spark, rows + bad)).collect()
+    x = np.floor(1024 * good.astype(np.float64)).astype(np.int64) + 100_000
+    n, s = len(x), x.sum(axis=0)
+    y = x - s / n
+    v = y.T @ y / n
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1], u[:, ::-1]
+    assert len(got) == 300 * 8 and {r["n"] for r in got} == {n}
+    assert max(r["identity_error"] for r in got) < 1e-9 and len({r["identity_error"] for r in got}) == 1
+    dev = ((n * x - s).astype(object) ** 2).sum(axis=1).tolist()
+    assert sorted(r["deviation"] for r in got if r["component"] == 1) == sorted(dev)
+    by = {}
+    for r in got:
+        by.setdefault(r["component"], []).append(r)
+        assert r["explained"] == pytest.approx(e[r["component"] - 1] / np.trace(v), rel=1e-9)
+    for c, part in by.items():
+        want = y @ u[:, c - 1] / math.sqrt(e[c - 1])
+        mine = {r["deviation"]: r["whitened"] for r in part}
+        ours = np.array([mine[k] for k in dev])
+        assert min(np.abs(ours - want).max(), np.abs(ours + want).max()) < 1e-8
+    assert sum(r["vec_id"] is None for r in got) == 8 and sum(r["vec_id"] == 4 for r in got) == 16
+
+
+def test_whitening_edges(spark):
+    assert whitening.whiten(vectors(spark, [])).count() == 0
+    assert whitening.whiten(vectors(spark, [(1, None)])).count() == 0
+    assert [r["whitened"] for r in whitening.whiten(vectors(spark, [(1, []), (2, [])])).collect()] == [[], []]
+    same = whitening.whiten(vectors(spark, [(i, [0.5, 0.25]) for i in range(9)])).collect()
+    assert [(r["deviation"], r["whitened"], r["identity_error"]) for r in same] == [(0, [], None)] * 9
+    line = whitening.whitening_report(vectors(spark, [(i, [float(i), 2.0 * i, 0.0]) for i in range(9)])).collect()
+    assert {r["component"] for r in line} == {1} and line[0]["explained"] == pytest.approx(1)
+    with pytest.raises(ValueError):
+        whitening.whiten(vectors(spark, [(1, [1e30])]))
+    large = whitening.whiten(vectors(spark, [(i, [1e6 * i, 3.0]) for i in range(300)])).collect()
+    x = [math.floor(1024 * float(np.float32(1e6 * i))) for i in range(300)]
+    assert sorted(int(r["deviation"]) for r in large) == sorted((300 * a - sum(x)) ** 2 for a in x)
+
+
+def test_whitening_of_an_uneven_table(spark):
+    """A third of the rows is one vector, and a task may hold none."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [0.1, 0.2, 0.3]) for i in range(100)] + [(i, rng.standard_normal(3).tolist()) for i in range(100, 300)]
+    got = whitening.whitening_report(vectors(spark, rows).repartition(40, "vec_id").where("vec_id % 7 <> 3")).collect()
+    assert {r["component"] for r in got} == {1, 2, 3} and got[0]["identity_error"] < 1e-9
+
+
+# --- packing --------------------------------------------------------------------------------
+
+def tokenizer_path():
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_cached_ids_are_those_of_the_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(4)
+    texts = ["", " ", "\n", "a<|endoftext|> b  <|endoftext|>\n x\x1c y", "  two  \n\n x\t y 　z it's 'll 12 3  ", "end \n", "é\x85 ñ", "x" * 500 + " y"]
+    texts += ["".join(rng.choice(" \n\tab1'.,é　\x1c\x85s!漢😀") for _ in range(rng.randint(1, 90))) for _ in range(1500)]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    own = packing.CachedTokenizer(tokenizer_path())
+    assert own.ranked is not None
+    for _ in range(2):
+        assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts] == want
+    monkeypatch.setattr(packing, "STRETCH", 20)
+    monkeypatch.setattr(packing, "REMEMBER", 50)
+    assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts] == want
+    own.ranked = None  # a file of another kind
+    assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts] == want
+
+
+def test_differencing_covers_all_pieces_evenly():
+    rng = random.Random(5)
+    for _ in range(80):
+        sizes = [rng.randint(1, 2048) for _ in range(rng.randint(1, 120))]
+        windows = rng.randint(1, 40)
+        owner, largest = packing.differencing(sizes, windows)
+        loads = np.bincount(owner, weights=sizes, minlength=windows)
+        assert len(owner) == len(sizes) and loads.max() == largest and len(loads) == windows
+        assert largest >= sum(sizes) / windows
+        if len(sizes) >= windows:
+            assert largest <= max(max(sizes), 2 * sum(sizes) / windows)
+    assert packing.differencing([8, 7, 6, 5, 4], 2)[1] == 16  # the textbook case of two-way differencing
+    assert packing.differencing([], 3)[1] == 0
+
+
+@pytest.mark.parametrize("sizes", [[1100] * 300, [2000] * 200, [1025] * 64, [2047] * 50, [1] * 900, [5], [2048], [1500, 700],
+                                   [random.Random(6).randint(1, 2047) for _ in range(250)]])
+def test_divide_fills_windows_and_never_over(sizes):
+    windows = packing.divide(sizes)
+    covered = {}
+    for w in windows:
+        assert 0 < sum(b - a for _, a, b in w) <= 2048
+        for i, a, b in w:
+            covered.setdefault(i, []).append((a, b))
+    for i, n in enumerate(sizes):
+        parts = sorted(covered[i])
+        assert parts[0][0] == 0 and parts[-1][1] == n and all(x[1] == y[0] for x, y in zip(parts, parts[1:]))
+    fewest = -(-sum(sizes) // 2048)
+    assert len(windows) <= fewest + max(1, int(0.01 * fewest))
+
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(7)
+    texts = [None, "", "one", "word " * 30_000, "<|endoftext|>"] + [" ".join(rng.choice(["alpha", "bèta", "γ", "x\n"]) for _ in range(rng.randint(0, 700))) for _ in range(150)]
+    texts += ["same text here " * 90] * 60
+    ids = [None if i % 40 == 7 else i // 2 for i in range(len(texts))]
+    rows = packing.pack_documents(docs(spark, texts, ids), tokenizer_path()).collect()
+    pieces, sequences = {}, {}
+    for r in rows:
+        assert len(r["ids"]) == 4 * r["length"] and 0 < r["length"] <= 2048
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    for part in sequences.values():
+        at = 0
+        for r in sorted(part, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 2048
+    # every document's ids, cut anywhere, put together again
+    want = {}
+    for i, t in zip(ids, texts):
+        want.setdefault(i, []).append(plain.encode(t or "", add_special_tokens=False).ids + [1])
+    for i, lists in want.items():
+        total = sum(map(len, lists))
+        assert sum(r["length"] for r in pieces[i]) == total
+        if len(lists) == 1:
+            joined = b"".join(bytes(r["ids"]) for r in sorted(pieces[i], key=lambda r: r["start"]))
+            assert np.frombuffer(joined, "<u4").tolist() == lists[0] and {r["doc_tokens"] for r in pieces[i]} == {len(lists[0])}
+    tokens = sum(r["length"] for r in rows)
+    assert tokens / (2048 * len(sequences)) > 0.9  # some small last groups
+    assert packing.pack_documents(docs(spark, []), tokenizer_path()).count() == 0
+    report = packing.pack_report(docs(spark, ["a b"]), tokenizer_path()).collect()
+    ids = plain.encode("a b", add_special_tokens=False).ids + [1]
+    assert [tuple(r) for r in report] == [(0, 0, 3, zlib.crc32(np.array(ids, "<u4").tobytes()), 3, report[0]["sequence_id"], 0)]
+
+
+# --- periodic runs --------------------------------------------------------------------------
+
+def brute_runs(words):
+    found = {}
+    for q in range(1, len(words) // 3 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(24, 3 * q):
+                found.setdefault((i, j - i + q), q)
+            i = j + 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def repetitive(rng, n):
+    v = rng.choice([1, 2, 2, 3, 5, 20])
+    words = [b"%d" % rng.randrange(v) for _ in range(n)]
+    for _ in range(rng.randint(0, 4)):
+        if n >= 30:
+            a = rng.randrange(n - 1)
+            p = rng.randint(1, max(1, (n - a) // 3))
+            for i in range(a + p, min(n, a + p * rng.randint(2, 9) + rng.randint(0, p))):
+                words[i] = words[i - p]
+    for _ in range(rng.choice([0, 0, 6])):
+        if n:
+            words[rng.randrange(n)] = b"x%d" % rng.randrange(9)
+    return words
+
+
+@pytest.mark.parametrize("short,checks", [(4096, 1 << 20), (64, 50)])
+def test_runs_match_brute_force(monkeypatch, short, checks):
+    monkeypatch.setattr(periodic_runs, "SHORT", short)
+    monkeypatch.setattr(periodic_runs, "CHECKS", checks)
+    rng = random.Random(8)
+    for _ in range(700):
+        words = repetitive(rng, rng.randint(0, 260))
+        assert periodic_runs.find_runs(words) == brute_runs(words)
+
+
+def test_runs_in_very_long_texts():
+    n = 300_000
+    assert periodic_runs.find_runs([b"a"] * n) == [(0, n, 1)]
+    assert periodic_runs.find_runs([b"%d" % (i % 1000) for i in range(n)]) == [(0, n, 1000)]
+    a, b = [b"0"], [b"0", b"1"]
+    while len(b) < 60_000:
+        a, b = b, b + a
+    assert len(periodic_runs.find_runs(b[:60_000])) > 1000  # a word with very many runs
+    unlike = [b"%d" % x for x in np.random.default_rng(9).integers(0, 60, n)]
+    assert periodic_runs.find_runs(unlike[:1000] + unlike[1000:1100] * 4 + unlike[2000:]) == [(1000, 400, 100)]
+    # segments that lose a few words at a time
+    chain = [w for i in range(2000) for w in [b"k%d" % i] * 2 + [b"c%d" % (j % 5) for j in range(14)] + [b"k%d" % (i + 1)]]
+    assert periodic_runs.find_runs(chain) == []
+
+
+def test_run_report_matches_brute_force(spark):
+    rng = random.Random(10)
+    texts = [None, "", " \t\n ", "a " * 24, "a " * 23, "a b " * 40 + "c"] + [
+        rng.choice([" ", "\n", "\t "]).join(w.decode() for w in repetitive(rng, rng.randint(1, 150))) for _ in range(120)]
+    ids = [None if i % 30 == 9 else i // 2 * 3 for i in range(len(texts))]
+    want = []
+    for i, t in zip(ids, texts):
+        words = (t or "").encode().split()
+        n = len(words)
+        h = zlib.crc32(str(i).encode()) if i is not None else 1
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[x] if x < a else words[a + (x - a) % p] for x in range(n)]
+        runs = brute_runs(words)
+        gone = {x for s, m, q in runs for x in range(s + q, s + m)}
+        best = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=(None,) * 3)
+        want.append((i, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+                     hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()).hexdigest(),
+                     hashlib.sha256(b" ".join(w for x, w in enumerate(words) if x not in gone)).hexdigest()))
+    got = [tuple(r) for r in periodic_runs.run_report(docs(spark, texts, ids)).collect()]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sum(r[1] > 0 for r in want) > 20 and any(r[0] is not None and zlib.crc32(str(r[0]).encode()) % 10 == 0 for r in want)
+    assert periodic_runs.run_report(docs(spark, [])).count() == 0
+
+
+def test_collapse_keeps_other_columns_and_texts(spark):
+    out = periodic_runs.collapse_runs(docs(spark, ["x " + "a b " * 20 + "y", None]))
+    assert out.columns == ["doc_id", "text", "found", "_found", "runs", "id", "ids", "n_words", "collapsed"]
+    rows = out.orderBy("doc_id").collect()
+    assert (rows[0]["collapsed"], rows[0]["n_words"], [tuple(r) for r in rows[0]["runs"]]) == ("x a b y", 42, [(1, 40, 2)])
+    assert (rows[1]["collapsed"], rows[1]["runs"], rows[1]["found"]) == ("", [], "f")
