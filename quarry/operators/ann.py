@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..functions.vectors import l2_normalize
 from ..session import broadcast_limit
 from . import block_join
-from ._plan import cut_lineage
+from ._plan import cut_lineage, sized_broadcast
 from .vector_search import ranked, same_length, vector_dim
 
 # Index parameters of the reference.
@@ -38,6 +38,8 @@ PQ_M = 32
 PQ_NBITS = 1
 NPROBE = 5
 
+#: Probed lists that a scan names; more are a semi-join.
+MAX_NAMED_LISTS = 4096
 #: Queries whose table of code scores is held at a time.
 CODE_QUERIES = 128
 
@@ -47,7 +49,10 @@ def _check_small(n_floats: int, spark, what: str) -> None:
         raise ValueError(f"{what} too large to broadcast ({n_floats} floats)")
 
 
-def _to_matrix(df: DataFrame, key_cols: list[str], vec_col: str) -> tuple[np.ndarray, np.ndarray]:
+def _to_matrix(df: DataFrame, key_cols: list[str], vec_col: str, what: str) -> tuple[np.ndarray, np.ndarray]:
+    """A small table on the driver; its size is counted before any row is."""
+    floats = df.agg(F.sum(F.size(vec_col))).first()[0] or 0
+    _check_small(floats, df.sparkSession, what)
     tbl = df.orderBy(*key_cols).toArrow()
     keys = np.stack([tbl.column(c).to_numpy() for c in key_cols], axis=1)
     d = len(tbl.column(vec_col)[0]) if tbl.num_rows else 0
@@ -155,14 +160,12 @@ def _nearest(x: np.ndarray, centroids: np.ndarray, rows: int = 4096) -> np.ndarr
 
 # ---------------------------------------------------------------- C2 assign
 def _centroid_matrix(centroids: DataFrame):
-    keys, C = _to_matrix(centroids, ["list_id"], "centroid")
-    _check_small(C.size, centroids.sparkSession, "centroid table")
+    keys, C = _to_matrix(centroids, ["list_id"], "centroid", "centroid table")
     return keys[:, 0].astype(np.int64), C
 
 
 def _codebook_tensor(codebook: DataFrame):
-    keys, C = _to_matrix(codebook, ["m", "code"], "centroid")
-    _check_small(C.size, codebook.sparkSession, "codebook")
+    keys, C = _to_matrix(codebook, ["m", "code"], "centroid", "codebook")
     M, K = int(keys[:, 0].max()) + 1, int(keys[:, 1].max()) + 1
     return C.reshape(M, K, C.shape[1])
 
@@ -248,7 +251,17 @@ def probe_lists(v: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
         return pd.Series(list(ids[np.argsort(-s, axis=1, kind="stable")[:, :nprobe]]))
     return (same_length(v, "_v", d).withColumn("_lists", nearest("_v"))
             .select("_id", "_v", F.posexplode_outer("_lists").alias("_at", "_list"))
-            .select(F.col("_list").cast("string").alias("_key"), "_id", "_v"))
+            .select(F.col("_list").cast("int").alias("_list"), F.col("_list").cast("string").alias("_key"), "_id", "_v"))
+
+
+def probed_entries(entries: DataFrame, probes: DataFrame, most: int = MAX_NAMED_LISTS) -> DataFrame:
+    """The entries of the lists that some query probes. A stored index is partitioned by ``list_id``, so up to ``most``
+    lists are named in the scan and the folders of all others are not read; more are a semi-join on the partition column."""
+    lists = probes.select("_list").distinct()
+    named = [r[0] for r in lists.limit(most + 1).collect()]  # list numbers, at most ``most`` and one
+    if len(named) <= most:
+        return entries.where(F.col("list_id").isin(sorted(named)))
+    return entries.join(lists.select(F.col("_list").alias("list_id")), "list_id", "left_semi")
 
 
 def _code_scores(bc) -> Callable:
@@ -283,13 +296,14 @@ def ivf_topk(queries: DataFrame, index: IvfIndex, k: int = 50, *, nprobe: int =
         raise ValueError("PQ scores need an index built with a codebook")
     q = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vec_col).alias("_v"))
     q = cut_lineage(probe_lists(q, index.centroids, nprobe))
-    stored = index.entries.select(F.col("list_id").cast("string").alias("_key"), F.col("node_id").cast("long").alias("_id"),
-                                  F.col("embedding" if rescore else "codes").alias("_v"))
+    stored = probed_entries(index.entries, q).select(
+        F.col("list_id").cast("string").alias("_key"), F.col("node_id").cast("long").alias("_id"),
+        F.col("embedding" if rescore else "codes").alias("_v"))
     scores = None
     if not rescore:
         scores = _code_scores(queries.sparkSession.sparkContext.broadcast(_codebook_tensor(index.codebook)))
     d = vector_dim(index.centroids, "centroid")
-    return ranked(block_join.knn(q, stored, k, d, exclude_self=exclude_self, blocks=blocks, scores=scores), k)
+    return ranked(block_join.knn(q.drop("_list"), stored, k, d, exclude_self=exclude_self, blocks=blocks, scores=scores), k)
 
 
 def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE,
@@ -303,7 +317,7 @@ def ivf_pairs(index: IvfIndex, threshold: float, *, nprobe: int = NPROBE,
     own = index.entries.select(F.col("list_id").cast("string").alias("_key"),
                                F.col("node_id").cast("long").alias("_id"), F.col("embedding").alias("_v"))
     probes = cut_lineage(probe_lists(own.select("_id", "_v"), index.centroids, nprobe))
-    found = block_join.pairs(probes, own, threshold, vector_dim(index.centroids, "centroid"), block)
+    found = block_join.pairs(probes.drop("_list"), own, threshold, vector_dim(index.centroids, "centroid"), block)
     # a pair can be found from both ends: keep one row per pair
     return found.groupBy("id_a", "id_b").agg(F.max("similarity").alias("similarity"))
 
@@ -313,35 +327,91 @@ def write_index(index: IvfIndex, path: str) -> None:
     """A4: a new version folder with entries partitioned by list and the small tables beside them, and
     last the manifest that names it. A write that fails midway leaves the manifest and the version that it
     names as they were; version folders no manifest names can be removed."""
-    spark = index.entries.sparkSession
     version = f"version-{uuid.uuid4().hex}"
     index.entries.write.partitionBy("list_id").parquet(f"{path}/{version}/entries")
     index.centroids.write.parquet(f"{path}/{version}/centroids")
     if index.codebook is not None:
         index.codebook.write.parquet(f"{path}/{version}/codebook")
-    spark.createDataFrame([("ivf", index.codebook is not None, version)],
-                          "index_type string, has_pq boolean, version string") \
+    _write_manifest(index.entries.sparkSession, path, index.codebook is not None, version, [])
+
+
+def _write_manifest(spark, path: str, has_pq: bool, version: str, deltas: list[str]) -> None:
+    spark.createDataFrame([("ivf", has_pq, version, deltas)],
+                          "index_type string, has_pq boolean, version string, deltas array<string>") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
 
 
+def add_to_index(spark, path: str, v: DataFrame, *, id_col: str = "node_id", vec_col: str = "embedding") -> None:
+    """Adds vectors with their ids to a stored index; an id that is there already is replaced.
+
+    The vectors are assigned to the stored lists (and encoded with the stored codebook) and written as a delta folder
+    that the manifest then lists; nothing stored is rewritten. Ids within one call must be distinct. One writer at a time."""
+    record = read_manifest(spark, path)
+    stored = read_index(spark, path)
+    new = build_index(v, stored.centroids, stored.codebook, id_col=id_col, vec_col=vec_col).entries
+    _write_delta(spark, path, record, new.select("node_id"), new)
+
+
+def delete_from_index(spark, path: str, ids: DataFrame, *, id_col: str = "node_id") -> None:
+    """Takes ids out of a stored index, by a delta that holds nothing else. Ids that are not there do no harm."""
+    _write_delta(spark, path, read_manifest(spark, path), ids.select(F.col(id_col).cast("long").alias("node_id")).distinct(), None)
+
+
+def _write_delta(spark, path: str, record, ids: DataFrame, entries: DataFrame | None) -> None:
+    delta = f"delta-{uuid.uuid4().hex}"
+    if entries is not None:
+        entries.write.partitionBy("list_id").parquet(f"{path}/{delta}/entries")
+    ids.write.parquet(f"{path}/{delta}/ids")
+    kind = "+" if entries is not None else "-"
+    _write_manifest(spark, path, record["has_pq"], record["version"], [*record["deltas"], kind + delta])
+
+
+def compact_index(spark, path: str) -> None:
+    """Rewrites a stored index with its deltas as one new version."""
+    write_index(read_index(spark, path), path)
+
+
 class MissingIndex(ValueError):
     """There is no index at the path."""
 
 
-def read_index(spark, path: str) -> IvfIndex:
-    """A5: exactly one manifest record, else an error."""
+def read_manifest(spark, path: str):
+    """The one record of the manifest below ``path``, else an error."""
     try:
         man = spark.read.parquet(f"{path}/manifest")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        raise MissingIndex(f"no vector index at {path}") from e
+        raise MissingIndex(f"no index at {path}") from e
     n = man.count()
     if n == 0:
-        raise MissingIndex(f"no vector index at {path}: its manifest is empty")
+        raise MissingIndex(f"no index at {path}: its manifest is empty")
     if n > 1:
         raise ValueError(f"the manifest at {path} has {n} records where one is due")
-    record = man.first()
+    return man.first()
+
+
+def read_index(spark, path: str) -> IvfIndex:
+    """A5: exactly one manifest record, else an error. Entries that a later delta replaces or deletes are left
+    out at read time, by an anti-join with the ids of the deltas."""
+    record = read_manifest(spark, path)
     base = f"{path}/{record['version']}"
-    return IvfIndex(spark.read.parquet(f"{base}/centroids"), spark.read.parquet(f"{base}/entries"),
+    entries = spark.read.parquet(f"{base}/entries")
+    schema, deltas = entries.schema, record["deltas"]
+    if deltas:
+        names = [d[1:] for d in deltas]
+        ids = None
+        for i, d in enumerate(names):
+            one = spark.read.parquet(f"{path}/{d}/ids").select("node_id", F.lit(i).alias("_by"))
+            ids = one if ids is None else ids.unionByName(one)
+        last = sized_broadcast(cut_lineage(ids.groupBy("node_id").agg(F.max("_by").alias("_last"))), 24)
+
+        def live(rows: DataFrame, at: int) -> DataFrame:
+            return rows.join(last.where(F.col("_last") > at).select("node_id"), "node_id", "left_anti")
+        entries = live(entries, -1)
+        for i, d in enumerate(deltas):
+            if d[0] == "+":
+                # an empty delta has no files: the schema is known
+                entries = entries.unionByName(live(spark.read.schema(schema).parquet(f"{path}/{d[1:]}/entries"), i))
+    return IvfIndex(spark.read.parquet(f"{base}/centroids"), entries,
                     spark.read.parquet(f"{base}/codebook") if record["has_pq"] else None)

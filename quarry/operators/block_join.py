@@ -1,5 +1,8 @@
 """Blocked similarity join: the primitive below vector search and similar pairs.
 
+A query side of few blocks against a corpus without a key is scanned in place (``scan_topk``): query blocks of a
+checked size are broadcast, and the corpus is not shuffled. All else is dealt into cells:
+
 Two tables meet on an equality key (cache context, scope, inverted list). The rows of one key
 are dealt by a hash of their id into chunks of bounded expected size, and each pair of a left and a
 right chunk is one cell: a ``cogroup`` of two bounded tables, scored with one matrix product per slice.
@@ -17,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._plan import sized_broadcast
+from ..session import broadcast_limit
+from ._plan import cut_lineage, sized_broadcast
 
 #: Expected rows of a query chunk and of a corpus chunk in a top-k cell.
 TOPK_BLOCKS = (2048, 16384)
@@ -25,6 +29,8 @@ TOPK_BLOCKS = (2048, 16384)
 PAIR_BLOCK = 8192
 #: Right rows scored at a time within a cell.
 SLICE = 2048
+#: Query blocks that a scan in place may hold; each task keeps the best of all their queries.
+SCAN_BLOCKS = 16
 #: Scores equal to so many decimals are ties, whatever order they were summed in.
 DECIMALS = 9
 
@@ -128,6 +134,59 @@ def _knn_table(q, n, s) -> pa.Table:
                      "score": pa.array(s, pa.float64())})
 
 
+def _packed(df: DataFrame, dim: int, rows: int, filters: int, prefix: str) -> DataFrame:
+    """``(_id, _v, _f0 ..)`` as a row per ``rows`` rows of a partition: ids, vectors as float64 bytes, filter values."""
+    names = [f"{prefix}ids", f"{prefix}v", *[f"{prefix}f{f}" for f in range(filters)]]
+    schema = ", ".join([f"{names[0]} array<long>", f"{names[1]} binary", *[f"{c} array<string>" for c in names[2:]]])
+
+    def pack(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                part = pa.Table.from_batches([batch.slice(lo, rows)])
+                cols = [pa.array([longs(part, "_id")], pa.list_(pa.int64())),
+                        pa.array([np.ascontiguousarray(matrix(part.column("_v"), dim)).tobytes()], pa.binary())]
+                cols += [pa.array([part.column(f"_f{f}").to_pylist()], pa.list_(pa.string())) for f in range(filters)]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+    return df.select("_id", "_v", *[f"_f{f}" for f in range(filters)]).mapInArrow(pack, schema)
+
+
+def scan_topk(left: DataFrame, right: DataFrame, k: int, dim: int, *, exclude_self: bool = False, filters: int = 0,
+              block: int = TOPK_BLOCKS[0], blocks: int = SCAN_BLOCKS) -> DataFrame | None:
+    """As ``knn`` without a key, with the right side read where it lies; None if the left side is too large for that.
+
+    The left side becomes at most ``blocks`` rows of ``block`` queries, whose bytes are checked against the broadcast limit;
+    each task keeps the best ``k`` of every query over all slices that it reads."""
+    n = left.count()
+    if n > block * blocks or n * (8 * dim + 8 + 64 * filters) > broadcast_limit(left.sparkSession):
+        return None
+    few = left.coalesce(1) if n <= block else left.repartition(-(-n // block))
+    asked = F.broadcast(cut_lineage(_packed(few, dim, block, filters, "q")))
+
+    def score(batches):
+        best: dict[bytes, tuple] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                qid, ids = np.array(row["qids"], np.int64), np.array(row["cids"], np.int64)
+                q, c = (np.frombuffer(row[x], np.float64).reshape(-1, dim) for x in ("qv", "cv"))
+                s = q @ c.T
+                ok = qid[:, None] != ids[None, :] if exclude_self else np.ones(s.shape, bool)
+                for f in range(filters):
+                    ok = ok & _fits(pa.chunked_array([pa.array(row[f"qf{f}"], pa.string())]), pa.chunked_array([pa.array(row[f"cf{f}"], pa.string())]))
+                s = np.where(ok, s, -np.inf)
+                pos = top_positions(np.round(s, DECIMALS), ids, k)
+                key = qid.tobytes()
+                _, top, at = best.get(key, (qid, np.empty((len(qid), 0)), np.empty((len(qid), 0), np.int64)))
+                top = np.concatenate((top, np.take_along_axis(s, pos, 1)), axis=1)
+                at = np.concatenate((at, ids[pos]), axis=1)
+                order = np.lexsort((at, -np.round(top, DECIMALS)), axis=-1)[:, :k]
+                best[key] = qid, np.take_along_axis(top, order, 1), np.take_along_axis(at, order, 1)
+        for qid, top, at in best.values():
+            r, c = np.nonzero(np.isfinite(top))
+            yield from _knn_table(qid[r], at[r, c], top[r, c]).to_batches()
+    met = _packed(right, dim, SLICE, filters, "c").join(asked)  # a stated query set, in blocks
+    return met.mapInArrow(score, KNN_SCHEMA)
+
+
 def pairs(left: DataFrame, right: DataFrame, threshold: float, dim: int, block: int = PAIR_BLOCK) -> DataFrame:
     """Pairs of different ids whose inner product reaches ``threshold``, smaller id first.
 

@@ -1,14 +1,13 @@
 """Exact vector search (C6, C7) and the exact similarity self-join.
 
-Both are blocked similarity joins (``block_join``): queries and vectors meet on executors, by
-context where there is one, in cells of bounded size. A search keeps the best ``k`` of each cell, and
-a ``row_number()`` window (partial and final ``WindowGroupLimit``) merges the cells; the
-self-join emits the pairs that reach the threshold. No table passes through the driver.
+Both are blocked similarity joins (``block_join``). A query side of few blocks, checked in size, is broadcast and
+the corpus scanned where it lies; larger ones, and searches by context, meet
+in cells of bounded size. A search keeps the best ``k`` of each task or cell, and a ``row_number()``
+window (partial and final ``WindowGroupLimit``) merges them; the self-join emits the pairs that reach the threshold.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,40 +32,6 @@ def vector_dim(df: DataFrame, vec_col: str = "embedding") -> int:
     return int(row["d"])
 
 
-def filter_codes(df: DataFrame, cols: list[str], side: str) -> DataFrame:
-    """Hash codes for metadata filters: query side ``_qf{i}`` / ``_qn{i}``
-    (null filter = wildcard), corpus side ``_cf{i}`` / ``_cv{i}`` (null
-    metadata never matches a non-null filter)."""
-    out = df
-    for i, c in enumerate(cols):
-        code = F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.xxhash64(F.col(c)))
-        if side == "q":
-            out = out.withColumn(f"_qf{i}", code).withColumn(f"_qn{i}", F.col(c).isNull())
-        else:
-            out = out.withColumn(f"_cf{i}", code).withColumn(f"_cv{i}", F.col(c).isNotNull())
-    return out
-
-
-def filter_mask(qfilt, cf: np.ndarray, cv: np.ndarray) -> np.ndarray:
-    """(queries x rows) bool: every non-null query filter equals the row's value."""
-    qf, qn = qfilt
-    ok = np.ones((qf.shape[0], cf.shape[0]), dtype=bool)
-    for i in range(qf.shape[1]):
-        ok &= qn[:, i][:, None] | (cv[None, :, i] & (qf[:, i][:, None] == cf[None, :, i]))
-    return ok
-
-
-def corpus_filter_arrays(rb, n_filters: int):
-    cf = np.stack([rb.column(f"_cf{i}").to_numpy(zero_copy_only=False) for i in range(n_filters)], axis=1)
-    cv = np.stack([rb.column(f"_cv{i}").to_numpy(zero_copy_only=False) for i in range(n_filters)], axis=1)
-    return cf, cv
-
-
-def _topk_rows_pairs(S: np.ndarray, I: np.ndarray, k: int):
-    order = np.lexsort((I, -S), axis=-1)[:, :k]
-    return np.take_along_axis(S, order, 1), np.take_along_axis(I, order, 1)
-
-
 def ranked(hits: DataFrame, k: int) -> DataFrame:
     """The best ``k`` hits of each query with their ``rank`` from 1; equal scores by node id."""
     w = Window.partitionBy("query_id").orderBy(F.round("score", block_join.DECIMALS).desc(), "node_id")
@@ -97,10 +62,15 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 50, *,
         values = [F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(names)]
         return same_length(df, vec, dim).select(
             key.alias("_key"), F.col(id_col).cast("long").alias("_id"), F.col(vec).alias("_v"), *values)
-    # the query side is read more than once (chunk counts, then the join): made once
+    # the query side is read more than once (its size, then the join): made once
     q = cut_lineage(side(queries, query_id, query_vec, list((filters or {}).values())))
     c = side(corpus, node_id, node_vec, list((filters or {}).keys()))
-    return ranked(block_join.knn(q, c, k, dim, exclude_self=exclude_self, filters=len(filters or {}), blocks=blocks), k)
+    hits = None
+    if not group_cols:
+        hits = block_join.scan_topk(q, c, k, dim, exclude_self=exclude_self, filters=len(filters or {}), block=blocks[0])
+    if hits is None:
+        hits = block_join.knn(q, c, k, dim, exclude_self=exclude_self, filters=len(filters or {}), blocks=blocks)
+    return ranked(hits, k)
 
 
 def similar_pairs(df: DataFrame, threshold: float, *, id_col: str = "node_id",

@@ -27,6 +27,7 @@ FUSE_K = 50         # candidates per retriever and after fusion
 SEM_THRESHOLD = 0.4  # the test vectors never reach 0.9 (max pair cosine ~0.51)
 NLIST_PROBE = 3
 TTL = cache.TTL_SECONDS
+LAYER_TTL = 86_400   # the events are some hundred a day
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,8 +70,23 @@ def q_vector_topk(spark, sf_dir):
     return r.select("query_id", "node_id", "rank", _r6("score").alias("score"))
 
 
+def stored_bm25(spark, sf_dir) -> bm25.BM25Index:
+    """The BM25 index of the documents, read from the store below the checkpoint folder; built and written there
+    if these files (by path, size and time) have none yet."""
+    m = F.col("_metadata")
+    files = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.concat_ws("|", m["file_path"], m["file_size"].cast("string"), m["file_modification_time"].cast("string")).alias("f")).distinct()
+    stamp = files.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("f")), ","), 256)).first()[0]  # a line per file
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-store/bm25-{stamp}"
+    try:
+        return bm25.read_bm25(spark, path)
+    except ann.MissingIndex:
+        bm25.write_bm25(bm25.bm25_index(doc_nodes(spark, sf_dir), carry=("product", "category")), path)
+        return bm25.read_bm25(spark, path)
+
+
 def _bm25_list(spark, sf_dir, k):
-    idx = bm25.bm25_index(doc_nodes(spark, sf_dir))
+    idx = stored_bm25(spark, sf_dir)
     q = load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return bm25.bm25_topk(q, idx, k)
 
@@ -113,7 +129,7 @@ def q_score_cutoff(spark, sf_dir):
 
 def q_query_variants(spark, sf_dir):
     q = load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    idx = bm25.bm25_index(doc_nodes(spark, sf_dir))
+    idx = stored_bm25(spark, sf_dir)
     return retrieval.expand_prf(q, idx, doc_nodes(spark, sf_dir)).select("query_id", "variant_no", "text")
 
 
@@ -291,6 +307,21 @@ def q_ivf_probe(spark, sf_dir):
     return r.select("query_id", "node_id", "rank", _r6("score").alias("score"))
 
 
+def q_ivf_add(spark, sf_dir):
+    """A stored index built from part of the vectors, added to, with ids replaced and deleted; equals a full rebuild."""
+    v = vec_nodes(spark, sf_dir)
+    i, negated = F.col("node_id"), F.transform("embedding", lambda x: -x)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-tables/{uuid.uuid4().hex}"
+    stale = v.where(i % 3 != 0).withColumn("embedding", F.when(i % 5 == 0, negated).otherwise(F.col("embedding")))
+    ann.write_index(ann.build_index(stale, ann.label_centroids(v), with_pq=False), path)
+    far = (i + 10_000_000_000).alias("node_id")
+    ann.add_to_index(spark, path, v.where(i % 3 == 0).unionByName(v.where(i % 7 == 0).select(far, "embedding", "label")))
+    ann.add_to_index(spark, path, v.where((i % 5 == 0) & (i % 3 != 0)))
+    ann.delete_from_index(spark, path, v.where(i % 7 == 0).select(far))
+    r = ann.ivf_topk(v.withColumnRenamed("node_id", "query_id"), ann.read_index(spark, path), VEC_K, nprobe=NLIST_PROBE, exclude_self=True)
+    return r.select("query_id", "node_id", "rank", _r6("score").alias("score"))
+
+
 def q_pq_encode(spark, sf_dir):
     v = vec_nodes(spark, sf_dir)
     cb = ann.label_split_codebook(v, 32)
@@ -397,6 +428,18 @@ def q_judge_pairs(spark, sf_dir):
     return j.select("conv_id", "turn", F.col("verdict.match").alias("match"), F.col("verdict.reason").alias("reason"))
 
 
+def q_judge_verdicts(spark, sf_dir):
+    """Verdict texts of every turn, some cut short, some without a match, some none; judged per role."""
+    from ..plugins import parse_verdict, verdict_errors
+    cv = load(spark, sf_dir, "conversations")
+    whole = F.to_json(F.struct((F.col("turn") % 2 == 0).alias("match"), F.col("text").alias("reason")))
+    kind = (F.col("conv_id") + F.col("turn")) % 5
+    raw = (F.when(kind == 0, F.expr("substring(raw, 1, char_length(raw) - 1)")).when(kind == 1, F.lit('{"reason": "no match given"}'))
+           .when(kind == 2, F.lit(None)).otherwise(F.col("raw")))
+    turns = cv.withColumn("raw", whole).withColumn("verdict", parse_verdict(raw))
+    return verdict_errors(turns, ["role"])
+
+
 def _prepared_events(df):
     from ..streaming.cache_stream import prepare_requests
     return prepare_requests(df.withColumnRenamed("event_id", "request_id"), query_col="props",
@@ -413,12 +456,9 @@ def q_cache_stream(spark, sf_dir):
 
 
 def q_cache_replay(spark, sf_dir):
-    """G9 as a batch replay over the same log (must equal the stream): time
-    slices replayed through the stream state machine, so neither a group nor
-    the state grows with a context's whole history."""
+    """G9 as a batch replay by joins over the same log (must equal the stream)."""
     from ..streaming.cache_stream import two_layer_cache
-    ev = load(spark, sf_dir, "events")
-    out = two_layer_cache(_prepared_events(ev), batch_mode="slices")
+    out = two_layer_cache(_prepared_events(load(spark, sf_dir, "events")))
     return out.select(F.col("request_id").alias("event_id"), "outcome")
 
 
@@ -429,6 +469,50 @@ def q_cache_fill(spark, sf_dir):
     return out.select(F.col("request_id").alias("event_id"), "response")
 
 
+def layered_log(spark, sf_dir) -> DataFrame:
+    """Events as requests for benchmark texts, in both cache layers.
+
+    Item = user modulo items, asked as it is, with its first word moved to the end (the judge agrees) or with a word more
+    (the judge refuses); filters absent, empty or a category; five tenants. One in two purchases is a set and one in two
+    errors a delete, of both layers or of either; all else are gets."""
+    from ..streaming.cache_stream import prepare_requests
+    items = load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), "text")
+    n = items.agg(F.count(F.lit(1)).alias("n_items"))
+    ev = load(spark, sf_dir, "events").join(F.broadcast(n))  # one row
+    e = F.col("event_id")
+    space = F.instr("text", " ")
+    moved = F.concat(F.expr("substring(text, instr(text, ' ') + 1)"), F.lit(" "), F.expr("substring(text, 1, instr(text, ' ') - 1)"))
+    query = F.when((e % 4 == 1) & (space > 0), moved).when(e % 4 == 2, F.concat("text", F.lit(" please"))).otherwise(F.col("text"))
+    half = e % 2 == 0
+    ev = (ev.withColumn("item", F.col("user_id") % F.col("n_items")).join(items, "item")
+          .withColumn("op", F.when((F.col("event_type") == "purchase") & half, "set")
+                      .when((F.col("event_type") == "error") & half, "delete").otherwise("get"))
+          .withColumn("layer", F.when(e % 5 == 0, "exact").when(e % 5 == 1, "semantic"))
+          .withColumn("category", F.when(e % 3 == 2, "de"))
+          .withColumn("filters", F.when(e % 3 == 0, F.lit(None).cast("map<string,string>"))
+                      .when(e % 3 == 1, F.create_map().cast("map<string,string>")).otherwise(F.create_map(F.lit("category"), F.lit("de"))))
+          .withColumn("tenant", F.concat(F.lit("t"), (F.col("user_id") % 5).cast("string")))
+          .withColumn("query", query).withColumn("request_id", e))
+    extra = ev.select("request_id", F.lit(None).cast("string").alias("product"), "category",
+                      F.when(F.col("op") == "set", F.concat(F.lit("resp-"), e.cast("string"))).alias("response"))
+    return prepare_requests(ev, filters_col="filters", tenant_col="tenant").join(extra, "request_id")
+
+
+def q_cache_two_layer(spark, sf_dir):
+    """G6 + G9: exact and semantic hits, judge refusals, sets and deletes of either layer, absent and empty filters."""
+    from ..operators.cache_layers import two_layer_replay
+    out = two_layer_replay(layered_log(spark, sf_dir), LAYER_TTL)
+    return out.select(F.col("request_id").alias("event_id"), "outcome", F.col("source_id").alias("source_event"),
+                      _r6("similarity").alias("similarity"))
+
+
+def q_cache_answers(spark, sf_dir):
+    """The same log, its misses answered by the full hybrid retrieval over the documents."""
+    from .answering import answered_log
+    out = answered_log(cut_lineage(layered_log(spark, sf_dir)), doc_nodes(spark, sf_dir), LAYER_TTL, stored_bm25(spark, sf_dir))
+    return out.select(F.col("request_id").alias("event_id"), "outcome", "response")
+
+
 # ------------------------------------------------------------------ H
 def q_rerank_top5(spark, sf_dir):
     # the candidate list is bounded (queries x k): broadcast it into the
@@ -489,6 +573,7 @@ QUERIES = {
     "active_chunks": q_active_chunks,
     "ivf_assign": q_ivf_assign,
     "ivf_probe": q_ivf_probe,
+    "ivf_add": q_ivf_add,
     "pq_encode": q_pq_encode,
     "pq_search": q_pq_search,
     "ivf_train": q_ivf_train,
@@ -501,7 +586,10 @@ QUERIES = {
     "cache_outcomes": q_cache_outcomes,
     "semantic_cache_lookup": q_semantic_cache_lookup,
     "judge_pairs": q_judge_pairs,
+    "judge_verdicts": q_judge_verdicts,
     "cache_stream": q_cache_stream,
     "cache_replay": q_cache_replay,
     "cache_fill": q_cache_fill,
+    "cache_two_layer": q_cache_two_layer,
+    "cache_answers": q_cache_answers,
 }

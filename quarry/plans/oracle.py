@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from ..functions.text import EDGE_WS, TOKEN, WORD_RUN, WS_RUN
 from ..operators.dedup import BANDS, NUM_PERM, PRIME, ROWS, SHINGLE, perm_constants
-from .catalog import BM25_K, FUSE_K, NLIST_PROBE, SEM_THRESHOLD, TTL, VEC_K
+from .catalog import BM25_K, FUSE_K, LAYER_TTL, NLIST_PROBE, SEM_THRESHOLD, TTL, VEC_K
 
 
 def _q(s: str) -> str:
@@ -507,6 +507,73 @@ def sql_cache_fill() -> str:
             + "\nSELECT event_id, 'This is a fake response.' AS response FROM walk WHERE outcome = 'miss'")
 
 
+def _layer_ctes() -> str:
+    """The layered log walked request by request: ``lwalk(rid, outcome, source, sim)`` of every event, null for sets and deletes."""
+    live = "list_filter(w.se, lambda x: x.f = l.f AND l.t < x.t + {ttl} AND l.q IS NOT NULL)".format(ttl=LAYER_TTL * 1_000_000)
+    cand = f"list_sort(list_transform({live}, lambda x: {{'s': -coalesce(l.near[x.q], -2.0), 'k': x.k, 'src': x.src, 'q': x.q}}))[1]"
+    found = f"list_filter(w.ex, lambda x: x.k = l.ek AND l.t < x.t + {LAYER_TTL * 1_000_000})[1]"
+    keep = "list_filter({col}, lambda x: x.k <> {key} AND l.t < x.t + " + str(LAYER_TTL * 1_000_000) + ")"
+    return f"""
+lg AS (SELECT e.event_id AS rid, epoch_us(e.ts) AS t, e.user_id % 5 AS tenant, e.event_id % 3 AS f,
+              CASE WHEN e.event_type = 'purchase' AND e.event_id % 2 = 0 THEN 'set'
+                   WHEN e.event_type = 'error' AND e.event_id % 2 = 0 THEN 'delete' ELSE 'get' END AS op,
+              CASE e.event_id % 5 WHEN 0 THEN 'exact' WHEN 1 THEN 'semantic' ELSE 'both' END AS layer,
+              CASE e.event_id % 4 WHEN 1 THEN substr(b.text, instr(b.text, ' ') + 1) || ' ' || substr(b.text, 1, instr(b.text, ' ') - 1)
+                   WHEN 2 THEN b.text || ' please' ELSE b.text END AS query
+       FROM events e JOIN benchmark b ON b.item_id = e.user_id % (SELECT count(*) FROM benchmark)),
+lq AS (SELECT query, row_number() OVER (ORDER BY query) AS q FROM (SELECT DISTINCT query FROM lg)),
+{hashed_ctes("SELECT q AS id, query AS text FROM lq", 64, "lh")},
+lt AS (SELECT q, list_sort(list_distinct({terms('query')})) AS t FROM lq),
+lsim AS (SELECT a.id AS a, b.id AS b, round({dot('a.v', 'b.v')}, 9) AS sim FROM lh_dense a, lh_dense b WHERE {dot('a.v', 'b.v')} >= 0.9),
+lnear AS (SELECT a AS q, map(list(b), list(sim)) AS near, map(list(b), list(x.t = y.t)) AS same
+          FROM lsim JOIN lt x ON x.q = a JOIN lt y ON y.q = b GROUP BY a),
+lk AS (SELECT lg.*, lq.q, lnear.near, lnear.same, tenant || (CASE WHEN f = 2 THEN '-de' ELSE '-' END) AS part,
+              {norm_cache('query')} AS ek,
+              'semantic_cache:' || sha256(CASE f WHEN 0 THEN 'null' WHEN 1 THEN '{{}}' ELSE '{{"category":"de"}}' END
+                || ':v1:t' || tenant || ':' || {norm_cache('query')}) AS sk
+       FROM lg JOIN lq USING (query) LEFT JOIN lnear ON lnear.q = lq.q),
+ln AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY t, rid) AS i FROM lk),
+lwalk(part, i, rid, outcome, source, sim, ex, se) AS (
+  SELECT DISTINCT part, 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, NULL::BIGINT, NULL::DOUBLE,
+         []::STRUCT(k VARCHAR, t BIGINT, src BIGINT)[], []::STRUCT(k VARCHAR, t BIGINT, src BIGINT, q BIGINT, f BIGINT)[] FROM ln
+  UNION ALL
+  SELECT part, i, rid, outcome, source, CASE WHEN outcome = 'semantic_hit' THEN -best.s END,
+         CASE WHEN outcome IN ('miss', 'semantic_hit') OR op = 'set' AND layer <> 'semantic' THEN list_append(ex1, {{'k': ek, 't': t, 'src': coalesce(source, rid)}})
+              WHEN op = 'delete' AND layer <> 'semantic' THEN ex1 ELSE ex0 END,
+         CASE WHEN outcome = 'miss' OR op = 'set' AND layer <> 'exact' THEN list_append(se1, {{'k': sk, 't': t, 'src': rid, 'q': q, 'f': f}})
+              WHEN op = 'delete' AND layer <> 'exact' THEN se1 ELSE se0 END
+  FROM (SELECT *, CASE outcome WHEN 'exact_hit' THEN hit.src WHEN 'semantic_hit' THEN best.src WHEN 'miss' THEN rid END AS source
+        FROM (SELECT *, CASE WHEN op <> 'get' THEN NULL WHEN hit IS NOT NULL THEN 'exact_hit'
+                             WHEN best IS NOT NULL AND -best.s >= 0.9 AND same[best.q] THEN 'semantic_hit' ELSE 'miss' END AS outcome
+              FROM (SELECT l.part, l.i, l.rid, l.t, l.op, l.layer, l.q, l.f, l.ek, l.sk, l.same, w.ex AS ex0, w.se AS se0,
+                           {found} AS hit, {cand} AS best,
+                           {keep.format(col='w.ex', key='l.ek')} AS ex1, {keep.format(col='w.se', key='l.sk')} AS se1
+                    FROM lwalk w JOIN ln l ON l.part = w.part AND l.i = w.i + 1))))"""
+
+
+def sql_cache_layers() -> str:
+    return "WITH RECURSIVE " + _layer_ctes() + """
+SELECT rid AS event_id, outcome, source AS source_event, round(sim, 6) AS similarity FROM lwalk WHERE outcome IS NOT NULL"""
+
+
+def sql_cache_answers() -> str:
+    asked = "SELECT qid AS query_id, query AS text FROM lasked"
+    missed = """,
+lmiss AS MATERIALIZED (SELECT w.rid, w.outcome, w.source, lg.query, CASE WHEN lg.f = 2 THEN 'de' END AS category
+                       FROM lwalk w JOIN lg USING (rid) WHERE w.outcome IS NOT NULL),
+lasked AS MATERIALIZED (SELECT query, category, min(rid) AS qid FROM lmiss WHERE outcome = 'miss' GROUP BY ALL),"""
+    filters = "qf AS (SELECT qid AS query_id, NULL::VARCHAR AS product, category FROM lasked)"
+    body = sql_hybrid_retrieval(queries=asked, filters=filters).removeprefix("WITH RECURSIVE ")
+    head, tail = body.rsplit("SELECT query_id, node_id, rank2 AS rank", 1)
+    return "WITH RECURSIVE " + _layer_ctes() + missed + head + ",\nlbest AS (SELECT query_id, node_id, rank2 AS rank" + tail + f"""),
+lans AS (SELECT m.rid, b.node_id::VARCHAR AS answer FROM lmiss m
+         JOIN lasked a ON a.query = m.query AND a.category IS NOT DISTINCT FROM m.category
+         JOIN lbest b ON b.query_id = a.qid AND b.rank = 1 WHERE m.outcome = 'miss'
+         UNION ALL SELECT rid, 'resp-' || rid FROM lg WHERE op = 'set')
+SELECT m.rid AS event_id, m.outcome, coalesce(lans.answer, 'no answer') AS response
+FROM lmiss m LEFT JOIN lans ON lans.rid = m.source"""
+
+
 def sql_semantic_cache_lookup() -> str:
     return f"""
 WITH best AS (SELECT q.vec_id, c.vec_id AS cached_id, {dot('q.embedding', 'c.embedding')} AS sim
@@ -524,6 +591,14 @@ SELECT u.conv_id, u.turn, {ts('u.text')} = {ts('p.text')} AS match,
 FROM conversations u JOIN conversations p ON p.conv_id = u.conv_id AND p.turn = u.turn - 2"""
 
 
+def sql_judge_verdicts() -> str:
+    return """
+SELECT role, count(*) FILTER (WHERE (conv_id + turn) % 5 <> 2)::BIGINT AS n_verdicts,
+       count(*) FILTER (WHERE (conv_id + turn) % 5 > 2 AND turn % 2 = 0)::BIGINT AS n_match,
+       count(*) FILTER (WHERE (conv_id + turn) % 5 < 2)::BIGINT AS n_malformed
+FROM conversations GROUP BY role"""
+
+
 def sql_rerank_top5() -> str:
     return "WITH " + fused_ctes() + f""",
 sc AS (SELECT f.query_id, f.node_id, f.rank,
@@ -536,7 +611,8 @@ SELECT query_id, node_id, rank2 AS rank, round(s, 6) AS score FROM (
   FROM sc) WHERE rank2 <= 5"""
 
 
-def sql_hybrid_retrieval(pre: bool = False) -> str:
+def sql_hybrid_retrieval(pre: bool = False, queries: str = "SELECT item_id AS query_id, text FROM benchmark",
+                         filters: str | None = None) -> str:
     """H5 end to end: PRF variants, hashed-vector and BM25 top-50 per variant,
     relative fusion over 3 variants, filter, cutoff, per-query exact / near /
     semantic dedup (greedy walks over (query, node) keys), re-rank top 5."""
@@ -552,8 +628,8 @@ def sql_hybrid_retrieval(pre: bool = False) -> str:
 
     def _pre_where(qid: str, nid: str) -> str:
         return f"WHERE {_match(qid, nid)}" if pre else ""
-    return "WITH RECURSIVE " + bm25_ctes(10) + f""",
-{_bench_filters()},
+    return "WITH RECURSIVE " + bm25_ctes(10, queries) + f""",
+{filters or _bench_filters()},
 fb AS (SELECT bm.query_id, tf.term, sum(tf.tf * idf.idf) AS w
        FROM bm JOIN tf ON tf.node_id = bm.node_id JOIN idf ON idf.term = tf.term GROUP BY ALL),
 ex AS (SELECT * FROM fb WHERE NOT EXISTS (SELECT 1 FROM qt WHERE qt.query_id = fb.query_id AND qt.term = fb.term)),
@@ -614,7 +690,7 @@ rr AS (SELECT n3.query_id, n3.node_id, n3.rank,
               CASE WHEN len(list_distinct({terms('b.text')})) > 0
                    THEN len(list_intersect(list_distinct({terms('b.text')}), {terms('n3.text')}))::DOUBLE
                         / len(list_distinct({terms('b.text')})) ELSE 0.0 END AS s
-       FROM n3 JOIN benchmark b ON b.item_id = n3.query_id)
+       FROM n3 JOIN bq b ON b.query_id = n3.query_id)
 SELECT query_id, node_id, rank2 AS rank, round(s, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, rank, node_id) AS rank2 FROM rr)
 WHERE rank2 <= 5"""
@@ -651,6 +727,7 @@ ORACLE = {
     "active_chunks": sql_active_chunks,
     "ivf_assign": sql_ivf_assign,
     "ivf_probe": sql_ivf_probe,
+    "ivf_add": sql_ivf_probe,
     "pq_encode": sql_pq_encode,
     "pq_search": sql_pq_search,
     "cache_key_exact": sql_cache_key_exact,
@@ -661,9 +738,12 @@ ORACLE = {
     "cache_outcomes": sql_cache_outcomes,
     "semantic_cache_lookup": sql_semantic_cache_lookup,
     "judge_pairs": sql_judge_pairs,
+    "judge_verdicts": sql_judge_verdicts,
     "cache_stream": sql_cache_two_layer,
     "cache_replay": sql_cache_two_layer,
     "cache_fill": sql_cache_fill,
+    "cache_two_layer": sql_cache_layers,
+    "cache_answers": sql_cache_answers,
 }
 
 

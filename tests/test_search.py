@@ -218,7 +218,7 @@ def test_hybrid_retrieval_shape(spark):
     assert all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 5 for v in per_q.values())
 
 
-def test_bm25_document_partitioned_equals_join(spark):
+def test_bm25_pruned_equals_join(spark):
     from quarry.plans.catalog import doc_nodes, load
     docs = doc_nodes(spark, SF_SMALL)
     idx = bm25.bm25_index(docs)
@@ -236,6 +236,62 @@ def test_bm25_document_partitioned_equals_join(spark):
     assert c == a
 
 
+@pytest.mark.parametrize("block,first", [(4096, 20), (16, 1), (5, 3)])
+def test_bm25_blocks_and_bounds_lose_nothing(spark, monkeypatch, block, first):
+    """Random texts with hot words: term-major blocks of several ranges, classes left out, filters, other parameters."""
+    monkeypatch.setattr(bm25, "FIRST", first)
+    monkeypatch.setattr(bm25._term_blocks, "__defaults__", (block,))
+    rng = np.random.default_rng(block)
+    words = [f"w{i}" for i in range(60)]
+    share = 1 / np.arange(1, 61)
+    text = lambda n: " ".join(rng.choice(words, n, p=share / share.sum()))
+    docs = spark.createDataFrame([(i, text(int(rng.integers(1, 40))) if i % 17 else "", f"p{i % 3}" if i % 5 else None) for i in range(300)],
+                                 "node_id long, text string, product string")
+    q = spark.createDataFrame([(i, text(int(rng.integers(1, 12))) if i else "unheard of", f"p{i % 4}" if i % 2 else None) for i in range(25)],
+                              "query_id long, text string, wanted string")
+    idx = bm25.bm25_index(docs, carry=("product",))
+    counts = idx.blocks.agg(F.max(F.size("entries")).alias("m"), F.sum("n").alias("n")).first()
+    assert counts["n"] == idx.postings.count() and (block == 4096 or counts["m"] < 8 * block)
+    key = lambda rows: sorted((r["query_id"], r["node_id"], r["rank"], round(r["score"], 9)) for r in rows.collect())
+    for k, k1, b in ((5, 1.5, 0.75), (1, 1.2, 0.0), (400, 0.5, 1.0)):
+        assert key(bm25.bm25_topk(q, idx, k, k1=k1, b=b)) == key(bm25.bm25_topk_join(q, idx, k, k1=k1, b=b))
+    every = bm25.bm25_topk_join(q, idx, 1000).join(docs, "node_id").join(q.select("query_id", "wanted"), "query_id")
+    fits = every.where("wanted is null or product = wanted").select("query_id", "node_id", "score")
+    assert key(bm25.bm25_topk(q, idx, 4, filters={"product": "wanted"})) == key(bm25._best(fits, ["query_id"], 4))
+
+
+def test_bm25_sends_no_query_row_to_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame as Classic
+    docs = spark.createDataFrame([(i, f"word{i % 7} common") for i in range(50)], "node_id long, text string")
+    idx = bm25.bm25_index(docs)
+    q = spark.createDataFrame([(i, f"common word{i}") for i in range(5)], "query_id long, text string")
+    kind = type(q)
+
+    def refuse(self, *a, **k):
+        raise AssertionError("rows were collected")
+    for name in ("collect", "toArrow", "toPandas", "toLocalIterator", "take", "first", "head"):
+        monkeypatch.setattr(kind, name, refuse)
+    out = bm25.bm25_topk(q, idx, 3)
+    monkeypatch.undo()
+    assert isinstance(out, Classic) and out.count() == 15
+
+
+def test_bm25_store_round_trip_and_reads_of_it(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"alpha word{i % 40} beta{i}") for i in range(400)], "node_id long, text string")
+    idx = bm25.bm25_index(docs)
+    with pytest.raises(ann.MissingIndex):
+        bm25.read_bm25(spark, str(tmp_path / "bm"))
+    for _ in range(2):  # a rewrite is a new version
+        bm25.write_bm25(idx, str(tmp_path / "bm"))
+    back = bm25.read_bm25(spark, str(tmp_path / "bm"))
+    q = spark.createDataFrame([(1, "alpha word3"), (2, "beta7 alpha")], "query_id long, text string")
+    assert sorted(map(tuple, bm25.bm25_topk(q, back, 5).collect())) == sorted(map(tuple, bm25.bm25_topk(q, idx, 5).collect()))
+    ann.write_index(ann.build_index(*[vecs(spark, 20, 4, seed=1)[0]] * 1, ann.label_centroids(vecs(spark, 20, 4, seed=1)[0]), with_pq=False),
+                    str(tmp_path / "iv"))
+    with pytest.raises(ann.MissingIndex):
+        bm25.read_bm25(spark, str(tmp_path / "iv"))
+
+
 def test_ivf_pairs_full_probe_is_exact_and_partial_is_subset(spark):
     from quarry.operators.vector_search import similar_pairs
     from quarry.operators import dedup
