@@ -2,7 +2,8 @@
 
 1. Items and documents become hashes of five-word shingles (letters and digits,
    lower case). A window as long as an item, in words, is laid wherever a document shares
-   a shingle with an item, aligned to it; a window without a shared shingle has similarity 0.
+   a shingle with an item, aligned to it; a window without a shared shingle has similarity 0. An item of
+   under five words is one shingle, and windows as short as it are hashed as it is.
 2. Every window gets a 64-bit SimHash of its shingles.
 3. Multi-index Hamming search: 64 bits in six blocks; within 17 bits some block differs
    in at most two (pigeonhole), so items are indexed under every value within two
@@ -43,6 +44,13 @@ def shingles(w: str, n: int = WORDS) -> Column:
             .otherwise(F.array().cast("array<long>")))
 
 
+def short_windows(w: str, n: int) -> Column:
+    """Hashes of all ``n``-word windows of an array column, ``n`` under WORDS, as ``shingles`` hashes a text of just these words."""
+    at = F.sequence(F.lit(1), F.size(w) - (n - 1))
+    hashed = F.transform(at, lambda i: F.xxhash64(F.lit("short"), F.array_join(F.slice(F.col(w), i, n), " ")))
+    return F.when(F.size(w) >= n, hashed).otherwise(F.array().cast("array<long>"))
+
+
 def simhash(rows: DataFrame, keys: list[str], h: str = "h") -> DataFrame:
     """``(*keys, fp, weight)`` of shingle rows: a bit is 1 if it is in over half of the hashes.
 
@@ -88,8 +96,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``(id, item, start, n_words, distance, similarity)``: the best window for each document and item.
 
-    ``start`` is the window's first word. A text of under five words is one shingle, so a short item
-    matches only documents of just these words. Null and empty texts match
+    ``start`` is the window's first word. An item of under five words is one shingle and matches where just these
+    words stand, anywhere in a document. Null and empty texts match
     nothing. Items with a null id are one item per text; rows that repeat an id, null included, are one
     document per text. Ties go to the earliest window.
     """
@@ -113,18 +121,23 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     base = base.withColumn("t", _text_hash(F.col("text")))
     hashed = (base.select("k", "t", "id", words(F.col("text")).alias("w"))
               .select("k", "t", "id", F.size("w").alias("size"), shingles("w").alias("sh")))
+    short = sorted(r["n"] for r in items.where(f"n < {WORDS}").select("n").distinct().collect())  # at most four numbers
     anchors = exploded(items.select("n", "sh"), "sh", "h", "off").distinct()
-    starts = (exploded(hashed.select("k", "t", "size", "sh"), "sh", "h", "pos")
-              .join(sized_broadcast(anchors, 24), "h")
-              .select("k", "t", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.col("size") - F.col("n"))).alias("start"))
-              .groupBy("k", "t").agg(F.collect_set(F.struct("n", "start")).alias("wins")))
-    starts = cut_lineage(starts)
+    met = (exploded(hashed.select("k", "t", "size", "sh"), "sh", "h", "pos")
+           .join(sized_broadcast(anchors, 24), "h")
+           .select("k", "t", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.col("size") - F.col("n"))).alias("start")))
+    for n in short:
+        w = base.select("k", "t", words(F.col("text")).alias("w")).select("k", "t", short_windows("w", n).alias("sh"))
+        of_n = anchors.where(F.col("n") == n).select("h", "n")
+        met = met.unionByName(exploded(w, "sh", "h", "start").join(sized_broadcast(of_n, 24), "h").select("k", "t", "n", "start"))
+    starts = cut_lineage(met.groupBy("k", "t").agg(F.collect_set(F.struct("n", "start")).alias("wins")))
     windows = (base.join(sized_broadcast(starts, 200), ["k", "t"])
                .select("k", "t", "id", "wins", words(F.col("text")).alias("w"))
-               .select("k", "t", "id", "wins", shingles("w").alias("sh"))
-               .select("k", "t", "id", "sh", F.explode("wins").alias("x"))
+               .select("k", "t", "id", "wins", "w", shingles("w").alias("sh"))
+               .select("k", "t", "id", "w", "sh", F.explode("wins").alias("x"))
                .select("k", "t", "id", "x.n", "x.start",
-                       F.expr(f"slice(sh, x.start + 1, greatest(x.n - {WORDS - 1}, 1))").alias("sh")))
+                       F.expr(f"if(x.n < {WORDS}, array(xxhash64('short', array_join(slice(w, x.start + 1, x.n), ' '))), "
+                              f"slice(sh, x.start + 1, greatest(x.n - {WORDS - 1}, 1)))").alias("sh")))
     windows = windows.withColumn("win", F.xxhash64("k", "t", "n", "start", "sh"))
     windows = cut_lineage(windows.dropDuplicates(["win"]))
     win_sh = windows.select("win", F.explode("sh").alias("h"))

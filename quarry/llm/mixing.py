@@ -18,14 +18,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, sized_broadcast
+from .common import cut_lineage, fresh, sized_broadcast
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: The most often a document's words may be taken.
 MAX_REPEATS = 3
 SEED = 20
-#: Hash ranges per pattern in which the seeded order is summed up.
-RANGES = 1024
+#: Bits of the hash that name a range of the seeded order, at least; large tables have ranges of some STRETCH lines.
+RANGE_BITS = 10
 #: Lines that one task walks at a time where the order has to be looked at closely (or one range, if larger).
 STRETCH = 1024
 
@@ -107,20 +107,56 @@ def min_cost_flow(capacity: Mapping, member: Mapping[object, Sequence], quota: M
                 given[b[1], a[1]] -= amount
 
 
+def share_out(capacity: Mapping, member: Mapping[object, Sequence], quota: Mapping, repeats: int = MAX_REPEATS) -> dict:
+    """``min_cost_flow``, taken apart: a source that shares no pattern is filled as it stands, and only
+    patterns that overlap meet in a flow, each group of them in its own."""
+    shared = {s for p in capacity if len(member[p]) > 1 for s in member[p]}
+    given = {(p, s): min(float(quota[s]), float(repeats * capacity[p])) for p in capacity for s in member[p] if s not in shared}
+    root = {s: s for s in shared}
+
+    def find(s):
+        while root[s] != s:
+            root[s] = s = root[root[s]]
+        return s
+    for p in capacity:
+        if len(member[p]) > 1:
+            for s in member[p][1:]:
+                root[find(s)] = find(member[p][0])
+    groups: dict = {}
+    for p in capacity:
+        if any(s in shared for s in member[p]):
+            groups.setdefault(find(member[p][0]), []).append(p)
+    for some in groups.values():
+        sources = {s for p in some for s in member[p]}
+        given |= min_cost_flow({p: capacity[p] for p in some}, {p: member[p] for p in some}, {s: quota[s] for s in sources}, repeats)
+    return given
+
+
+def _numbered(rows: DataFrame, keys: Sequence[str], part: str, out: str) -> DataFrame:
+    """``rows`` numbered from 1 among those of equal ``keys``: within a part first, parts summed up, so that no
+    window holds more than one part of a key. ``part`` is a stored column."""
+    counts = rows.groupBy(*keys, part).agg(F.count("*").alias(f"{out}_n"))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, part, F.coalesce(F.sum(f"{out}_n").over(before), F.lit(0)).alias(f"{out}_o"))
+    inside = Window.partitionBy(*keys, part).orderBy(F.lit(0))
+    return (rows.join(offsets, [*keys, part]).withColumn(out, F.row_number().over(inside) + F.col(f"{out}_o")).drop(f"{out}_o"))
+
+
 def mix(docs: DataFrame, member: Column, size: Column, targets, order: Sequence[Column],
         repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """``docs`` plus ``_size`` (long), ``_pattern`` (array) and ``_copies`` (0 to ``repeats``).
 
     ``member``: array of a document's sources (nulls allowed inside); ``targets``: function of
     ``{source: words}`` to ``{source: target words}``. ``order`` makes rows distinguishable; equal
-    rows may swap copies. What the driver sees is a row per pattern.
-    """
+    rows may swap copies. What the driver sees is a row per pattern. Columns of the names above are replaced."""
     # null sources get a name of their own, so that sets of sources compare
     named = F.array_sort(F.transform(F.array_distinct(member), lambda s: F.when(s.isNull(), "n").otherwise(F.concat(F.lit("s"), s))))
     rows = docs.withColumn("_size", size.cast("long")).withColumn("_pattern", named)
     rows = rows.withColumn("_u", F.shiftrightunsigned(F.xxhash64(F.lit(seed), *order), 1))
-    rows = cut_lineage(rows.withColumn("_range", F.shiftright("_u", 53)))  # 1,024 ranges of 63-bit hashes
-    per_pattern = rows.groupBy("_pattern").agg(F.sum("_size").alias("w")).collect()
+    rows = cut_lineage(rows.withColumn("_part", F.spark_partition_id()))
+    per_pattern = rows.groupBy("_pattern").agg(F.sum("_size").alias("w"), F.count("*").alias("n")).collect()
+    bits = max(RANGE_BITS, (sum(r["n"] for r in per_pattern) // STRETCH).bit_length())
+    rows = rows.withColumn("_range", F.shiftright("_u", 63 - bits))
     capacity = {tuple(r["_pattern"]): float(r["w"]) for r in per_pattern}
     name = lambda s: None if s == "n" else s[1:]
     sizes: dict = {}
@@ -128,7 +164,7 @@ def mix(docs: DataFrame, member: Column, size: Column, targets, order: Sequence[
         for s in p:
             sizes[name(s)] = sizes.get(name(s), 0.0) + w
     quota = targets(sizes)
-    flow = min_cost_flow(capacity, {p: [name(s) for s in p] for p in capacity}, quota, repeats)
+    flow = share_out(capacity, {p: [name(s) for s in p] for p in capacity}, quota, repeats)
     total: dict = {}
     for (p, _), w in flow.items():
         total[p] = total.get(p, 0.0) + w
@@ -136,35 +172,53 @@ def mix(docs: DataFrame, member: Column, size: Column, targets, order: Sequence[
     for i, (p, w) in enumerate(total.items()):
         passes = min(repeats, int(math.floor(w / capacity[p] + 1e-9))) if capacity[p] else 1
         left = round(w - passes * capacity[p]) if passes < repeats else 0
-        plan.append((list(p), i, passes))
+        plan.append((list(p), i, passes, left))
         if left > 0:
             rest[i] = left
     spark = docs.sparkSession
-    numbered = rows.join(sized_broadcast(spark.createDataFrame(plan, "_pattern array<string>, _p int, _passes int"), 200), "_pattern")
+    plan = spark.createDataFrame(plan, "_pattern array<string>, _p int, _passes int, _rest long")
+    numbered = rows.join(sized_broadcast(plan, 200), "_pattern")
     # equal rows are one line with their number
-    lines = (numbered.where(F.col("_p").isin(list(rest)) & (F.col("_size") > 0))
+    lines = (numbered.where((F.col("_rest") > 0) & (F.col("_size") > 0))
              .groupBy("_p", "_range", "_u", "_size").agg(F.count("*").alias("_m")))
-    steps, first, walked = _walk_order(cut_lineage(lines), rest)
+    lines = cut_lineage(lines)
+    steps, first, walked = _walk_order(lines, rest, 1 << bits)
     whole = spark.createDataFrame([(i, first.get(i, 2**63 - 1), steps[i]) for i in rest],
                                   "_p int, _first long, _steps array<struct<after:long,stop:long,open:long>>")
+    whole = sized_broadcast(whole, 200)
+    inside = F.exists("_steps", lambda s: (F.col("_range") > s["after"]) & (F.col("_range") < s["stop"]) & (F.col("_size") <= s["open"]))
     walked = walked.where("_k > 0").select("_p", "_u", "_size", "_k", "_m")
-    out = (numbered.join(sized_broadcast(whole, 200), "_p", "left")
+    walked = cut_lineage(_topped_up(lines, whole, inside, walked, rest))
+    out = (numbered.join(whole, "_p", "left")
            .join(sized_broadcast(walked, 40), ["_p", "_u", "_size"], "left"))
-    inside = F.exists("_steps", lambda s: (F.col("_range") > s["after"]) & (F.col("_range") < s["stop"]) & (F.col("_size") <= s["open"]))
     taken = F.when(F.col("_size") == 0, F.col("_u") < F.col("_first")).otherwise(inside | F.coalesce(F.col("_k") == F.col("_m"), F.lit(False)))
     if walked.where("_k < _m").take(1):  # some of several equal rows
         some = F.col("_k") < F.col("_m")
-        nth = F.row_number().over(Window.partitionBy("_p", "_u", "_size").orderBy(F.lit(0)))
+        nth = _numbered(out.where(some), ["_p", "_u", "_size"], "_part", "_nth")
         out = (out.where(F.coalesce(~some, F.lit(True))).withColumn("_in", taken)
-               .unionByName(out.where(some).withColumn("_in", nth <= F.col("_k"))))
+               .unionByName(nth.withColumn("_in", F.col("_nth") <= F.col("_k")).drop("_nth")))
     else:
         out = out.withColumn("_in", taken)
     extra = F.coalesce(F.col("_in"), F.lit(False)).cast("int")
     return (out.withColumn("_copies", (F.col("_passes") + extra).cast("int"))
-            .drop("_u", "_range", "_p", "_passes", "_first", "_steps", "_k", "_m", "_in"))
+            .drop("_u", "_range", "_part", "_p", "_passes", "_rest", "_first", "_steps", "_k", "_m", "_in"))
+
+
+def _topped_up(lines: DataFrame, whole: DataFrame, inside: Column, walked: DataFrame, rest: Mapping) -> DataFrame:
+    """``walked`` with one row more of the smallest line that is not all in, where that leaves a pattern nearer to its words."""
+    at = lines.join(whole, "_p").join(walked.select("_p", "_u", "_size", "_k"), ["_p", "_u", "_size"], "left")
+    at = at.withColumn("_k", F.when(inside, F.col("_m")).otherwise(F.coalesce("_k", F.lit(0))))
+    open_ = F.when(F.col("_k") < F.col("_m"), F.struct("_size", "_u", "_k", "_m"))
+    found = at.groupBy("_p").agg(F.sum(F.col("_k") * F.col("_size")).alias("took"), F.min(open_).alias("next")).collect()  # a row per pattern
+    more = [(r["_p"], r["next"]["_u"], r["next"]["_size"], r["next"]["_k"] + 1, r["next"]["_m"]) for r in found
+            if r["next"] is not None and r["next"]["_size"] < 2 * (rest[r["_p"]] - r["took"])]
+    if not more:
+        return walked
+    more = sized_broadcast(lines.sparkSession.createDataFrame(more, "_p int, _u long, _size long, _k long, _m long"), 40)
+    return walked.join(more.select("_p", "_u", "_size"), ["_p", "_u", "_size"], "left_anti").unionByName(more)
 
 
-def _walk_order(lines: DataFrame, rest: Mapping) -> tuple[dict, dict, DataFrame]:
+def _walk_order(lines: DataFrame, rest: Mapping, ranges: int) -> tuple[dict, dict, DataFrame]:
     """First fit through the seeded order of ``lines(_p, _range, _u, _size, _m)`` for ``rest`` words of each ``_p``.
 
     Returns ``{p: [(after, stop, open)]}``: between the ranges ``after`` and ``stop`` all lines of up to
@@ -190,7 +244,7 @@ def _walk_order(lines: DataFrame, rest: Mapping) -> tuple[dict, dict, DataFrame]
                       ((F.col("_range") > F.col("stop._range")) & (F.col("lines") - F.col("stop.skip") <= STRETCH)), F.col("_range"))
         found = {r["_p"]: r for r in sums.where("stop is not null").groupBy("_p", "stop").agg(F.max(near).alias("last")).collect()}
         for p, (after, open_) in state.items():
-            steps[p].append((after, found[p]["stop"]["_range"] if p in found else RANGES, open_))
+            steps[p].append((after, found[p]["stop"]["_range"] if p in found else ranges, open_))
         if not found:
             break
         at = spark.createDataFrame([(p, r["stop"]["_range"], r["last"], state[p][1] - r["stop"]["before"]) for p, r in found.items()],
@@ -252,19 +306,26 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it (0 to 3 times); all columns stay.
 
-    Rows equal in id, source and text are not told apart: each comes as often as the rounded mean of
-    their copies, so their total can differ from what the mix took."""
-    light = docs.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.xxhash64("text").alias("_t"),
-                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_w"))
-    mixed = mix(light, F.array("_s"), F.col("_w"), source_targets, [F.col("_d"), F.col("_t")])
+    A null text has size 0; an empty table stays empty. Rows equal in id, source and text share what the mix takes of them
+    together: each comes equally often, and as many as remain once more."""
+    d, src, t, w, rows, copies, part, nth, each = (fresh(docs, x) for x in "d s t w rows copies part nth each".split())
+    light = docs.select(F.col("doc_id").alias(d), F.col("source").alias(src), F.xxhash64("text").alias(t),
+                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias(w))
+    mixed = mix(light, F.array(src), F.col(w), source_targets, [F.col(d), F.col(t)])
     # equal rows: one line with their number and their copies in total
-    copies = mixed.groupBy("_d", "_s", "_t").agg(F.count("*").alias("_rows"), F.sum("_copies").alias("_copies"))
-    copies = cut_lineage(copies)
+    found = cut_lineage(mixed.groupBy(d, src, t).agg(F.count("*").alias(rows), F.sum("_copies").alias(copies)).where(F.col(copies) > 0))
     cols = docs.columns
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_d"]) & docs["source"].eqNullSafe(copies["_s"])
-                       & (F.xxhash64(docs["text"]) == copies["_t"]))
-    joined = joined.where("_copies > 0")
-    # m equal rows with c copies in all: each gives c / m, rounded; one row: c
-    each = F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(F.round(F.col("_copies") / F.col("_rows")))
-    return (joined.withColumn("_each", each.cast("int")).where("_each > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*[F.col(f"`{c}`") for c in cols]))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[d]) & docs["source"].eqNullSafe(found[src])
+                       & (F.xxhash64(docs["text"]) == found[t]))
+    joined = joined.withColumn(each, F.floor(F.col(copies) / F.col(rows)).cast("int"))
+    uneven = found.where(F.col(copies) % F.col(rows) != 0)
+    if uneven.take(1):
+        even = joined.where(F.col(copies) % F.col(rows) == 0).select(*[F.col(f"`{c}`") for c in cols], each)
+        some = cut_lineage(joined.where(F.col(copies) % F.col(rows) != 0).withColumn(part, F.spark_partition_id()))
+        # nulls of the keys are values here
+        keys = {f"{nth}{i}": F.struct(c) for i, c in enumerate((d, src))}
+        some = _numbered(some.withColumns(keys), [*keys, t], part, nth)
+        some = some.withColumn(each, F.col(each) + (F.col(nth) <= F.col(copies) % F.col(rows)).cast("int"))
+        joined = even.unionByName(some.select(*[F.col(f"`{c}`") for c in cols], each))
+    return (joined.where(F.col(each) > 0)
+            .withColumn(part, F.explode(F.sequence(F.lit(1), F.col(each)))).select(*[F.col(f"`{c}`") for c in cols]))

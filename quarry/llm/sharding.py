@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, fresh, sized_broadcast
 
 
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
@@ -44,21 +44,23 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], id_col: str = "doc_
 
 def number_slots(rows: DataFrame, shard_col: str, order: Sequence[str], slot_col: str = "slot",
                  ranges: int = 64) -> DataFrame:
-    """Gapless numbers from 0 within each shard, in the order of a hash of ``order[0]``.
+    """Gapless numbers from 0 within each shard, in the order of a hash of the ``order`` columns and the row's part of the table.
 
     Two levels: rows are counted per (shard, hash range), the counts are summed up
-    over ranges (shards x ranges rows), and rows are numbered within a range.
-    Equal rows may swap numbers; the result as a set is the same.
-    """
-    h = F.xxhash64(F.coalesce(F.col(order[0]).cast("string"), F.lit("null")))
-    rows = rows.withColumn("_h", h).withColumn("_r", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(ranges)))
-    counts = rows.groupBy(shard_col, "_r").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(shard_col).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(shard_col, "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy(shard_col, "_r").orderBy("_h", *order)
-    return (rows.join(F.broadcast(offsets), [shard_col, "_r"])  # at most shards x ranges rows
-            .withColumn(slot_col, (F.row_number().over(inside) - 1 + F.col("_o")).cast("long"))
-            .drop("_h", "_r", "_o"))
+    over ranges (shards x ranges rows), and rows are numbered within a range. The hash covers all order columns and the
+    part, so that neither null ids nor rows equal in everything, if they are many, lie in one range. The
+    table is stored first, so that its parts stay; runs over equal files agree."""
+    h, r, n, o = (fresh(rows, x) for x in "hrno")
+    whole = [x for c in order for x in (F.col(c), F.col(c).isNull())]  # a hash alone skips nulls
+    rows = rows.withColumn(h, F.xxhash64(*whole, F.spark_partition_id()))
+    rows = cut_lineage(rows.withColumn(r, F.pmod(F.shiftrightunsigned(h, 20), F.lit(ranges))))
+    counts = rows.groupBy(shard_col, r).agg(F.count("*").alias(n))
+    before = Window.partitionBy(shard_col).orderBy(r).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut_lineage(counts.select(shard_col, r, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(o)))
+    inside = Window.partitionBy(shard_col, r).orderBy(h, *order)
+    return (rows.join(sized_broadcast(offsets, 32), [shard_col, r])
+            .withColumn(slot_col, (F.row_number().over(inside) - 1 + F.col(o)).cast("long"))
+            .drop(h, r, o))
 
 
 def shard_report(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,11 +73,10 @@ def shard_report(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text
         F.crc32(text.cast("binary")).alias("text_crc32"))
     rows = assign_shards(rows, [1.0] * shards, "doc_id")
     rows = assign_shards(rows, [1.0] * (shards + 1), "doc_id", "grown_shard")
-    rows = cut_lineage(rows)
     rows = number_slots(rows, "shard", ["doc_id", "size", "text_crc32"], ranges=_ranges(rows, shards))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def _ranges(rows: DataFrame, shards: int, rows_per_range: int = 100_000) -> int:
     """Hash ranges per shard, so that a numbering task gets a bounded stretch."""
-    return max(16, -(-rows.count() // (shards * rows_per_range)))
+    return max(16, -(-rows.count() // (shards * rows_per_range)))  # a count of rows, nothing is made for it

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import components, cut_lineage, id_key
+from .common import components, cut_lineage, fresh, id_key
 
 SHINGLE = 3
 RADIUS = 3
@@ -240,13 +240,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     whole = F.xxhash64(*[x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
     prints = docs.select(id_key(F.col(id_col)).alias("k"), whole.alias("h"), F.col(text_col).alias("text"))
     prints = cut_lineage(with_fingerprint(prints, "text", "fp", shingle).select("k", "h", "fp"))
+    k, h, n = (fresh(docs, x) for x in "khn")
     chosen = (_rooted(prints, F.struct("k", "h"), radius, chunk).groupBy("root").agg(F.min("least").alias("r"))
-              .select(F.col("r.k").alias("_k"), F.col("r.h").alias("_h")))
-    rows = prints.groupBy("k", "h").agg(F.count("*").alias("_n"))
-    chosen = cut_lineage(chosen.join(rows, (F.col("_k") == rows["k"]) & (F.col("_h") == rows["h"])).select("_k", "_h", "_n"))
-    kept = docs.join(chosen, (id_key(docs[id_col]) == chosen["_k"]) & (whole == chosen["_h"]))
-    once = kept.where("_n = 1").drop("_k", "_h", "_n")
-    if not chosen.where("_n > 1").take(1):
+              .select(F.col("r.k").alias(k), F.col("r.h").alias(h)))
+    rows = prints.groupBy("k", "h").agg(F.count("*").alias(n))
+    chosen = cut_lineage(chosen.join(rows, (F.col(k) == rows["k"]) & (F.col(h) == rows["h"])).select(k, h, n))
+    kept = docs.join(chosen, (id_key(docs[id_col]) == chosen[k]) & (whole == chosen[h]))
+    once = kept.where(F.col(n) == 1).drop(k, h, n)
+    if not chosen.where(F.col(n) > 1).take(1):
         return once
     # rows that are equal in all columns: one of them
-    return once.unionByName(kept.where("_n > 1").dropDuplicates(["_k", "_h"]).drop("_k", "_h", "_n"))
+    return once.unionByName(kept.where(F.col(n) > 1).dropDuplicates([k, h]).drop(k, h, n))

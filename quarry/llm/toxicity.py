@@ -3,7 +3,8 @@
 A text is the set of its lower-cased character 3-, 4- and 5-grams. Documents with and
 without each n-gram are counted per class, the n-grams with the
 strongest smoothed log-count ratio become features, each with that ratio as its value where it occurs, and a
-logistic regression is fitted on them. Scoring looks n-grams up by hash in a
+logistic regression is fitted on them. Where there are more labelled rows than are fitted, rows are drawn
+per class and weighed by what they stand for. Scoring looks n-grams up by hash in a
 sorted table, in stretches of a text, with nothing shuffled.
 """
 
@@ -20,12 +21,12 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, sized_broadcast
+from .common import cut_lineage, fresh, sized_broadcast
 
 SIZES = (3, 4, 5)
-#: Labelled rows used to fit the classifier, in expectation (drawn by a hash of the id).
+#: Labelled rows used to fit the classifier, in expectation (drawn by a hash of the id, half of them of either class).
 MAX_TRAIN_ROWS = 12_000
-#: An n-gram needs so many training documents to be a feature, and there are so many features.
+#: An n-gram needs so many training documents to be a feature, and there are so many features. They bound the model.
 MIN_DOCS = 4
 MAX_FEATURES = 1 << 16
 #: Code points of a text that are hashed at a time.
@@ -98,11 +99,15 @@ class ToxicityModel:
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS, regularisation: float = 1e-3) -> ToxicityModel:
+                   label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS, regularisation: float = 1e-3,
+                   min_docs: int = MIN_DOCS, max_features: int = MAX_FEATURES) -> ToxicityModel:
     """Fit on labelled documents; rows without label or document are left out, an id with both labels counts for both.
 
-    The draw of ``max_rows`` rows is by a hash of the id, the same in every run. Without rows of both
-    classes every text gets the share of label 1 (0 without any row)."""
+    Up to ``max_rows`` labelled rows are fitted in expectation, by a hash of the id, the same in every run. A class of up to
+    half as many is taken whole, the other fills the rest, and rows weigh what they stand for, so rare positives are
+    not lost among many labels. Features are the ``max_features`` n-grams of the strongest ratio among those in at least
+    ``min_docs`` fitted documents. Without rows of both classes every text gets the share of label 1 (0 without any row). Very
+    long texts count whole, like any other; repeated rows count as often."""
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("d"), F.col(label_col).cast("double").alias("y"))
              .where("d is not null and y is not null").distinct())
@@ -111,10 +116,19 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     if not n or pos in (0, n):
         rate = min(max(float(pos or 0) / max(n, 1), 1e-6), 1 - 1e-6)
         return ToxicityModel(*empty, math.log(rate / (1 - rate)))
-    share = int(min(1.0, max_rows / n) * (1 << 20))
-    drawn = known.where(F.pmod(F.xxhash64("d"), F.lit(1 << 20)) < share)
+    # of each class: its half, and what the other class leaves of the other half
+    some = {1.0: pos, 0.0: n - pos}
+    room = {y: max(max_rows / 2, max_rows - some[1 - y]) for y in some}
+    share = {y: min(1.0, room[y] / some[y]) for y in some}
+    grain = 1 << 52
+    is_pos = F.col("y") == 1
+    kept = F.when(is_pos, F.lit(int(share[1.0] * grain))).otherwise(F.lit(int(share[0.0] * grain)))
+    # as much as it stands for, one on average
+    mean = sum(some[y] * share[y] for y in some) / n
+    weight = F.when(is_pos, F.lit(mean / share[1.0])).otherwise(F.lit(mean / share[0.0]))
+    drawn = known.where(F.pmod(F.xxhash64("d"), F.lit(grain)) < kept).withColumn("wt", weight)
     rows = cut_lineage(docs.select(F.col(id_col).alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-                       .join(sized_broadcast(drawn, 16), "d").select("text", "y"))
+                       .join(sized_broadcast(drawn, 24), "d").select("text", "y", "wt"))
     rows = rows.repartition(max(8, spark.sparkContext.defaultParallelism))
     totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
@@ -130,12 +144,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                         h, c = np.unique(np.concatenate(sets), return_counts=True)
                         yield pd.DataFrame({"h": h.view(np.int64), "p": c * int(y), "q": c * int(1 - y)})
     grams = (rows.mapInPandas(count, "h long, p long, q long").groupBy("h")
-             .agg(F.sum("p").alias("p"), F.sum("q").alias("q")).where(F.col("p") + F.col("q") >= MIN_DOCS))
+             .agg(F.sum("p").alias("p"), F.sum("q").alias("q")).where(F.col("p") + F.col("q") >= min_docs))
     # log of (share of label-1 documents with it) / (share of label-0 documents with it)
     ratio = (F.log((F.col("p") + SMOOTHING) / (totals[1.0] + 2 * SMOOTHING))
              - F.log((F.col("q") + SMOOTHING) / (totals[0.0] + 2 * SMOOTHING)))
     best = (grams.withColumn("r", ratio).withColumn("rank", F.abs("r") * F.sqrt(F.col("p") + F.col("q")))
-            .orderBy(F.desc("rank"), "h").limit(MAX_FEATURES).select("h", "r").collect())  # at most MAX_FEATURES numbers
+            .orderBy(F.desc("rank"), "h").limit(max_features).select("h", "r").collect())  # at most so many numbers
     best = sorted((r["h"] % (1 << 64), r["r"]) for r in best)
     hashes = np.array([h for h, _ in best], np.uint64)
     ratios = np.array([r for _, r in best])
@@ -143,15 +157,19 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         return ToxicityModel(*empty, math.log(pos / (n - pos)))
     shared = spark.sparkContext.broadcast((hashes, ratios))
 
-    @F.udf(VectorUDT())
-    def features(text: str):
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hs, rs = shared.value
-        g = gram_set(text)
-        at = np.minimum(np.searchsorted(hs, g), len(hs) - 1)
-        at = np.unique(at[hs[at] == g])
-        return Vectors.sparse(len(hs), at.astype(np.int32), rs[at])
-    rows = cut_lineage(rows.select("y", features("text").alias("x")))
-    fitted = LogisticRegression(featuresCol="x", labelCol="y", maxIter=25, regParam=regularisation,
+        for batch in batches:
+            at = []
+            for text in batch["text"]:
+                g = gram_set(text)
+                i = np.minimum(np.searchsorted(hs, g), len(hs) - 1)
+                at.append(np.unique(i[hs[i] == g]).astype(np.int32))
+            yield pd.DataFrame({"y": batch["y"], "wt": batch["wt"], "at": at, "x": [rs[i] for i in at]})
+    sparse = F.udf(lambda at, x: Vectors.sparse(len(hashes), at, x), VectorUDT())
+    rows = cut_lineage(rows.mapInPandas(features, "y double, wt double, at array<int>, x array<double>")
+                       .select("y", "wt", sparse("at", "x").alias("x")))
+    fitted = LogisticRegression(featuresCol="x", labelCol="y", weightCol="wt", maxIter=25, regParam=regularisation,
                                 standardization=False).fit(rows)
     return ToxicityModel(hashes, fitted.coefficients.toArray() * ratios, float(fitted.intercept))
 
@@ -184,4 +202,5 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose score is 0.5 or more; all columns stay."""
     model = train_toxicity(docs, labels.where(~held_out(F.col("doc_id"))), **options)
-    return score_toxicity(docs, model, out="_toxic").where(F.col("_toxic") < 0.5).drop("_toxic")
+    score = fresh(docs, "toxic")
+    return score_toxicity(docs, model, out=score).where(F.col(score) < 0.5).drop(score)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import UPPER, cut_lineage, exploded, sized_broadcast
 
-#: Labelled rows used to fit the trees, in expectation (drawn by a hash of the URL).
+#: Labelled rows used to fit the trees, in expectation (drawn by a hash of the URL, half of them of either class).
 MAX_TRAIN_ROWS = 20_000
 #: Suffixes whose block rate is kept as a feature; rarer ones share one rate.
 MIN_SUFFIX_ROWS = 5
@@ -35,10 +35,11 @@ def with_host_path(df: DataFrame, url: str = "url") -> DataFrame:
             .drop("_rest", "_h"))
 
 
-def host_suffixes(labels: str) -> Column:
-    """Labels ``[a, b, c]`` of a host to ``[c, b.c, a.b.c]``."""
+def host_suffixes(labels: str, deepest: int) -> Column:
+    """Labels ``[a, b, c]`` of a host to ``[c, b.c, a.b.c]``, of up to ``deepest`` labels: as many as the longest rule host has."""
     n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, n - i + 1, i), "."))
+    upto = F.least(n, F.lit(max(deepest, 1)))
+    return F.transform(F.sequence(F.lit(1), upto), lambda i: F.array_join(F.slice(labels, n - i + 1, i), "."))
 
 
 def match_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
@@ -51,7 +52,8 @@ def match_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
     rules = rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict").distinct()
     lengths = rules.groupBy("rule_host").agg(F.collect_set(F.char_length("rule_path")).alias("lengths"))
     named = places.select("host", "path", F.split("host", "[.]", -1).alias("labels"))
-    named = named.select("host", "path", host_suffixes("labels").alias("all"))
+    deepest = rules.agg(F.max(F.size(F.split("rule_host", "[.]", -1)))).first()[0] or 0
+    named = named.select("host", "path", host_suffixes("labels", deepest).alias("all"))
     keyed = (exploded(named, "all", "rule_host", "i").drop("i")
              .join(sized_broadcast(lengths, 64), "rule_host")
              .select("host", "path", "rule_host", F.explode("lengths").alias("n"))
@@ -69,7 +71,7 @@ def with_features(df: DataFrame, url: str = "url") -> DataFrame:
     u = F.coalesce(F.col(url), F.lit(""))
     n = F.char_length(u)
     some = F.greatest(n, F.lit(1)).cast("double")
-    query = F.regexp_extract(u, "[?]([^#]*)", 1)
+    query = F.regexp_extract(u, "^[^?#]*[?]([^#]*)", 1)
     text = F.concat("host", "path")
     size = F.greatest(F.char_length(text), F.lit(1)).cast("double")
     df = df.withColumn("_letters", F.split(text, ""))
@@ -122,12 +124,14 @@ def with_suffix_rates(df: DataFrame, rates: DataFrame, prior: float) -> DataFram
 
 
 def train_url_model(labelled: DataFrame, url: str = "url", label: str = "block",
-                    max_rows: int = MAX_TRAIN_ROWS, rounds: int = 10, depth: int = 4) -> UrlModel:
+                    max_rows: int = MAX_TRAIN_ROWS, rounds: int = 10, depth: int = 4,
+                    min_suffix_rows: int = MIN_SUFFIX_ROWS) -> UrlModel:
     """Fit the trees on ``labelled`` (url, host, path, 0/1 label); rows without a label are left out.
 
     Suffix statistics cover all labelled rows (smoothed block rate of the last one
-    and two labels of the host); the trees are fitted on ``max_rows`` rows in expectation, drawn by a
-    hash of the URL, so the draw is the same in every run.
+    and two labels of the host; suffixes of under ``min_suffix_rows`` rows share the overall rate). The trees are fitted
+    on ``max_rows`` rows in expectation, drawn by a hash of the URL, so the draw is the same in every run: a class of
+    up to half as many is taken whole, the other fills the rest, and rows weigh what they stand for.
     """
     rows = labelled.where(F.col(label).isNotNull()).select(
         url, "host", "path", F.col(label).cast("double").alias("f_label"))
@@ -136,16 +140,19 @@ def train_url_model(labelled: DataFrame, url: str = "url", label: str = "block",
     one, two = suffixes(F.col("host"))
     rates = (rows.select("f_label", F.explode(F.array_distinct(F.array(one, two))).alias("suffix"))
              .groupBy("suffix").agg(F.count("*").alias("n"), F.sum("f_label").alias("s"))
-             .where(F.col("n") >= MIN_SUFFIX_ROWS)
+             .where(F.col("n") >= min_suffix_rows)
              .select("suffix", ((F.col("s") + 2 * prior) / (F.col("n") + 2)).alias("rate")))
     rates = cut_lineage(rates)
     if not n or pos in (0, n):
         return UrlModel(None, rates, prior)
-    share = min(1.0, max_rows / n)
-    drawn = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col(url), F.lit(""))), F.lit(1 << 20)) < int(share * (1 << 20)))
-    feats = with_suffix_rates(with_features(drawn, url), rates, prior)
-    feats = VectorAssembler(inputCols=list(FEATURES), outputCol="f_all").transform(feats).select("f_label", "f_all")
-    trees = GBTClassifier(featuresCol="f_all", labelCol="f_label", predictionCol="f_pred", maxIter=rounds,
+    some = {1: pos, 0: n - pos}
+    share = {y: min(1.0, max(max_rows / 2, max_rows - some[1 - y]) / some[y]) for y in some}
+    by_class = lambda f: F.when(F.col("f_label") == 1, F.lit(f(share[1]))).otherwise(F.lit(f(share[0])))
+    grain = 1 << 52
+    drawn = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col(url), F.lit(""))), F.lit(grain)) < by_class(lambda x: int(x * grain)))
+    feats = with_suffix_rates(with_features(drawn, url), rates, prior).withColumn("f_weight", by_class(lambda x: 1 / x))
+    feats = VectorAssembler(inputCols=list(FEATURES), outputCol="f_all").transform(feats).select("f_label", "f_all", "f_weight")
+    trees = GBTClassifier(featuresCol="f_all", labelCol="f_label", predictionCol="f_pred", weightCol="f_weight", maxIter=rounds,
                           maxDepth=depth, maxBins=32, seed=17, cacheNodeIds=False)
     return UrlModel(trees.setProbabilityCol("f_prob").setRawPredictionCol("f_raw").fit(feats), rates, prior)
 

@@ -104,6 +104,16 @@ def test_bit_sliced_links_span_what_popcount_finds(radius):
     assert (parent == seen).all()
 
 
+def test_keep_one_keeps_columns_of_any_name(spark):
+    table = docs(spark, ["a b c", "a b c", "d e f"], [2, 1, 1]).withColumnsRenamed({"k": "_k", "t": "_n", "drop": "_h"})
+    kept = simhash_dedup.keep_one(table.unionByName(table))
+    assert kept.columns == table.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "a b c"), (1, "d e f")]
+    none = docs(spark, [])
+    assert simhash_dedup.near_duplicates(none).count() == 0
+    some = simhash_dedup.near_duplicates(docs(spark, ["x", "x", "y z w q"], [None, 3, 3])).collect()
+    assert sorted(str(r.component_id) for r in some) == ["3", "None", "None"]
+
+
 def test_keep_one_keeps_columns_and_one_row(spark):
     same = "some words that are here more than once in the table"
     table = docs(spark, [same, same, "other words altogether, not like the first", same, None, ""], [5, 3, 9, 3, None, 2])
@@ -219,6 +229,19 @@ def test_toxicity_held_out_accuracy_and_edges(spark):
     assert toxicity.drop_toxic(table, marks).columns == table.columns
 
 
+def test_a_rare_toxic_class_is_not_lost_in_the_draw(spark):
+    rng = np.random.default_rng(7)
+    plain = ["river", "stone", "cloud", "walking", "green", "table", "morning"]
+    texts = [" ".join(rng.choice(plain, 12)) + (" vilfoo" if i % 600 == 1 else "") for i in range(3000)]
+    marks = spark.createDataFrame([(i, int(i % 600 == 1)) for i in range(3000)], "doc_id long, toxic int")
+    model = toxicity.train_toxicity(docs(spark, texts), marks, max_rows=150)
+    scores = [model.score(t) for t in texts]
+    assert min(s for i, s in enumerate(scores) if i % 600 == 1) > 0.5 > max(s for i, s in enumerate(scores) if i % 600 != 1)
+    table = docs(spark, texts[:20]).withColumnRenamed("k", "_toxic")
+    kept = toxicity.drop_toxic(table, marks)
+    assert kept.columns == table.columns and {r["_toxic"] for r in kept.collect()} == {"k"}
+
+
 def test_toxicity_score_equals_the_sum_over_the_gram_set():
     rng = np.random.default_rng(3)
     text = "Some Text with a few wörds, and some of them twice: some text"
