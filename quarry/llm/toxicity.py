@@ -157,18 +157,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         return ToxicityModel(*empty, math.log(pos / (n - pos)))
     shared = spark.sparkContext.broadcast((hashes, ratios))
 
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # a second Python worker beside this one's would cost a task as much memory again, so vectors are made in one step
+    @F.udf(VectorUDT())
+    def features(text: str):
         hs, rs = shared.value
-        for batch in batches:
-            at = []
-            for text in batch["text"]:
-                g = gram_set(text)
-                i = np.minimum(np.searchsorted(hs, g), len(hs) - 1)
-                at.append(np.unique(i[hs[i] == g]).astype(np.int32))
-            yield pd.DataFrame({"y": batch["y"], "wt": batch["wt"], "at": at, "x": [rs[i] for i in at]})
-    sparse = F.udf(lambda at, x: Vectors.sparse(len(hashes), at, x), VectorUDT())
-    rows = cut_lineage(rows.mapInPandas(features, "y double, wt double, at array<int>, x array<double>")
-                       .select("y", "wt", sparse("at", "x").alias("x")))
+        g = gram_set(text)
+        at = np.minimum(np.searchsorted(hs, g), len(hs) - 1)
+        at = np.unique(at[hs[at] == g])
+        return Vectors.sparse(len(hs), at.astype(np.int32), rs[at])
+    rows = cut_lineage(rows.select("y", "wt", features("text").alias("x")))
     fitted = LogisticRegression(featuresCol="x", labelCol="y", weightCol="wt", maxIter=25, regParam=regularisation,
                                 standardization=False).fit(rows)
     return ToxicityModel(hashes, fitted.coefficients.toArray() * ratios, float(fitted.intercept))
