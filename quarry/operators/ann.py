@@ -1,8 +1,8 @@
 """Inverted-file (IVF) lists and product quantisation (PQ).
 
-Tables: ``centroids(list_id, centroid)`` and ``codebook(m, code, centroid)``
-are small by construction (``nlist x d`` and ``M x 2^nbits x d/M`` floats)
-and are the only things broadcast, after their size is checked. The entry
+Tables: ``centroids(list_id, centroid)`` and ``codebook(m, code, centroid)`` are broadcast after their size is
+checked; centroids above the limit stay a table and are found through a second level of about the square
+root as many centroids (``centroid_tree``). The entry
 table ``(node_id, list_id, embedding, codes)`` is the big one; written with
 ``partitionBy("list_id")`` it lets a probe read only the probed lists.
 
@@ -38,12 +38,19 @@ PQ_M = 32
 PQ_NBITS = 1
 NPROBE = 5
 
+#: Super-lists that a vector looks into where centroids are a tree.
+BRANCHES = 8
 #: Probed lists that a scan names; more are a semi-join.
 MAX_NAMED_LISTS = 4096
 #: Queries whose table of code scores is held at a time.
 CODE_QUERIES = 128
 
 
+def _is_small(df: DataFrame, vec_col: str = "centroid") -> bool:
+    floats = df.agg(F.sum(F.size(vec_col))).first()[0] or 0
+    return floats * 8 <= broadcast_limit(df.sparkSession)
+
+
 def _check_small(n_floats: int, spark, what: str) -> None:
     if n_floats * 8 > broadcast_limit(spark):
         raise ValueError(f"{what} too large to broadcast ({n_floats} floats)")
@@ -104,21 +111,24 @@ def label_split_codebook(v: DataFrame, m: int = PQ_M, *, label_col: str = "label
 
 
 def train_pq(v: DataFrame, m: int = PQ_M, nbits: int = PQ_NBITS, *, vec_col: str = "embedding",
-             iters: int = 25) -> DataFrame:
+             iters: int = 25, start: DataFrame | None = None) -> DataFrame:
     """K-means in each of ``m`` sub-spaces (at most 2^nbits centroids) over all vectors.
 
     Lloyd steps: a task adds up its vectors per sub-space and nearest code, Spark adds up the
-    tasks, and the driver sees ``m * 2^nbits`` means. The start is the distinct vectors of the
-    least hashes, so runs agree; a code that loses all its vectors keeps its place. Stops early once
-    no mean moves."""
+    tasks, and the driver sees ``m * 2^nbits`` means. The start is the codebook ``start`` (``m, code, centroid``) or the
+    distinct vectors of the least hashes, so runs agree; a code that loses all its vectors keeps its place. Stops early
+    once no mean moves."""
     d = vector_dim(v, vec_col)
     if d % m:
         raise ValueError(f"product quantisation: {d} elements do not split into {m} equal parts")
     sub, kc = d // m, 1 << nbits
     data = cut_lineage(same_length(v, vec_col, d).select(F.col(vec_col).cast("array<double>").alias("x")))
-    start = data.select(F.xxhash64("x").alias("h"), "x").distinct().orderBy("h", "x").limit(kc).collect()
-    book = np.array([r["x"] for r in start], np.float64).reshape(len(start), m, sub).transpose(1, 0, 2)
-    _check_small(book.size, v.sparkSession, "codebook")
+    _check_small(m * kc * sub, v.sparkSession, "codebook")
+    if start is not None:
+        book = _codebook_tensor(start)
+    else:
+        first = data.select(F.xxhash64("x").alias("h"), "x").distinct().orderBy("h", "x").limit(kc).collect()
+        book = np.array([r["x"] for r in first], np.float64).reshape(len(first), m, sub).transpose(1, 0, 2)
     k = book.shape[1]
     for _ in range(iters):
         bc = v.sparkSession.sparkContext.broadcast(book)
@@ -129,9 +139,10 @@ def train_pq(v: DataFrame, m: int = PQ_M, nbits: int = PQ_NBITS, *, vec_col: str
             for rb in batches:
                 x = block_join.matrix(rb.column("x"), d).reshape(-1, m, sub)
                 for j in range(m):
-                    at = j * k + _nearest(x[:, j], cb[j])
-                    np.add.at(sums, at, x[:, j])
-                    counts += np.bincount(at, minlength=m * k)
+                    code, at = _nearest(x[:, j], cb[j]), slice(j * k, (j + 1) * k)
+                    counts[at] += np.bincount(code, minlength=k)
+                    for i in range(sub):
+                        sums[at, i] += np.bincount(code, weights=x[:, j, i], minlength=k)
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({
                 "at": pa.array(some, pa.int64()), "n": pa.array(counts[some], pa.int64()),
@@ -171,8 +182,18 @@ def _codebook_tensor(codebook: DataFrame):
 
 
 def assign_lists(v: DataFrame, centroids: DataFrame, *, vec_col: str = "embedding") -> DataFrame:
-    """Adds ``list_id`` (best inner product, lowest id on ties) and ``list_score``."""
+    """Adds ``list_id`` (best inner product, lowest id on ties) and ``list_score``.
+
+    Centroids above the broadcast limit are searched through their tree: the best list of the nearest ``BRANCHES`` super-lists."""
     spark = v.sparkSession
+    if not _is_small(centroids):
+        uid = "_uid"
+        while uid in v.columns:
+            uid = f"_{uid}"
+        rows = cut_lineage(v.withColumn(uid, F.monotonically_increasing_id()))
+        best = nearest_lists(rows.select(F.col(uid).alias("_id"), F.col(vec_col).alias("_v")), centroids, 1)
+        best = best.select(F.col("query_id").alias(uid), F.col("node_id").cast("int").alias("list_id"), F.col("score").alias("list_score"))
+        return rows.join(best, uid).select(*v.columns, "list_id", "list_score")
     ids, C = _centroid_matrix(centroids)
     d = C.shape[1]
     bc = spark.sparkContext.broadcast((ids, C))
@@ -192,6 +213,28 @@ def assign_lists(v: DataFrame, centroids: DataFrame, *, vec_col: str = "embeddin
     return same_length(v, vec_col, d).mapInArrow(run, schema)
 
 
+def centroid_tree(centroids: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Two levels over many centroids: ``(supers(list_id, centroid), leaves(list_id, centroid, super))``, about the square
+    root as many super-lists as lists, trained on the centroids themselves."""
+    n = centroids.count()
+    supers = cut_lineage(train_ivf(centroids, max(1, math.ceil(math.sqrt(n))), vec_col="centroid", seed=seed))
+    named = centroids.select(F.col("list_id").alias("leaf"), "centroid")
+    leaves = assign_lists(named, supers, vec_col="centroid")
+    return supers, cut_lineage(leaves.select(F.col("leaf").alias("list_id"), "centroid", F.col("list_id").alias("super")))
+
+
+def nearest_lists(v: DataFrame, centroids: DataFrame, k: int, branches: int = BRANCHES,
+                  tree: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """The ``k`` nearest lists of each ``(_id, _v)`` as ``query_id, node_id, score, rank``: vectors meet the centroids of their
+    nearest ``branches`` super-lists in cells (``block_join``), so no centroid below the supers is collected or
+    broadcast. With all branches it is the flat search."""
+    supers, leaves = tree or centroid_tree(centroids)
+    probes = probe_lists(v, supers, min(branches, supers.count())).drop("_list")
+    right = leaves.select(F.col("super").cast("string").alias("_key"), F.col("list_id").cast("long").alias("_id"),
+                          F.col("centroid").alias("_v"))
+    return ranked(block_join.knn(cut_lineage(probes), right, k, vector_dim(centroids, "centroid")), k)
+
+
 # ---------------------------------------------------------------- C3 encode
 def pq_encode(v: DataFrame, codebook: DataFrame, *, vec_col: str = "embedding") -> DataFrame:
     """Adds ``codes array<tinyint>``: nearest (L2) code per sub-space."""
@@ -238,7 +281,10 @@ def build_index(v: DataFrame, centroids: DataFrame, codebook: DataFrame | None =
 
 # ---------------------------------------------------------------- C4 / C5 search
 def probe_lists(v: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
-    """``(_id, _v)`` to a row ``(_key, _id, _v)`` for each of the ``nprobe`` lists nearest to the vector."""
+    """``(_id, _v)`` to a row ``(_list, _key, _id, _v)`` for each of the ``nprobe`` lists nearest to the vector."""
+    if not _is_small(centroids):
+        near = nearest_lists(v, centroids, nprobe).select(F.col("query_id").alias("_id"), F.col("node_id").cast("int").alias("_list"))
+        return v.join(near, "_id").select("_list", F.col("_list").cast("string").alias("_key"), "_id", "_v")
     lid, C = _centroid_matrix(centroids)
     if nprobe > len(lid):
         raise ValueError(f"nprobe is {nprobe}, but the index has {len(lid)} lists")

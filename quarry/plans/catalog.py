@@ -243,6 +243,14 @@ def q_flatten_articles(spark, sf_dir):
     return docs.select("article_id", "section", "section_anchor", "subsection", "subsection_anchor", "text")
 
 
+def q_read_articles(spark, sf_dir):
+    """A1 + B1: nested articles written as JSON lines, read with the explicit schema and flattened."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-tables/{uuid.uuid4().hex}"
+    conversation_articles(spark, sf_dir).write.json(path)
+    docs = corpus.flatten_articles(store.read_articles(spark, path))
+    return docs.select("article_id", "section", "section_anchor", "subsection", "subsection_anchor", "text")
+
+
 def q_corpus_build(spark, sf_dir):
     """Nested articles to chunks with ids, tokens and vectors, written and read back."""
     docs = cut_lineage(corpus.with_doc_id(corpus.flatten_articles(conversation_articles(spark, sf_dir))))
@@ -344,8 +352,11 @@ def q_ivf_train(spark, sf_dir):
 
 
 def q_pq_train(spark, sf_dir):
-    cb = ann.train_pq(vec_nodes(spark, sf_dir), m=32)
-    return cb.select("m", "code", F.size("centroid").cast("long").alias("dim"))
+    """The trained centroids themselves, from the label split as a fixed start."""
+    v = vec_nodes(spark, sf_dir)
+    cb = ann.train_pq(v, m=32, start=ann.label_split_codebook(v, 32))
+    return cb.select("m", "code", F.posexplode("centroid").alias("dim_no", "value")) \
+        .select(*[F.col(c).cast("long").alias(c) for c in ("m", "code", "dim_no")], _r6("value").alias("value"))
 
 
 # ------------------------------------------------------------------ G cache
@@ -535,6 +546,12 @@ def q_hybrid_retrieval_pre(spark, sf_dir):
     return r.select("query_id", "node_id", "rank", _r6("rerank_score").alias("score"))
 
 
+def q_hybrid_retrieval_chunks(spark, sf_dir):
+    """H5 over real chunks: windows of words with the metadata of their documents."""
+    r = retrieval.retrieve_hashed(spark, sf_dir, windows=True)
+    return r.select("query_id", "node_id", "rank", _r6("rerank_score").alias("score"))
+
+
 def q_hybrid_retrieval_index(spark, sf_dir):
     """H5 over a vector index that was written and read back; with every list probed it equals exact search."""
     r = retrieval.retrieve_hashed(spark, sf_dir, stored_index=True)
@@ -562,10 +579,12 @@ QUERIES = {
     "hybrid_retrieval": q_hybrid_retrieval,
     "hybrid_retrieval_pre": q_hybrid_retrieval_pre,
     "hybrid_retrieval_index": q_hybrid_retrieval_index,
+    "hybrid_retrieval_chunks": q_hybrid_retrieval_chunks,
     "tokenize": q_tokenize,
     "chunk_windows": q_chunk_windows,
     "chunk_sentences": q_chunk_sentences,
     "flatten_articles": q_flatten_articles,
+    "read_articles": q_read_articles,
     "corpus_build": q_corpus_build,
     "embed_hashed": q_embed_hashed,
     "l2_normalize": q_l2_normalize,

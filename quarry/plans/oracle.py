@@ -406,6 +406,24 @@ def sql_pq_encode() -> str:
     return "WITH " + codebook_ctes() + "," + _codes_cte() + "\nSELECT vec_id, m::BIGINT AS m, code::BIGINT AS code FROM codes"
 
 
+def sql_pq_train(rounds: int = 25) -> str:
+    """Lloyd steps from the label split, one table each."""
+    steps = "".join(f""",
+it{i} AS MATERIALIZED (
+  SELECT b.m, b.code, coalesce(n.c1, b.c1) AS c1, coalesce(n.c2, b.c2) AS c2
+  FROM it{i - 1} b LEFT JOIN (
+    SELECT m, code, avg(x1) AS c1, avg(x2) AS c2 FROM (
+      SELECT s.vec_id, s.m, s.x1, s.x2, o.code FROM subs s JOIN it{i - 1} o ON o.m = s.m
+      QUALIFY row_number() OVER (PARTITION BY s.vec_id, s.m ORDER BY (s.x1 - o.c1) ** 2 + (s.x2 - o.c2) ** 2, o.code) = 1)
+    GROUP BY m, code) n ON n.m = b.m AND n.code = b.code)""" for i in range(1, rounds + 1))
+    return "WITH " + codebook_ctes() + """,
+subs AS MATERIALIZED (SELECT vec_id, j AS m, embedding[2 * j + 1]::DOUBLE AS x1, embedding[2 * j + 2]::DOUBLE AS x2
+                      FROM (SELECT vec_id, embedding, unnest(range(32)) AS j FROM embeddings)),
+it0 AS MATERIALIZED (SELECT m, code, c[1] AS c1, c[2] AS c2 FROM cb)""" + steps + f"""
+SELECT m::BIGINT AS m, code::BIGINT AS code, d::BIGINT AS dim_no, round(CASE d WHEN 0 THEN c1 ELSE c2 END, 6) AS value
+FROM it{rounds}, (SELECT unnest([0, 1]) AS d)"""
+
+
 def sql_pq_search() -> str:
     return "WITH " + _probe_ctes() + "," + codebook_ctes() + "," + _codes_cte("nv") + f""",
 lut AS (SELECT q.vec_id AS query_id, cb.m, cb.code,
@@ -696,6 +714,19 @@ SELECT query_id, node_id, rank2 AS rank, round(s, 6) AS score FROM (
 WHERE rank2 <= 5"""
 
 
+def sql_hybrid_chunks() -> str:
+    """The hybrid plan with windows of words in place of documents, numbered densely inside."""
+    body = sql_hybrid_retrieval(filters="qf AS (SELECT * FROM asked_for)").removeprefix("WITH RECURSIVE ")
+    body = body.replace("FROM documents", "FROM chunked").replace("JOIN documents", "JOIN chunked")
+    head, tail = body.rsplit("SELECT query_id, node_id, rank2 AS rank", 1)
+    return f"""WITH RECURSIVE windows AS ({sql_chunk_windows()}),
+chunked AS MATERIALIZED (SELECT row_number() OVER (ORDER BY w.node_id) AS doc_id, w.node_id AS real_id, w.text, d.source, d.lang
+                         FROM windows w JOIN documents d ON d.doc_id = w.doc_id),
+{_bench_filters().replace('qf AS', 'asked_for AS')},
+""" + head.lstrip() + ",\nbest AS (SELECT query_id, node_id, rank2 AS rank" + tail + """)
+SELECT b.query_id, c.real_id AS node_id, b.rank, b.score FROM best b JOIN chunked c ON c.doc_id = b.node_id"""
+
+
 ORACLE = {
     "vector_topk": sql_vector_topk,
     "bm25_topk": sql_bm25_topk,
@@ -720,6 +751,8 @@ ORACLE = {
     "tokenize": sql_tokenize,
     "chunk_windows": sql_chunk_windows,
     "flatten_articles": sql_flatten_articles,
+    "read_articles": sql_flatten_articles,
+    "hybrid_retrieval_chunks": sql_hybrid_chunks,
     "corpus_build": sql_corpus_build,
     "embed_hashed": sql_embed_hashed,
     "l2_normalize": sql_l2_normalize,
@@ -729,6 +762,7 @@ ORACLE = {
     "ivf_probe": sql_ivf_probe,
     "ivf_add": sql_ivf_probe,
     "pq_encode": sql_pq_encode,
+    "pq_train": sql_pq_train,
     "pq_search": sql_pq_search,
     "cache_key_exact": sql_cache_key_exact,
     "cache_key_semantic": sql_cache_key_semantic,

