@@ -6,7 +6,7 @@ smallest id, and what remains is rendered with a chat template.
 
 The rolling prefix hash of a turn is the running xor, over the turns so far, of
 two 64-bit hashes of (position, role, text). It is summed up over stretches of
-turns first, so that one very long conversation is not one task.
+turns first, cut by rank, so that one very long conversation is not one task, whatever its turn numbers.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, cut_lineage
 
-#: Turns per stretch when hashing and per row of rendered output.
+#: Turns per row of rendered output.
 STRETCH = 256
 
 
-def numbered_turns(conv: DataFrame, stretch: int = STRETCH) -> DataFrame:
+def numbered_turns(conv: DataFrame) -> DataFrame:
     """``(c, conv_id, i, role, text, h1, h2)``: turns numbered from 0 with the hash of their prefix.
 
     Order: turn (nulls first), role, text. Repeated rows count once. A null
@@ -28,9 +28,11 @@ def numbered_turns(conv: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """
     rows = conv.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("c"),
                        F.col("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").distinct()
-    # a stretch of turn numbers; numbers without a value come first
-    rows = rows.withColumn("s", F.coalesce(F.floor(F.col("turn") / stretch), F.lit(NO_ID)))
-    inside = Window.partitionBy("c", "s").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    # stretches: parts of the table in order, so that turns without a number, or with one and the same, are cut as well
+    rows = rows.repartitionByRange(int(conv.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                                   "c", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    rows = cut_lineage(rows.withColumn("s", F.spark_partition_id()))
+    inside = Window.partitionBy("c", "s").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
     rows = rows.withColumn("i", F.row_number().over(inside).cast("long") - 1)
     before = Window.partitionBy("c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("c", "s").agg(F.count("*").alias("n"))
@@ -67,7 +69,7 @@ def collapse_and_render(conv: DataFrame, stretch: int = STRETCH) -> DataFrame:
     conversation of more than ``stretch`` turns comes in numbered parts, so
     no row gathers an unbounded group.
     """
-    turns = cut_lineage(numbered_turns(conv, stretch))
+    turns = cut_lineage(numbered_turns(conv))
     kept = maximal_conversations(turns)
     line = F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"),
                     F.coalesce("text", F.lit("")), F.lit("\n<|end|>\n"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, cut_lineage, id_key
+from .common import NO_ID, cut_lineage, fresh, id_key, sized_broadcast
 
 
 def _digest(c: Column) -> Column:
@@ -51,36 +51,89 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def first_change(a: str, b: str) -> Column:
-    """Position from 0 of the first paragraph in which two trees differ, null if none does:
-    whole sections with equal digests are not descended into."""
+    """Position from 0 of the first paragraph in which two trees differ at the same place, null if none does."""
     pa, pb = F.col(f"{a}paragraphs"), F.col(f"{b}paragraphs")
     differs = F.zip_with(pa, pb, lambda x, y: ~x.eqNullSafe(y))
     at = F.array_position(differs, True)
     return F.when(F.col(f"{a}root") != F.col(f"{b}root"), at - 1)
 
 
+def section_paragraphs(prefix: str) -> Column:
+    """The paragraphs of a tree by section: ``array<struct<section, first, paragraphs>>``, ``first`` from 0."""
+    p = F.col(f"{prefix}paragraphs")
+    closes = lambda d: F.substring(d, 1, 1).isin("0", "1")
+    # where sections end: after a closing paragraph, and after the last one
+    ends = F.filter(F.transform(p, lambda d, i: F.when(closes(d) | (i == F.size(p) - 1), i + 1).otherwise(F.lit(0))), lambda i: i > 0)
+    firsts = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.greatest(F.size(ends) - 1, F.lit(0))))
+    return F.zip_with(F.col(f"{prefix}sections"), F.arrays_zip(firsts.alias("first"), ends.alias("end")),
+                      lambda d, z: F.struct(d.alias("section"), z["first"].cast("int").alias("first"),
+                                            F.slice(p, z["first"] + 1, z["end"] - z["first"]).alias("paragraphs")))
+
+
+def changed_paragraphs(a: str, b: str) -> Column:
+    """Positions (from 0, ascending) of the paragraphs of tree ``b`` that tree ``a`` has not got.
+
+    Sections whose digest occurs in ``a`` are not descended into, so a paragraph put in moves nothing: only the
+    section around it is looked at, and in it the paragraphs whose digests ``a`` lacks. Paragraphs that only
+    moved are no change."""
+    old = F.filter(F.col(f"{b}by_section"), lambda s: ~F.array_contains(F.col(f"{a}sections"), s["section"]))
+    at = F.transform(old, lambda s: F.filter(
+        F.transform(s["paragraphs"], lambda d, i: F.when(~F.array_contains(F.col(f"{a}paragraphs"), d), s["first"] + i)),
+        lambda i: i.isNotNull()))
+    return F.flatten(at)
+
+
+def spans(positions: Column) -> Column:
+    """Ascending positions as ``array<struct<first, last>>`` of neighbours."""
+    kind = "array<struct<first:int,last:int>>"
+    join = lambda runs, i: F.when(
+        (F.size(runs) > 0) & (F.element_at(runs, -1)["last"] == i - 1),
+        F.concat(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))),
+                 F.array(F.struct(F.element_at(runs, -1)["first"].alias("first"), i.alias("last"))))).otherwise(
+        F.concat(runs, F.array(F.struct(i.alias("first"), i.alias("last")))))
+    return F.aggregate(positions, F.array().cast(kind), lambda runs, i: join(runs, i.cast("int")).cast(kind))
+
+
+def locate_edits(pairs: DataFrame, before: str, after: str) -> DataFrame:
+    """``pairs`` plus ``fingerprint_before``, ``fingerprint_after``, ``added`` and ``removed``: spans of
+    paragraphs of the text ``after`` that ``before`` has not got, and the other way round. Null texts are empty; equal
+    texts have equal fingerprints and no spans. A section holds some eight paragraphs, whatever the length of the text."""
+    x, y = fresh(pairs, "x"), fresh(pairs, "y")
+    d = pairs.withColumn(f"{x}text", F.coalesce(F.col(before), F.lit(""))).withColumn(f"{y}text", F.coalesce(F.col(after), F.lit("")))
+    d = with_tree(with_tree(d, f"{x}text", x), f"{y}text", y)
+    d = d.withColumn(f"{x}by_section", section_paragraphs(x)).withColumn(f"{y}by_section", section_paragraphs(y))
+    return d.select(*[F.col(f"`{c}`") for c in pairs.columns], F.col(f"{x}root").alias("fingerprint_before"),
+                    F.col(f"{y}root").alias("fingerprint_after"), spans(changed_paragraphs(x, y)).alias("added"),
+                    spans(changed_paragraphs(y, x)).alias("removed"))
+
+
 def neighbours(ids: DataFrame, buckets: int = 256) -> DataFrame:
     """``(k, t, n)`` rows to ``(k, t, next_k, next_t, prev_k, prev_t, prev_n)`` in ascending order, round the ends.
 
     A global order without a global window: rows are cut at quantiles of ``k`` into
-    ``buckets`` ranges, numbered inside a range, and the ends of ranges meet in a
-    table of at most ``buckets`` rows. Only ids travel.
+    ``buckets`` ranges, and an id that fills a range of its own (null ids, say) by its hash ``t`` into 256 more; rows are
+    numbered inside a range, and the ends of ranges meet in a small table. Only ids travel. Tables of many rows take up to 1,024 ranges.
     """
     ids = ids.distinct()
+    buckets = min(1024, max(buckets, ids.count() // 1_000_000))
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = ids.agg(F.percentile_approx("k", steps, 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))  # at most `buckets` numbers
-    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("k"))) if cuts else F.lit(0)
-    ids = ids.withColumn("b", bucket)
+    cuts = ids.agg(F.percentile_approx("k", steps, 10_000).alias("c")).first()["c"] or []  # at most `buckets` numbers
+    hot = sorted({c for c, d in zip(cuts, cuts[1:]) if c == d})
+    # a hot id begins a range, and the next id another
+    cuts = sorted({*cuts, *(c + 1 for c in hot if c < 2**63 - 1)})
+    limits, hot = F.lit(cuts).cast("array<long>"), F.lit(hot).cast("array<long>")
+    place = F.size(F.filter(limits, lambda c: c <= F.col("k"))) if cuts else F.lit(0)
+    part = F.when(F.array_contains(hot, F.col("k")), F.shiftright("t", 56)).otherwise(F.lit(0)) if cuts else F.lit(0)
+    ids = cut_lineage(ids.withColumn("b", place).withColumn("s", part.cast("int")))
     me = F.struct("k", "t", "n")
-    ends = ids.groupBy("b").agg(F.min(me).alias("low"), F.max(me).alias("high"))
-    whole = Window.partitionBy(F.lit(0)).orderBy("b")
+    ends = ids.groupBy("b", "s").agg(F.min(me).alias("low"), F.max(me).alias("high"))
+    whole = Window.partitionBy(F.lit(0)).orderBy("b", "s")
     every = Window.partitionBy(F.lit(0))
-    ends = ends.select("b", F.coalesce(F.lead("low").over(whole), F.min("low").over(every)).alias("after"),
+    ends = ends.select("b", "s", F.coalesce(F.lead("low").over(whole), F.min("low").over(every)).alias("after"),
                        F.coalesce(F.lag("high").over(whole), F.max("high").over(every)).alias("before"))
-    w = Window.partitionBy("b").orderBy("k", "t")
+    w = Window.partitionBy("b", "s").orderBy("k", "t")
     return (ids.withColumn("nx", F.lead(me).over(w)).withColumn("pv", F.lag(me).over(w))
-            .join(F.broadcast(ends), "b")  # at most `buckets` rows
+            .join(sized_broadcast(cut_lineage(ends), 64), ["b", "s"])
             .withColumn("nx", F.coalesce("nx", "after")).withColumn("pv", F.coalesce("pv", "before"))
             .select("k", "t", F.col("nx.k").alias("next_k"), F.col("nx.t").alias("next_t"),
                     F.col("pv.k").alias("prev_k"), F.col("pv.t").alias("prev_t"), F.col("pv.n").alias("prev_n")))

@@ -178,6 +178,17 @@ def test_chat_collapse_matches_brute_force(spark):
     assert chat.collapse_and_render(conv.where("false")).count() == 0
 
 
+def test_chat_with_many_turns_without_a_number(spark):
+    """One conversation without an id, its turns without numbers, is many stretches; its order is by role and text."""
+    turns = [(None, None, "user" if i % 2 else "bot", f"t{i:04d}") for i in range(600)] + [(1, i, "user", f"u{i}") for i in range(300)]
+    conv = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = chat.collapse_and_render(conv).collect()
+    text = "".join(r.rendered for r in sorted((r for r in got if r.conv_id is None), key=lambda r: r.part))
+    want = sorted((r, t) for _, _, r, t in turns[:600])
+    assert text == "".join(f"<|{r}|>\n{t}\n<|end|>\n" for r, t in want)
+    assert chat.numbered_turns(conv).groupBy("c").agg(F.max("i")).orderBy("c").collect()[0][1] == 599
+
+
 def test_sharding_law_slots_and_weights(spark):
     texts = ["x" * i for i in range(300)] + [None, "", "é", "é"]
     ids = [*range(300), None, None, 5, 5]

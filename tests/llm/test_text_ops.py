@@ -152,6 +152,34 @@ def test_merkle_equality_edit_place_and_edges(spark):
     assert report[0].near_next == 1 and report[2].first_change == 0 and report[6].first_change == 10_000
 
 
+def test_edits_are_located_by_sections(spark):
+    """An inserted and a changed paragraph are the two that are new; what only moved is no change."""
+    lines = [f"paragraph number {i}. It says {i * i}." for i in range(400)]
+    edited = lines[:100] + ["put in here"] + lines[100:250] + ["changed"] + lines[251:]
+    pairs = [("\n".join(lines), "\n".join(edited)), ("same\ntext", "same\ntext"), (None, "a\nb"), ("", None), ("x", "y\nx\nz\nw")]
+    df = spark.createDataFrame([(i, a, b, "c") for i, (a, b) in enumerate(pairs)], "doc_id long, text string, other string, _x string")
+    got = {r.doc_id: r for r in merkle.locate_edits(df, "text", "other").collect()}
+    flat = lambda spans: [tuple(s) for s in spans]
+    assert flat(got[0].added) == [(100, 100), (251, 251)] and flat(got[0].removed) == [(250, 250)]
+    assert got[1].fingerprint_before == got[1].fingerprint_after and not got[1].added and not got[1].removed
+    assert flat(got[2].added) == [(0, 1)] and flat(got[2].removed) == [(0, 0)]
+    assert not got[3].added and got[4]._x == "c"
+    assert flat(got[4].added) == [(0, 0), (2, 3)] and not got[4].removed
+
+
+def test_neighbours_of_a_hot_id(spark):
+    """A third of the rows has no id: its rows are many ranges, and the order is that of all rows."""
+    from quarry.llm.common import NO_ID
+    rng = np.random.default_rng(13)
+    rows = [(NO_ID if i % 3 == 0 else i, int(t), i) for i, t in enumerate(rng.integers(-2**63, 2**63 - 1, 3000))]
+    df = spark.createDataFrame(rows, "k long, t long, n long")
+    want = sorted(rows)
+    got = {(r.k, r.t): tuple(r)[2:] for r in merkle.neighbours(df, 16).collect()}
+    for i, (k, t, _) in enumerate(want):
+        nxt, prv = want[(i + 1) % len(want)], want[i - 1]
+        assert got[k, t] == (nxt[0], nxt[1], *prv)
+
+
 def test_merkle_single_empty_and_repeated_rows(spark):
     assert merkle.edit_report(docs(spark, [])).count() == 0
     one = merkle.edit_report(docs(spark, ["abcd"], [None])).collect()
