@@ -125,19 +125,21 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     anchors = exploded(items.select("n", "sh"), "sh", "h", "off").distinct()
     met = (exploded(hashed.select("k", "t", "size", "sh"), "sh", "h", "pos")
            .join(sized_broadcast(anchors, 24), "h")
-           .select("k", "t", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.col("size") - F.col("n"))).alias("start")))
+           .select("k", "t", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.col("size") - F.col("n"))).alias("start"),
+                   F.when(F.col("n") < WORDS, F.col("h")).alias("whole")))
     for n in short:
         w = base.select("k", "t", words(F.col("text")).alias("w")).select("k", "t", short_windows("w", n).alias("sh"))
         of_n = anchors.where(F.col("n") == n).select("h", "n")
-        met = met.unionByName(exploded(w, "sh", "h", "start").join(sized_broadcast(of_n, 24), "h").select("k", "t", "n", "start"))
-    starts = cut_lineage(met.groupBy("k", "t").agg(F.collect_set(F.struct("n", "start")).alias("wins")))
+        met = met.unionByName(exploded(w, "sh", "h", "start").join(sized_broadcast(of_n, 24), "h")
+                              .select("k", "t", "n", "start", F.col("h").alias("whole")))
+    # a window under five words is the one shingle it was met by; others are cut from the document's shingles
+    starts = cut_lineage(met.groupBy("k", "t").agg(F.collect_set(F.struct("n", "start", "whole")).alias("wins")))
     windows = (base.join(sized_broadcast(starts, 200), ["k", "t"])
                .select("k", "t", "id", "wins", words(F.col("text")).alias("w"))
-               .select("k", "t", "id", "wins", "w", shingles("w").alias("sh"))
-               .select("k", "t", "id", "w", "sh", F.explode("wins").alias("x"))
+               .select("k", "t", "id", "wins", shingles("w").alias("sh"))
+               .select("k", "t", "id", "sh", F.explode("wins").alias("x"))
                .select("k", "t", "id", "x.n", "x.start",
-                       F.expr(f"if(x.n < {WORDS}, array(xxhash64('short', array_join(slice(w, x.start + 1, x.n), ' '))), "
-                              f"slice(sh, x.start + 1, greatest(x.n - {WORDS - 1}, 1)))").alias("sh")))
+                       F.expr(f"if(x.whole is null, slice(sh, x.start + 1, x.n - {WORDS - 1}), array(x.whole))").alias("sh")))
     windows = windows.withColumn("win", F.xxhash64("k", "t", "n", "start", "sh"))
     windows = cut_lineage(windows.dropDuplicates(["win"]))
     win_sh = windows.select("win", F.explode("sh").alias("h"))
