@@ -480,8 +480,8 @@ def q_cache_fill(spark, sf_dir):
     return out.select(F.col("request_id").alias("event_id"), "response")
 
 
-def layered_log(spark, sf_dir) -> DataFrame:
-    """Events as requests for benchmark texts, in both cache layers.
+def layered_log(spark, sf_dir, plain: bool = False) -> DataFrame:
+    """Events as requests for benchmark texts, in both cache layers. ``plain``: every text asked as it is.
 
     Item = user modulo items, asked as it is, with its first word moved to the end (the judge agrees) or with a word more
     (the judge refuses); filters absent, empty or a category; five tenants. One in two purchases is a set and one in two
@@ -494,6 +494,7 @@ def layered_log(spark, sf_dir) -> DataFrame:
     space = F.instr("text", " ")
     moved = F.concat(F.expr("substring(text, instr(text, ' ') + 1)"), F.lit(" "), F.expr("substring(text, 1, instr(text, ' ') - 1)"))
     query = F.when((e % 4 == 1) & (space > 0), moved).when(e % 4 == 2, F.concat("text", F.lit(" please"))).otherwise(F.col("text"))
+    query = F.col("text") if plain else query
     half = e % 2 == 0
     ev = (ev.withColumn("item", F.col("user_id") % F.col("n_items")).join(items, "item")
           .withColumn("op", F.when((F.col("event_type") == "purchase") & half, "set")
@@ -518,9 +519,9 @@ def q_cache_two_layer(spark, sf_dir):
 
 
 def q_cache_answers(spark, sf_dir):
-    """The same log, its misses answered by the full hybrid retrieval over the documents."""
+    """The same log with plain texts, its misses answered by the full hybrid retrieval over the documents."""
     from .answering import answered_log
-    out = answered_log(cut_lineage(layered_log(spark, sf_dir)), doc_nodes(spark, sf_dir), LAYER_TTL, stored_bm25(spark, sf_dir))
+    out = answered_log(cut_lineage(layered_log(spark, sf_dir, plain=True)), doc_nodes(spark, sf_dir), LAYER_TTL, stored_bm25(spark, sf_dir))
     return out.select(F.col("request_id").alias("event_id"), "outcome", "response")
 
 

@@ -525,19 +525,21 @@ def sql_cache_fill() -> str:
             + "\nSELECT event_id, 'This is a fake response.' AS response FROM walk WHERE outcome = 'miss'")
 
 
-def _layer_ctes() -> str:
-    """The layered log walked request by request: ``lwalk(rid, outcome, source, sim)`` of every event, null for sets and deletes."""
+def _layer_ctes(plain: bool = False) -> str:
+    """The layered log (of ``plain`` texts or of their variants) walked request by request: ``lwalk(rid, outcome, source, sim)`` of every event, null for sets and deletes."""
     live = "list_filter(w.se, lambda x: x.f = l.f AND l.t < x.t + {ttl} AND l.q IS NOT NULL)".format(ttl=LAYER_TTL * 1_000_000)
     cand = f"list_sort(list_transform({live}, lambda x: {{'s': -coalesce(l.near[x.q], -2.0), 'k': x.k, 'src': x.src, 'q': x.q}}))[1]"
     found = f"list_filter(w.ex, lambda x: x.k = l.ek AND l.t < x.t + {LAYER_TTL * 1_000_000})[1]"
+    query = "b.text" if plain else """CASE e.event_id % 4
+                WHEN 1 THEN substr(b.text, instr(b.text, ' ') + 1) || ' ' || substr(b.text, 1, instr(b.text, ' ') - 1)
+                WHEN 2 THEN b.text || ' please' ELSE b.text END"""
     keep = "list_filter({col}, lambda x: x.k <> {key} AND l.t < x.t + " + str(LAYER_TTL * 1_000_000) + ")"
     return f"""
 lg AS (SELECT e.event_id AS rid, epoch_us(e.ts) AS t, e.user_id % 5 AS tenant, e.event_id % 3 AS f,
               CASE WHEN e.event_type = 'purchase' AND e.event_id % 2 = 0 THEN 'set'
                    WHEN e.event_type = 'error' AND e.event_id % 2 = 0 THEN 'delete' ELSE 'get' END AS op,
               CASE e.event_id % 5 WHEN 0 THEN 'exact' WHEN 1 THEN 'semantic' ELSE 'both' END AS layer,
-              CASE e.event_id % 4 WHEN 1 THEN substr(b.text, instr(b.text, ' ') + 1) || ' ' || substr(b.text, 1, instr(b.text, ' ') - 1)
-                   WHEN 2 THEN b.text || ' please' ELSE b.text END AS query
+              {query} AS query
        FROM events e JOIN benchmark b ON b.item_id = e.user_id % (SELECT count(*) FROM benchmark)),
 lq AS (SELECT query, row_number() OVER (ORDER BY query) AS q FROM (SELECT DISTINCT query FROM lg)),
 {hashed_ctes("SELECT q AS id, query AS text FROM lq", 64, "lh")},
@@ -583,7 +585,7 @@ lasked AS MATERIALIZED (SELECT query, category, min(rid) AS qid FROM lmiss WHERE
     filters = "qf AS (SELECT qid AS query_id, NULL::VARCHAR AS product, category FROM lasked)"
     body = sql_hybrid_retrieval(queries=asked, filters=filters).removeprefix("WITH RECURSIVE ")
     head, tail = body.rsplit("SELECT query_id, node_id, rank2 AS rank", 1)
-    return "WITH RECURSIVE " + _layer_ctes() + missed + head + ",\nlbest AS (SELECT query_id, node_id, rank2 AS rank" + tail + f"""),
+    return "WITH RECURSIVE " + _layer_ctes(plain=True) + missed + head + ",\nlbest AS (SELECT query_id, node_id, rank2 AS rank" + tail + f"""),
 lans AS (SELECT m.rid, b.node_id::VARCHAR AS answer FROM lmiss m
          JOIN lasked a ON a.query = m.query AND a.category IS NOT DISTINCT FROM m.category
          JOIN lbest b ON b.query_id = a.qid AND b.rank = 1 WHERE m.outcome = 'miss'

@@ -206,3 +206,44 @@ def test_hashed_document_ids_chunk_without_overflow(spark):
     assert got.count() > 40 and got.select("node_id").distinct().count() == got.count()
     with pytest.raises(ValueError, match="layout"):
         corpus.chunk(corpus.with_doc_id(df), layout="other")
+
+
+def test_embedding_models_run_as_plug_ins(spark):
+    """The stand-in row by row, and another model in batches, loaded before its first batch."""
+    import numpy as np
+
+    from quarry.operators import embed as emb
+    from quarry.plugins import Embedder, HashedEmbedder
+    df = spark.createDataFrame([(1, "two words", 7, "x"), (2, "", 8, "y"), (3, None, 9, "z")], "node_id long, text string, t long, id string")
+    got = {r.node_id: r for r in emb.embed(df, model=HashedEmbedder(16), out_col="vec").collect()}
+    want = HashedEmbedder(16).encode(["two words"])[0]
+    assert np.allclose(got[1].vec, want) and got[2].vec is None and got[3].vec is None and (got[3].t, got[3].id) == (9, "z")
+
+    class Lengths(Embedder):
+        dim, ready = 2, False
+
+        def load(self):
+            self.ready = True
+
+        def encode(self, texts):
+            assert self.ready
+            return np.array([[len(t), len(t.split())] for t in texts], np.float32)
+    other = {r.node_id: list(r.embedding) for r in emb.embed(df, model=Lengths()).collect()}
+    assert other == {1: [9.0, 2.0], 2: [0.0, 0.0], 3: [0.0, 0.0]}
+
+
+def test_scorers_run_as_plug_ins(spark):
+    from quarry.operators import rerank
+    from quarry.plugins import PairScorer
+
+    class Shorter(PairScorer):
+        def load(self):
+            self.sign = -1.0
+
+        def score(self, queries, texts):
+            import numpy as np
+            return np.array([self.sign * len(t) for t in texts])
+    c = spark.createDataFrame([(1, 1, 1, "long text here", "q"), (1, 2, 2, "short", "q"), (1, 3, 3, "mid text", "q")],
+                              "query_id long, node_id long, rank long, text string, query_text string")
+    got = [(r.node_id, r["rank"]) for r in rerank.rerank(c, Shorter(), 2).orderBy("rank").collect()]
+    assert got == [(2, 1), (3, 2)]
