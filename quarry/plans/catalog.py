@@ -156,13 +156,13 @@ def q_minhash_signature(spark, sf_dir):
 
 
 def q_lsh_candidates(spark, sf_dir):
-    return dedup.lsh_candidates(_signatures(spark, sf_dir)).select(
-        F.col("id_a").alias("doc_a"), F.col("id_b").alias("doc_b"))
+    return dedup.near_dup_links(_signatures(spark, sf_dir), None).select(
+        F.col("id_a").alias("doc_a"), F.col("id_b").alias("doc_b"), "copies")
 
 
 def q_near_dup_pairs(spark, sf_dir):
-    return dedup.near_dup_pairs(_signatures(spark, sf_dir)).select(
-        F.col("id_a").alias("doc_a"), F.col("id_b").alias("doc_b"), _r6("jaccard").alias("jaccard"))
+    return dedup.near_dup_links(_signatures(spark, sf_dir)).select(
+        F.col("id_a").alias("doc_a"), F.col("id_b").alias("doc_b"), _r6("jaccard").alias("jaccard"), "copies")
 
 
 def q_near_dedup(spark, sf_dir):

@@ -210,13 +210,21 @@ def sql_minhash_signature() -> str:
     return "WITH " + minhash_ctes(DOC_SRC) + "\nSELECT id AS doc_id, perm_no::BIGINT AS perm_no, minhash FROM sig"
 
 
+# pairs of the smallest ids of equal signatures, and each other id with the smallest of its own
+_LINKS = """,
+cls AS (SELECT id, min(id) OVER (PARTITION BY s) AS rep FROM sigl),
+links AS (SELECT p.*, a.rep = b.rep AS copies FROM near p JOIN cls a ON a.id = id_a JOIN cls b ON b.id = id_b
+          WHERE a.rep = id_a AND b.rep IN (id_a, id_b))
+"""
+
+
 def sql_lsh_candidates() -> str:
-    return "WITH " + minhash_ctes(DOC_SRC) + lsh_ctes() + "\nSELECT id_a AS doc_a, id_b AS doc_b FROM cand"
+    return "WITH " + minhash_ctes(DOC_SRC) + lsh_ctes() + _LINKS + "SELECT id_a AS doc_a, id_b AS doc_b, copies FROM links"
 
 
 def sql_near_dup_pairs() -> str:
-    return ("WITH RECURSIVE " + minhash_ctes(DOC_SRC) + lsh_ctes()
-            + "\nSELECT id_a AS doc_a, id_b AS doc_b, round(jaccard, 6) AS jaccard FROM near WHERE jaccard >= 0.9")
+    return ("WITH " + minhash_ctes(DOC_SRC) + lsh_ctes() + _LINKS
+            + "SELECT id_a AS doc_a, id_b AS doc_b, round(jaccard, 6) AS jaccard, copies FROM links WHERE jaccard >= 0.9")
 
 
 def _near_dedup_body(src: str) -> str:
