@@ -210,9 +210,9 @@ def sql_minhash_signature() -> str:
     return "WITH " + minhash_ctes(DOC_SRC) + "\nSELECT id AS doc_id, perm_no::BIGINT AS perm_no, minhash FROM sig"
 
 
-# pairs of the smallest ids of equal signatures, and each other id with the smallest of its own
+# pairs of the smallest ids of equal texts, and each other id with the smallest of its own
 _LINKS = """,
-cls AS (SELECT id, min(id) OVER (PARTITION BY s) AS rep FROM sigl),
+cls AS (SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY text) AS rep FROM documents),
 links AS (SELECT p.*, a.rep = b.rep AS copies FROM near p JOIN cls a ON a.id = id_a JOIN cls b ON b.id = id_b
           WHERE a.rep = id_a AND b.rep IN (id_a, id_b))
 """
