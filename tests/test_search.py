@@ -414,3 +414,37 @@ def test_a_vector_of_another_length_is_an_error(spark):
         q = spark.createDataFrame(good, "query_id long, embedding array<float>")
         with pytest.raises(Exception, match="where 2 is due"):
             vector_topk(q, df, 2).collect()
+
+
+def test_bm25_scan_equals_blocks_and_join(spark, monkeypatch):
+    """Queries that fit a broadcast are scored in one scan of the forward index, and no term-major block is built for them; repeated
+    ids give what the unpruned join gives, filters what the blocks give, null ids nothing."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    docs = spark.createDataFrame([(i % 90 if i < 110 else i, text(int(rng.integers(0, 30))), f"p{i % 2}") for i in range(150)]
+                                 + [(None, "w1 w2", "p0"), (500, None, "p1"), (501, text(3000), None)], "node_id long, text string, product string")
+    q = spark.createDataFrame([(i, text(4), f"p{i % 2}" if i % 3 else None) for i in range(12)] + [(None, "w1", None), (3, "w5 w6", None)],
+                              "query_id long, text string, wanted string")
+    idx = bm25.bm25_index(docs, carry=("product",))
+    key = lambda rows: sorted((r["query_id"], r["node_id"], r["rank"], round(r["score"], 8)) for r in rows.collect())
+    scanned = key(bm25.bm25_topk(q, idx, 5))
+    assert "blocks" not in vars(idx) and len(scanned) == 60
+    plain = bm25.bm25_topk_join(q.where("query_id is not null"), idx, 200).where("node_id is not null")
+    assert scanned == key(bm25._best(plain.drop("rank"), ["query_id"], 5))
+    some = docs.where("node_id is not null and node_id >= 90")  # filters: ids that do not repeat
+    other = bm25.bm25_index(some, carry=("product",))
+    fits = key(bm25.bm25_topk(q, other, 5, filters={"product": "wanted"}))
+    monkeypatch.setattr(bm25, "SCAN_QUERIES", 0)
+    assert key(bm25.bm25_topk(q, other, 5, filters={"product": "wanted"})) == fits and "blocks" in vars(other)
+
+
+def test_bm25_counts_hold_bounded_pieces():
+    """The forward index is counted some 500,000 terms at a time, whatever the batch."""
+    import pyarrow as pa
+    lists = [["b", "a", "b"]] * 300_000 + [None, []]
+    out = list(bm25._forward_rows([pa.record_batch({"node_id": pa.array(range(len(lists))), "terms": pa.array(lists, pa.list_(pa.string()))})]))
+    assert len(out) > 1 and max(sum(b.column("dl").to_pylist()) for b in out) <= 500_000
+    rows = [r for b in out for r in b.to_pylist()]
+    assert rows[0] == {"node_id": 0, "dl": 3, "terms": ["a", "b"], "tfs": [1, 2]} and [r["node_id"] for r in rows] == list(range(len(lists)))
+    assert rows[-2:] == [{"node_id": 300_000 + i, "dl": 0, "terms": [], "tfs": []} for i in range(2)]
