@@ -49,14 +49,20 @@ def exploded(df: DataFrame, array: str, value: str, pos: str) -> DataFrame:
     return df.select(*others, F.posexplode_outer(array).alias(pos, value)).where(F.col(pos).isNotNull())
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Edges (16 bytes each) up to which a round is one partition: shuffles of so little cost the driver a task and its metrics
+#: a partition, and nothing is gained.
+FEW_EDGES = 1 << 16
+
+
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """Connected components of ``edges(u long, v long)`` by alternating large-star
     and small-star steps; returns ``(node, root)`` for every node that is not
     its own root (the root is the smallest node of the component).
 
     Each step is a grouped minimum (combined before the shuffle) and a join
     that adaptive execution may split; every round is written as a table in the
-    checkpoint folder, so a lost executor costs one round. Self-loops and
+    checkpoint folder, so a lost executor costs one round. A table of up to ``few``
+    edges, counted each round, is not dealt out. Self-loops and
     repeated edges are ignored; an empty table gives an empty table.
     """
     e = (edges.where("u <> v")
@@ -64,14 +70,16 @@ def components(edges: DataFrame) -> DataFrame:
     e = cut_lineage(e)
     state = _state(e)
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # the rows of one partition are together: no exchange
+        near = (lambda df: df.coalesce(1)) if state[0] <= few else (lambda df: df)
+        both = near(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(low, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))  # no more rows than edges; repeats go below
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        e = cut_lineage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                        .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        e = cut_lineage(near(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+                             .unionByName(low.select("u", F.col("m").alias("v")))).distinct())
         new = _state(e)
         if new == state:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -149,10 +149,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ratio = (F.log((F.col("p") + SMOOTHING) / (totals[1.0] + 2 * SMOOTHING))
              - F.log((F.col("q") + SMOOTHING) / (totals[0.0] + 2 * SMOOTHING)))
     best = (grams.withColumn("r", ratio).withColumn("rank", F.abs("r") * F.sqrt(F.col("p") + F.col("q")))
-            .orderBy(F.desc("rank"), "h").limit(max_features).select("h", "r").collect())  # at most so many numbers
-    best = sorted((r["h"] % (1 << 64), r["r"]) for r in best)
-    hashes = np.array([h for h, _ in best], np.uint64)
-    ratios = np.array([r for _, r in best])
+            .orderBy(F.desc("rank"), "h").limit(max_features).select("h", "r"))
+    # written first: collected at once, the strongest of every partition would meet on the driver
+    best = cut_lineage(best).toArrow()  # at most so many numbers
+    hashes = best["h"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, ratios = hashes[order], best["r"].to_numpy().astype(np.float64)[order]
     if not len(hashes):
         return ToxicityModel(*empty, math.log(pos / (n - pos)))
     shared = spark.sparkContext.broadcast((hashes, ratios))

@@ -279,3 +279,32 @@ def test_toxicity_score_equals_the_sum_over_the_gram_set():
     model = toxicity.ToxicityModel(hashes, rng.normal(size=len(hashes)), 0.25)
     total = 0.25 + model.weights[np.isin(hashes, grams)].sum()
     assert math.isclose(model.score(text), 1 / (1 + math.exp(-total)))
+
+
+def test_components_of_few_edges_are_not_dealt_out(spark):
+    """A small edge table takes one partition a round, whatever the number of shuffle partitions; the result is that of a large one."""
+    from quarry.llm.common import components
+    edges = [(i, i + 1) for i in range(0, 60) if i % 7] + [(100, 3), (3, 100), (100, 200), (5, 5), (200, 40)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for u, v in edges:
+        a, b = find(u), find(v)
+        parent[max(a, b)] = min(a, b)
+    want = {(x, find(x)) for x in parent if find(x) != x}
+    keys = {"spark.sql.shuffle.partitions": "9", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(edges, "u long, v long")
+        small, dealt = components(df), components(df, few=0)
+        assert {tuple(r) for r in small.collect()} == want == {tuple(r) for r in dealt.collect()}
+        assert len(small.inputFiles()) == 1 < len(dealt.inputFiles())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
